@@ -122,7 +122,7 @@ def _band_sql(col: str, rules, when_null=None, pre: str | None = None, pre_val=N
     return f"greatest(0, least(100, CASE {' '.join(arms)} ELSE 0 END))"
 
 
-def model_ctes(as_of: dt.date, sfx: str = "", bound: bool = False) -> str:
+def model_ctes(as_of: dt.date, sfx: str = "", bound: bool = False, acc: str = "stg_accounts") -> str:
     """Activity -> signals -> features -> scores for one as_of, CTE names suffixed."""
     a = _d(as_of)
     mon = f"CAST(date_trunc('week', {a}) AS DATE)"
@@ -136,7 +136,7 @@ def model_ctes(as_of: dt.date, sfx: str = "", bound: bool = False) -> str:
 spine{sfx} AS (
   SELECT account_id, seats_contracted, mrr, plan_name, renewal_date,
          CAST({mon} - CAST(g.n * 7 AS INTEGER) AS DATE) AS week_start
-  FROM stg_accounts CROSS JOIN generate_series(0, 11) AS g(n)
+  FROM {acc} CROSS JOIN generate_series(0, 11) AS g(n)
   WHERE is_active
 ),
 usage{sfx} AS (
@@ -182,7 +182,7 @@ support{sfx} AS (
   SELECT a.account_id, t.avg_ticket_resolution_days,
          coalesce(t.open_tickets_count, 0) AS open_tickets_count,
          coalesce(t.p1_p2_tickets_30d, 0) AS p1_p2_tickets_30d
-  FROM stg_accounts a LEFT JOIN tickets_agg{sfx} t USING (account_id)
+  FROM {acc} a LEFT JOIN tickets_agg{sfx} t USING (account_id)
 ),
 users30{sfx} AS (
   SELECT account_id, count(DISTINCT user_id) AS active_users_30d
@@ -199,7 +199,7 @@ billing{sfx} AS (
          coalesce(b.had_payment_failure_30d, false) AS had_payment_failure_30d,
          coalesce(b.had_downgrade_90d, false) AS had_downgrade_90d,
          CASE WHEN a.seats_contracted > 0 THEN round(CAST(coalesce(u.active_users_30d, 0) AS DOUBLE) / a.seats_contracted, 4) END AS seat_contracted_ratio
-  FROM stg_accounts a LEFT JOIN billing_agg{sfx} b USING (account_id) LEFT JOIN users30{sfx} u USING (account_id)
+  FROM {acc} a LEFT JOIN billing_agg{sfx} b USING (account_id) LEFT JOIN users30{sfx} u USING (account_id)
 ),
 features{sfx} AS (
   SELECT x.account_id, x.week_start AS feature_week, x.wau, x.wau_rolling_4w, x.wau_rolling_prev_4w,
@@ -318,5 +318,294 @@ CORE = {
 }
 
 
+# --- history, alerts ----------------------------------------------------------------
+
+HISTORY_DAYS = [T - dt.timedelta(days=d) for d in (21, 14, 7, 0)]
+FLIP_ACCOUNT = "12"
+SNAP_COLS = (
+    "account_id, scored_week, plan_name, mrr, risk_tier, risk_score, usage_score, "
+    "commercial_score, support_score"
+)
+
+
+def _ts(x: dt.date) -> str:
+    return f"TIMESTAMP '{x.isoformat()} 00:00:00'"
+
+
+def history_ctes() -> str:
+    """Four weekly runs (the last one live), the score log and its SCD2 versions,
+    computed as islands of unchanged consecutive snapshots."""
+    parts = [
+        f"""stg_accounts_flip AS (
+  SELECT * REPLACE (CASE WHEN account_id = '{FLIP_ACCOUNT}' THEN false ELSE is_active END AS is_active)
+  FROM stg_accounts)"""
+    ]
+    logs = []
+    for i, day in enumerate(HISTORY_DAYS):
+        live = i == len(HISTORY_DAYS) - 1
+        acc = "stg_accounts_flip" if i == 2 else "stg_accounts"
+        parts.append(model_ctes(day, f"_h{i}", bound=not live, acc=acc).strip().rstrip(","))
+        logs.append(f"SELECT {SNAP_COLS}, {_ts(day)} AS snapshot_ts FROM scores_h{i}")
+    union = "\n  UNION ALL ".join(logs)
+    parts.append(
+        f"""score_log AS (
+  {union}
+),
+runs AS (
+  SELECT snapshot_ts, lag(snapshot_ts) OVER (ORDER BY snapshot_ts) AS prev_run,
+         lead(snapshot_ts) OVER (ORDER BY snapshot_ts) AS next_run
+  FROM (SELECT DISTINCT snapshot_ts FROM score_log)
+),
+seq AS (
+  SELECT l.*, r.prev_run, r.next_run,
+         lag(l.snapshot_ts) OVER w AS lag_ts, lead(l.snapshot_ts) OVER w AS lead_ts,
+         lag(l.risk_tier) OVER w AS p_tier, lag(l.risk_score) OVER w AS p_score
+  FROM score_log l JOIN runs r USING (snapshot_ts)
+  WINDOW w AS (PARTITION BY account_id ORDER BY snapshot_ts)
+),
+islands AS (
+  SELECT *, sum(CASE WHEN lag_ts IS NULL OR lag_ts <> prev_run
+                          OR p_tier IS DISTINCT FROM risk_tier OR p_score IS DISTINCT FROM risk_score
+                     THEN 1 ELSE 0 END) OVER (PARTITION BY account_id ORDER BY snapshot_ts) AS island
+  FROM seq
+),
+version_span AS (
+  SELECT account_id, island, min(snapshot_ts) AS first_ts, max(snapshot_ts) AS last_ts
+  FROM islands GROUP BY account_id, island
+),
+snapshot AS (
+  SELECT f.account_id, f.scored_week, f.plan_name, f.mrr, f.risk_tier, f.risk_score, f.usage_score,
+         f.commercial_score, f.support_score,
+         md5(f.account_id || '|' || CAST(v.first_ts AS VARCHAR)) AS dbt_scd_id,
+         v.first_ts AS dbt_valid_from,
+         CASE WHEN e.lead_ts = e.next_run THEN e.lead_ts ELSE e.next_run END AS dbt_valid_to
+  FROM version_span v
+  JOIN islands f ON f.account_id = v.account_id AND f.snapshot_ts = v.first_ts
+  JOIN islands e ON e.account_id = v.account_id AND e.snapshot_ts = v.last_ts
+),
+alert_hist AS (
+  SELECT account_id,
+         min(CASE WHEN risk_tier = 'HIGH' THEN dbt_valid_from END) AS first_alerted_at,
+         max(CASE WHEN risk_tier = 'HIGH' AND dbt_valid_to IS NULL
+                  THEN datediff('week', CAST(dbt_valid_from AS DATE), {_d(T)}) + 1 ELSE 0 END) AS consecutive_high_weeks
+  FROM snapshot GROUP BY account_id
+),
+alerts AS (
+  SELECT s.account_id, s.scored_week, s.plan_name, s.mrr, s.renewal_date, s.days_to_renewal,
+         s.is_in_renewal_window, s.risk_score, s.risk_tier, s.usage_score, s.commercial_score,
+         s.support_score, s.wau, s.usage_trend_pct, s.active_user_ratio, s.distinct_features_used,
+         s.days_since_last_event, s.had_payment_failure_30d, s.p1_p2_tickets_30d, h.first_alerted_at,
+         CASE WHEN s.risk_tier = 'HIGH' AND s.days_to_renewal <= 14 THEN 1
+              WHEN s.risk_tier = 'HIGH' AND s.days_to_renewal <= 30 THEN 2
+              WHEN s.risk_tier = 'HIGH' THEN 3
+              WHEN s.risk_tier = 'MEDIUM' AND s.is_in_renewal_window THEN 4 END AS alert_priority,
+         CASE greatest(s.usage_score, s.commercial_score, s.support_score)
+              WHEN s.usage_score THEN 'usage' WHEN s.commercial_score THEN 'commercial'
+              ELSE 'support' END AS top_risk_driver,
+         coalesce(h.consecutive_high_weeks, 0) AS consecutive_high_weeks
+  FROM scores s LEFT JOIN alert_hist h USING (account_id)
+  WHERE s.risk_tier = 'HIGH' OR (s.risk_tier = 'MEDIUM' AND s.is_in_renewal_window)
+)"""
+    )
+    return ",\n".join(parts)
+
+
+def with_history(body: str) -> str:
+    return f"WITH {raw_ctes()},{model_ctes(T)},\n{history_ctes()}\n{body}"
+
+
+HISTORY = {
+    "scd2_history": with_history("SELECT * FROM snapshot"),
+    "scd2_apply": with_history("SELECT * FROM snapshot"),
+    "alert_history": with_history("SELECT * FROM alert_hist"),
+    "tier_transitions": with_history(
+        """SELECT account_id, from_tier, risk_tier AS to_tier, dbt_valid_from AS changed_at,
+         prev_valid_to <> dbt_valid_from AS after_gap
+  FROM (SELECT *, lag(risk_tier) OVER w AS from_tier, lag(dbt_valid_to) OVER w AS prev_valid_to
+        FROM snapshot WINDOW w AS (PARTITION BY account_id ORDER BY dbt_valid_from))
+  WHERE from_tier IS NOT NULL AND from_tier <> risk_tier"""
+    ),
+    "high_streak": with_history(
+        f"""SELECT c.account_id,
+         CASE WHEN c.risk_tier = 'HIGH' THEN (
+           SELECT max(v.dbt_valid_from) FROM entries v
+           WHERE v.account_id = c.account_id AND v.dbt_valid_from <= c.dbt_valid_from) END AS high_since,
+         CASE WHEN c.risk_tier = 'HIGH' THEN datediff('week', CAST((
+           SELECT max(v.dbt_valid_from) FROM entries v
+           WHERE v.account_id = c.account_id AND v.dbt_valid_from <= c.dbt_valid_from) AS DATE), {_d(T)}) + 1
+           ELSE 0 END AS high_streak_weeks
+  FROM snapshot c
+  WHERE c.dbt_valid_to IS NULL"""
+    ).replace(
+        "\nSELECT c.account_id",
+        """,
+entries AS (
+  SELECT s.* FROM snapshot s
+  WHERE s.risk_tier = 'HIGH' AND NOT EXISTS (
+    SELECT 1 FROM snapshot p WHERE p.account_id = s.account_id AND p.risk_tier = 'HIGH'
+      AND p.dbt_valid_to = s.dbt_valid_from)
+)
+SELECT c.account_id""",
+        1,
+    ),
+    "alerts": with_history("SELECT * FROM alerts"),
+    "alert_priority_counts": with_history(
+        "SELECT alert_priority, count(*) AS n_alerts, sum(mrr) AS mrr_at_risk FROM alerts GROUP BY ALL"
+    ),
+    "top_risk_driver": with_history(
+        "SELECT top_risk_driver, count(*) AS n_alerts FROM alerts GROUP BY ALL"
+    ),
+}
+
+
+# --- rule vs ML (propensity as the ML probability) ------------------------------------
+
+PREP_FEATURES = (
+    "wau_rolling_4w", "usage_trend_pct", "active_user_ratio", "distinct_features_used",
+    "days_since_last_event", "is_zero_usage_week", "is_low_utilization", "days_to_renewal",
+    "seat_contracted_ratio", "had_payment_failure_30d", "had_downgrade_90d",
+    "is_in_renewal_window", "p1_p2_tickets_30d", "open_tickets_count",
+    "avg_ticket_resolution_days",
+)
+PREP_FILL = {"usage_trend_pct": "0.0", "days_since_last_event": "30.0",
+             "avg_ticket_resolution_days": "0.0", "active_user_ratio": "0.0",
+             "wau_rolling_4w": "0.0"}
+
+
+def _clip(x: str, lo: str, hi: str) -> str:
+    return f"greatest({lo}, least({hi}, {x}))"
+
+
+def ml_ctes() -> str:
+    prep_cols = ",\n         ".join(
+        f"coalesce(CAST({c} AS DOUBLE), {PREP_FILL.get(c, '0.0')}) AS {c}" for c in PREP_FEATURES
+    )
+    usage = (
+        f"0.30 * {_clip('days_since_last_event / 60.0', '0.0', '1.0')}"
+        " + 0.25 * (1.0 - active_user_ratio)"
+        f" + 0.20 * (-{_clip('usage_trend_pct', '-1.0', '0.0')})"
+        " + 0.15 * is_zero_usage_week"
+        " + 0.10 * CAST(distinct_features_used < 2 AS DOUBLE)"
+    )
+    commercial = (
+        f"(0.35 * {_clip(_clip('days_to_renewal', '0.0', '90.0') + ' / 90.0', '0.0', '1.0')}"
+        f" + 0.30 * (1.0 - {_clip('seat_contracted_ratio', '0.0', '1.0')})"
+        " + 0.25 * had_payment_failure_30d + 0.10 * had_downgrade_90d)"
+        f" * (1.0 - {_clip('days_to_renewal', '0.0', '365.0')} / 365.0 * 0.3)"
+    )
+    support = (
+        f"0.50 * {_clip('p1_p2_tickets_30d / 4.0', '0.0', '1.0')}"
+        f" + 0.30 * {_clip('open_tickets_count / 6.0', '0.0', '1.0')}"
+        f" + 0.20 * {_clip('avg_ticket_resolution_days / 14.0', '0.0', '1.0')}"
+    )
+    feats = ", ".join(PREP_FEATURES)
+    return f"""
+features_all AS (
+  SELECT x.account_id, x.week_start AS feature_week, x.wau_rolling_4w, x.usage_trend_pct,
+         x.active_user_ratio, x.distinct_features_used, x.days_since_last_event,
+         x.wau = 0 AS is_zero_usage_week, x.active_user_ratio < 0.25 AS is_low_utilization,
+         x.days_to_renewal, b.seat_contracted_ratio, b.had_payment_failure_30d, b.had_downgrade_90d,
+         x.days_to_renewal BETWEEN 0 AND 90 AS is_in_renewal_window,
+         s.p1_p2_tickets_30d, s.open_tickets_count, s.avg_ticket_resolution_days
+  FROM activity x LEFT JOIN support s USING (account_id) LEFT JOIN billing b USING (account_id)
+),
+prepared AS (
+  SELECT account_id, feature_week,
+         {prep_cols}
+  FROM features
+),
+prepared_all AS (
+  SELECT account_id, feature_week,
+         {prep_cols}
+  FROM features_all
+),
+propensity AS (
+  SELECT *, CAST(p > 0.45 AS INTEGER) AS weak_label
+  FROM (SELECT *, 0.45 * ({usage}) + 0.30 * ({commercial}) + 0.25 * ({support}) AS p FROM prepared)
+),
+propensity_all AS (
+  SELECT *, CAST(p > 0.45 AS INTEGER) AS weak_label
+  FROM (SELECT *, 0.45 * ({usage}) + 0.30 * ({commercial}) + 0.25 * ({support}) AS p FROM prepared_all)
+),
+predictions AS (
+  SELECT account_id, feature_week, {feats},
+         rs AS risk_score_ml,
+         CASE WHEN rs > -1 AND rs <= 40 THEN 'LOW' WHEN rs > 40 AND rs <= 70 THEN 'MEDIUM'
+              WHEN rs > 70 AND rs <= 101 THEN 'HIGH' END AS risk_tier_ml,
+         round_even(prob * 10000, 0) / 10000 AS churn_probability,
+         'weak_label_propensity' AS model_name, CAST(NULL AS DOUBLE) AS cv_auc
+  FROM (SELECT *, round_even(prob * 100.0 * 100, 0) / 100 AS rs
+        FROM (SELECT *, greatest(0.0, least(1.0, p)) AS prob FROM propensity))
+),
+rule_ml AS (
+  SELECT r.account_id, r.scored_week, r.plan_name, r.mrr, r.renewal_date, r.days_to_renewal,
+         r.is_in_renewal_window, m.risk_score_ml, m.risk_tier_ml, m.churn_probability,
+         m.model_name, m.cv_auc, r.risk_score AS risk_score_rule, r.risk_tier AS risk_tier_rule,
+         r.usage_score, r.commercial_score, r.support_score, r.wau, r.usage_trend_pct,
+         r.active_user_ratio, r.distinct_features_used, r.days_since_last_event,
+         r.had_payment_failure_30d, r.p1_p2_tickets_30d,
+         round(m.risk_score_ml - r.risk_score, 2) AS score_delta,
+         CASE WHEN m.risk_tier_ml = r.risk_tier THEN 'AGREE'
+              WHEN m.risk_tier_ml = 'HIGH' AND r.risk_tier <> 'HIGH' THEN 'ML_HIGHER'
+              WHEN r.risk_tier = 'HIGH' AND m.risk_tier_ml <> 'HIGH' THEN 'ML_LOWER'
+              ELSE 'DIFFER' END AS tier_agreement
+  FROM scores r JOIN predictions m USING (account_id)
+),
+cmp AS (
+  SELECT r.account_id, r.plan_name, r.mrr, round(r.risk_score, 1) AS score_rule, r.risk_tier AS tier_rule,
+         round(m.risk_score_ml, 1) AS score_ml, m.risk_tier_ml AS tier_ml,
+         round(m.churn_probability, 3) AS churn_prob, round(m.risk_score_ml - r.risk_score, 1) AS delta,
+         r.usage_score, r.commercial_score, r.support_score
+  FROM scores r JOIN predictions m USING (account_id)
+)"""
+
+
+def with_ml(body: str) -> str:
+    return f"WITH {raw_ctes()},{model_ctes(T)},{ml_ctes()}\n{body}"
+
+
+ML = {
+    "prepared_features": with_ml("SELECT * FROM prepared"),
+    "propensity": with_ml(
+        "SELECT account_id, feature_week, p AS propensity, weak_label FROM propensity"
+    ),
+    "ml_tier_cut": with_ml(
+        "SELECT account_id, risk_score_ml, risk_tier_ml, churn_probability FROM predictions"
+    ),
+    "rule_vs_ml": with_ml("SELECT * FROM rule_ml"),
+    "compare_frame": with_ml("SELECT * FROM cmp"),
+    "compare_summary": with_ml(
+        """SELECT count(*) AS n_accounts, count(*) FILTER (WHERE tier_rule = tier_ml) AS n_agree,
+         avg(CAST(tier_rule = tier_ml AS DOUBLE)) AS agreement_rate, avg(delta) AS mean_delta,
+         corr(score_rule, score_ml) AS score_corr,
+         count(*) FILTER (WHERE tier_rule = 'HIGH') AS n_rule_high,
+         sum(CASE WHEN tier_rule = 'HIGH' THEN mrr ELSE 0.0 END) AS mrr_rule_high,
+         count(*) FILTER (WHERE tier_ml = 'HIGH') AS n_ml_high,
+         sum(CASE WHEN tier_ml = 'HIGH' THEN mrr ELSE 0.0 END) AS mrr_ml_high
+  FROM cmp"""
+    ),
+    "cancel_label": with_ml(
+        f"""SELECT f.account_id, f.week_start AS feature_week,
+         CASE WHEN EXISTS (SELECT 1 FROM stg_billing_events b
+                           WHERE b.account_id = f.account_id AND b.event_type = 'cancellation'
+                             AND CAST(b.event_ts AS DATE) BETWEEN f.week_start AND f.week_start + 90)
+              THEN 1 ELSE 0 END AS label
+  FROM activity f"""
+    ),
+    "label_balance": with_ml(
+        """SELECT sum(weak_label) AS n_positive, count(*) FILTER (WHERE weak_label = 0) AS n_negative,
+         count(*) AS n_rows, avg(CAST(weak_label AS DOUBLE)) AS positive_rate
+  FROM propensity_all"""
+    ),
+    "tier_disagreements": with_ml(
+        """SELECT account_id, tier_rule, tier_ml,
+         CASE WHEN tier_ml = 'HIGH' AND tier_rule <> 'HIGH' THEN 'upgraded'
+              WHEN tier_rule = 'HIGH' AND tier_ml <> 'HIGH' THEN 'downgraded'
+              ELSE 'differ' END AS direction, score_rule, score_ml
+  FROM cmp WHERE tier_rule <> tier_ml"""
+    ),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(CORE)
+    return {**CORE, **HISTORY, **ML}

@@ -144,8 +144,235 @@ CORE: dict[str, Query] = {
 }
 
 
+# --- history, alerts, quality ----------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from riskweave.operators import alerts as al  # noqa: E402
+from riskweave.operators import history as hi  # noqa: E402
+from riskweave.operators import quality as dq  # noqa: E402
+from riskweave.plans import backfill as bf  # noqa: E402
+
+# FIXED fixture parameters of the score history: weekly runs and one account that
+# is deactivated at the third run and comes back at the last one
+HISTORY_DAYS = [fx.AS_OF - _dt.timedelta(days=d) for d in (21, 14, 7, 0)]
+FLIP_ACCOUNT = "12"
+
+
+def _raw_for(spark, sf_dir):
+    flip_day = HISTORY_DAYS[2]
+    return lambda day: fx.raw_tables(
+        spark, sf_dir, inactive_ids=(FLIP_ACCOUNT,) if day == flip_day else ()
+    )
+
+
+def _history(spark, sf_dir):
+    return bf.history_batch(_raw_for(spark, sf_dir), FIXTURE_SETTINGS, HISTORY_DAYS)
+
+
+def q_scd2_history(spark, sf_dir):
+    return _history(spark, sf_dir).drop("dbt_updated_at")
+
+
+def q_scd2_apply(spark, sf_dir):
+    from riskweave.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return bf.history_fold(
+        _raw_for(spark, sf_dir), FIXTURE_SETTINGS, HISTORY_DAYS, cut=lambda d: d.checkpoint()
+    ).drop("dbt_updated_at")
+
+
+def q_alert_history(spark, sf_dir):
+    return hi.alert_history(_history(spark, sf_dir), FIXTURE_SETTINGS.as_of_col())
+
+
+def q_tier_transitions(spark, sf_dir):
+    return hi.tier_transitions(_history(spark, sf_dir))
+
+
+def q_high_streak(spark, sf_dir):
+    return hi.high_streak(_history(spark, sf_dir), FIXTURE_SETTINGS.as_of_col())
+
+
+def _alerts(spark, sf_dir, stamp=False):
+    scores = _built(spark, sf_dir).scores
+    return al.churn_alerts(scores, _history(spark, sf_dir), FIXTURE_SETTINGS, stamp=stamp)
+
+
+def q_alerts(spark, sf_dir):
+    return _alerts(spark, sf_dir)
+
+
+def q_alert_priority_counts(spark, sf_dir):
+    return _alerts(spark, sf_dir).groupBy("alert_priority").agg(
+        F.count(F.lit(1)).alias("n_alerts"), F.sum("mrr").alias("mrr_at_risk")
+    )
+
+
+def q_top_risk_driver(spark, sf_dir):
+    return _alerts(spark, sf_dir).groupBy("top_risk_driver").agg(
+        F.count(F.lit(1)).alias("n_alerts")
+    )
+
+
+def dq_tables(spark, sf_dir, with_ml: bool = True) -> dict[str, DataFrame]:
+    """Every model of the fixture world under its model name (audit columns stamped)."""
+    b = build(fx.raw_tables(spark, sf_dir), FIXTURE_SETTINGS, stamp=True)
+    tables = {f"stg_{k}": v for k, v in b.staged.items()}
+    tables.update(
+        {
+            "int_account_activity_weekly": b.activity,
+            "int_churn_features": b.features,
+            "int_account_support_signals": b.support,
+            "int_account_billing_signals": b.billing,
+            "mart_churn_risk_scores": b.scores,
+            "snp_churn_risk_scores": _history(spark, sf_dir),
+        }
+    )
+    tables["mart_churn_alerts"] = al.churn_alerts(
+        b.scores, tables["snp_churn_risk_scores"], FIXTURE_SETTINGS, stamp=True
+    )
+    if with_ml:
+        from riskweave.operators import compare
+
+        preds = compare.propensity_predictions(b.features, FIXTURE_SETTINGS)
+        tables["mart_churn_risk_scores_ml"] = compare.rule_vs_ml(b.scores, preds)
+    return tables
+
+
+def _dq(tests: tuple[str, ...]):
+    def q(spark, sf_dir):
+        out = dq.run_suite(dq_tables(spark, sf_dir))
+        return out.where(F.col("test_name").isin(list(tests))) if tests else out
+
+    return q
+
+
+HISTORY: dict[str, Query] = {
+    "scd2_history": q_scd2_history,
+    "scd2_apply": q_scd2_apply,
+    "alert_history": q_alert_history,
+    "tier_transitions": q_tier_transitions,
+    "high_streak": q_high_streak,
+    "alerts": q_alerts,
+    "alert_priority_counts": q_alert_priority_counts,
+    "top_risk_driver": q_top_risk_driver,
+    "dq_not_null": _dq(("not_null",)),
+    "dq_unique": _dq(("unique",)),
+    "dq_accepted_values": _dq(("accepted_values",)),
+    "dq_relationships": _dq(("relationships",)),
+    "dq_unique_combination": _dq(("unique_combination",)),
+    "dq_suite": _dq(()),
+}
+
+
+# --- rule vs ML, model training ----------------------------------------------------------
+
+from riskweave.operators import compare as cmp  # noqa: E402
+from riskweave.operators import features as feat  # noqa: E402
+from riskweave.operators import ml  # noqa: E402
+
+
+def _preds(spark, sf_dir):
+    b = _built(spark, sf_dir)
+    return b, cmp.propensity_predictions(b.features, FIXTURE_SETTINGS, stamp=False)
+
+
+def q_prepared_features(spark, sf_dir):
+    return cmp.prepare_features(_built(spark, sf_dir).features)
+
+
+def q_propensity(spark, sf_dir):
+    p = cmp.with_propensity(cmp.prepare_features(_built(spark, sf_dir).features))
+    return p.select("account_id", "feature_week", "propensity", "weak_label")
+
+
+def q_ml_tier_cut(spark, sf_dir):
+    _, p = _preds(spark, sf_dir)
+    return p.select("account_id", "risk_score_ml", "risk_tier_ml", "churn_probability")
+
+
+def q_rule_vs_ml(spark, sf_dir):
+    b, p = _preds(spark, sf_dir)
+    return cmp.rule_vs_ml(b.scores, p)
+
+
+def q_compare_frame(spark, sf_dir):
+    b, p = _preds(spark, sf_dir)
+    return cmp.compare_frame(b.scores, p)
+
+
+def q_compare_summary(spark, sf_dir):
+    return cmp.compare_summary(q_compare_frame(spark, sf_dir))
+
+
+def q_tier_disagreements(spark, sf_dir):
+    return cmp.tier_disagreements(q_compare_frame(spark, sf_dir))
+
+
+def weekly_snapshots(spark, sf_dir) -> DataFrame:
+    """Feature rows for every spine week (usage per week, signals as of the run)."""
+    b = _built(spark, sf_dir)
+    return feat.churn_features(b.activity, b.support, b.billing, FIXTURE_SETTINGS, week_col="week_start")
+
+
+def q_cancel_label(spark, sf_dir):
+    snaps = weekly_snapshots(spark, sf_dir).select("account_id", "feature_week")
+    billing = _staged(spark, sf_dir)["billing_events"]
+    return ml.cancel_labels(snaps, billing)
+
+
+def training_frame(spark, sf_dir) -> DataFrame:
+    p = cmp.with_propensity(cmp.prepare_features(weekly_snapshots(spark, sf_dir)))
+    return p.withColumn(ml.LABEL, F.col("weak_label"))
+
+
+def q_label_balance(spark, sf_dir):
+    return ml.label_balance(training_frame(spark, sf_dir))
+
+
+_TRAINED: dict[str, object] = {}
+
+
+def trained(spark, sf_dir) -> "ml.TrainResult":
+    if sf_dir not in _TRAINED:
+        _TRAINED[sf_dir] = ml.train(training_frame(spark, sf_dir))
+    return _TRAINED[sf_dir]
+
+
+def q_ml_train_score(spark, sf_dir):
+    res = trained(spark, sf_dir)
+    return ml.score(res, _built(spark, sf_dir).features, FIXTURE_SETTINGS, stamp=False)
+
+
+def q_ml_importance(spark, sf_dir):
+    return ml.importance(trained(spark, sf_dir), spark)
+
+
+def q_classification_report(spark, sf_dir):
+    res = trained(spark, sf_dir)
+    return ml.classification_report(res.model.transform(training_frame(spark, sf_dir)))
+
+
+MODELS: dict[str, Query] = {
+    "prepared_features": q_prepared_features,
+    "propensity": q_propensity,
+    "ml_tier_cut": q_ml_tier_cut,
+    "rule_vs_ml": q_rule_vs_ml,
+    "compare_frame": q_compare_frame,
+    "compare_summary": q_compare_summary,
+    "tier_disagreements": q_tier_disagreements,
+    "cancel_label": q_cancel_label,
+    "label_balance": q_label_balance,
+    "ml_train_score": q_ml_train_score,
+    "ml_importance": q_ml_importance,
+    "classification_report": q_classification_report,
+}
+
+
 def queries() -> dict[str, Query]:
-    return dict(CORE)
+    return {**CORE, **HISTORY, **MODELS}
 
 
 _ = B  # bands are the shared fixed values behind both sides

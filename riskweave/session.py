@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.driver.memory": "16g",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
