@@ -13,17 +13,15 @@ def _c(x) -> Column:
 
 
 def round_half_up(x, n: int) -> Column:
-    """Round half away from zero on the scaled double: floor(|x| * 10^n + 0.5) / 10^n.
+    """Round half away from zero on the scaled double: sign(x) * floor(|x| * 10^n + 0.5) / 10^n.
 
     Spark's round() rounds the decimal text of a double, which disagrees with
     engines that round the scaled double (1.005 -> 1.01 vs 1.0). This form agrees
-    with the latter, which is what the scoring SQL was written against.
+    with the latter, which is what the scoring SQL was written against. NULL stays NULL.
     """
     x = _c(x)
     scale = float(10**n)
-    pos = F.floor(x * scale + 0.5) / scale
-    neg = -F.floor(-x * scale + 0.5) / scale
-    return F.when(x.isNull(), F.lit(None).cast("double")).when(x >= 0, pos).otherwise(neg)
+    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
 
 
 def round_half_even_dec(x, n: int, exact_scale: int = 6) -> Column:
@@ -41,6 +39,27 @@ def round_scaled_even(x, n: int) -> Column:
     return F.rint(_c(x) * scale) / scale
 
 
+def py_round(x, n: int) -> Column:
+    """Python's round(x, n) / format(x, '.nf') on a double: half-to-even on the exact
+    binary value. p = x * 10^n is rounded half-even; when p lands exactly on a tie the
+    rounding error of the product (Dekker two-product, exact for 10^n < 2^26) says on
+    which side the exact value lies."""
+    x = _c(x)
+    s = float(10**n)
+    p = x * s
+    c = x * 134217729.0  # Veltkamp split 2^27 + 1
+    hi = c - (c - x)
+    lo = x - hi
+    err = (hi * s - p) + lo * s
+    tie = (p - F.floor(p)) == 0.5
+    k = (
+        F.when(tie & (err > 0), F.ceil(p).cast("double"))
+        .when(tie & (err < 0), F.floor(p).cast("double"))
+        .otherwise(F.rint(p))
+    )
+    return k / s
+
+
 def clamp(x, lo, hi) -> Column:
     return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x)))
 

@@ -607,5 +607,112 @@ ML = {
 }
 
 
+# --- reporting frames -------------------------------------------------------------------
+
+
+def pyround(x: str, n: int) -> str:
+    """SQL of round-half-even on the exact binary value (tie broken by the product error)."""
+    s = f"{float(10 ** n)!r}"
+    p = f"(({x}) * {s})"
+    c = f"(({x}) * 134217729.0)"
+    hi = f"({c} - ({c} - ({x})))"
+    lo = f"(({x}) - {hi})"
+    err = f"(({hi} * {s} - {p}) + {lo} * {s})"
+    tie = f"({p} - floor({p}) = 0.5)"
+    return (
+        f"(CASE WHEN {tie} AND {err} > 0 THEN CAST(ceil({p}) AS DOUBLE)"
+        f" WHEN {tie} AND {err} < 0 THEN CAST(floor({p}) AS DOUBLE)"
+        f" ELSE round_even({p}, 0) END / {s})"
+    )
+
+
+DIGEST_LABEL_SQL = (
+    "CASE alert_priority WHEN 1 THEN ':rotating_light: CRITICAL' WHEN 2 THEN ':warning: URGENT' "
+    "WHEN 3 THEN ':red_circle: HIGH' WHEN 4 THEN ':large_yellow_circle: WATCH' "
+    "ELSE 'Priority ' || CAST(alert_priority AS VARCHAR) END"
+)
+SHORT_LABEL_SQL = (
+    "CASE alert_priority WHEN 1 THEN 'CRITICAL' WHEN 2 THEN 'URGENT' WHEN 3 THEN 'HIGH' "
+    "WHEN 4 THEN 'WATCH' ELSE 'Priority ' || CAST(alert_priority AS VARCHAR) END"
+)
+
+REPORTS = {
+    "kpis": with_history(
+        """SELECT max(s.scored_week) AS scored_week, count(a.account_id) AS alert_count,
+         coalesce(sum(CASE WHEN a.account_id IS NOT NULL THEN s.mrr END), 0.0) AS mrr_at_risk,
+         count(*) FILTER (WHERE s.risk_tier = 'HIGH') AS high_count,
+         count(*) FILTER (WHERE s.risk_tier = 'MEDIUM') AS medium_count,
+         count(*) FILTER (WHERE s.risk_tier = 'LOW') AS low_count,
+         coalesce(avg(s.risk_score), 0.0) AS avg_score, count(*) AS total_count
+  FROM scores s LEFT JOIN alerts a USING (account_id)"""
+    ),
+    "priority_queue": with_history(
+        f"""SELECT s.account_id, a.alert_priority, {SHORT_LABEL_SQL} AS priority_label, s.plan_name, s.mrr,
+         s.days_to_renewal, s.risk_score, s.risk_tier, a.top_risk_driver, s.usage_score,
+         s.commercial_score, s.support_score, s.usage_trend_pct, s.active_user_ratio,
+         a.consecutive_high_weeks, a.first_alerted_at
+  FROM scores s JOIN alerts a USING (account_id)"""
+    ),
+    "bubble_points": with_model(
+        f"""SELECT account_id, days_to_renewal AS days, {pyround('risk_score', 1)} AS score,
+         risk_tier AS tier, mrr, least(greatest({pyround('sqrt(mrr / 400.0)', 1)}, 4.0), 22.0) AS radius
+  FROM scores"""
+    ),
+    "component_share": with_model(
+        """SELECT account_id,
+         usage_score / greatest(usage_score + commercial_score + support_score, 1.0) * 100.0 AS usage_share,
+         commercial_score / greatest(usage_score + commercial_score + support_score, 1.0) * 100.0 AS commercial_share,
+         support_score / greatest(usage_score + commercial_score + support_score, 1.0) * 100.0 AS support_share
+  FROM scores"""
+    ),
+    "display_buckets": with_model(
+        f"""SELECT account_id,
+         CASE WHEN mrr >= 1000 THEN '$' || printf('%.1f', {pyround('mrr / 1000.0', 1)}) || 'K'
+              ELSE '$' || CAST(mrr AS VARCHAR) END AS mrr_text,
+         CASE WHEN usage_trend_pct IS NULL THEN 'muted' WHEN usage_trend_pct * 100.0 > 0 THEN 'trend-up'
+              WHEN usage_trend_pct * 100.0 < -10 THEN 'trend-down' ELSE 'muted' END AS trend_class,
+         CASE WHEN usage_trend_pct IS NULL THEN '—'
+              ELSE (CASE WHEN usage_trend_pct * 100.0 > 0 THEN '↑' ELSE '↓' END) || ' '
+                   || printf('%.0f', {pyround('abs(usage_trend_pct * 100.0)', 0)}) || '%' END AS trend_text,
+         CASE WHEN active_user_ratio IS NULL THEN 'muted' WHEN active_user_ratio * 100.0 >= 60 THEN 'trend-up'
+              WHEN active_user_ratio * 100.0 < 25 THEN 'trend-down' ELSE 'muted-light' END AS util_class,
+         CASE WHEN active_user_ratio IS NULL THEN '—'
+              ELSE printf('%.0f', {pyround('active_user_ratio * 100.0', 0)}) || '%' END AS util_text,
+         days_to_renewal <= 30 AS renewal_urgent
+  FROM scores"""
+    ),
+    "digest_lines": with_history(
+        f"""SELECT alert_priority, account_id, risk_score,
+         '  • *' || account_id || '* (' || plan_name || ', $' || format('{{:,.0f}}', {pyround('mrr', 0)})
+         || ' MRR) — ' || CAST(days_to_renewal AS VARCHAR) || 'd to renewal | score '
+         || printf('%.0f', {pyround('risk_score', 0)}) || ' | driver: ' || top_risk_driver
+         || ' | usage ' || CASE WHEN usage_trend_pct IS NULL THEN 'n/a'
+                                ELSE printf('%+.0f', {pyround('usage_trend_pct * 100.0', 0)}) || '%' END
+         || ', util ' || CASE WHEN active_user_ratio IS NULL THEN 'n/a'
+                              ELSE printf('%.0f', {pyround('active_user_ratio * 100.0', 0)}) || '%' END
+         || CASE WHEN had_payment_failure_30d OR p1_p2_tickets_30d > 0
+                 THEN ' | ' || concat_ws(', ', CASE WHEN had_payment_failure_30d THEN 'payment fail' END,
+                                          CASE WHEN p1_p2_tickets_30d > 0
+                                               THEN CAST(p1_p2_tickets_30d AS VARCHAR) || ' P1/P2 tickets' END)
+                 ELSE '' END AS line
+  FROM alerts"""
+    ),
+    "digest_groups": with_history(
+        f"""SELECT alert_priority, {DIGEST_LABEL_SQL} AS priority_label, n_accounts,
+         '*' || ({DIGEST_LABEL_SQL}) || '* (' || CAST(n_accounts AS VARCHAR) || ' account'
+         || CASE WHEN n_accounts > 1 THEN 's' ELSE '' END || ')' AS header
+  FROM (SELECT alert_priority, count(*) AS n_accounts FROM alerts GROUP BY alert_priority)"""
+    ),
+    "digest_summary": with_history(
+        f"""SELECT n_alerts,
+         CASE WHEN n_alerts = 0 THEN ':white_check_mark: *Churn Alert Digest — ' || CAST({_d(T)} AS VARCHAR)
+                                     || '*' || chr(10) || 'No accounts require attention this week.'
+              ELSE '*' || CAST(n_alerts AS VARCHAR) || ' account(s)* require CSM attention this week.' END AS text,
+         '⚠️ Churn Alert Digest — ' || CAST({_d(T)} AS VARCHAR) AS title
+  FROM (SELECT count(*) AS n_alerts FROM alerts)"""
+    ),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**CORE, **HISTORY, **ML}
+    return {**CORE, **HISTORY, **ML, **REPORTS}

@@ -371,8 +371,61 @@ MODELS: dict[str, Query] = {
 }
 
 
+# --- reporting frames -----------------------------------------------------------------
+
+from riskweave.operators import reports as rp  # noqa: E402
+
+
+def _scores_alerts(spark, sf_dir):
+    return _built(spark, sf_dir).scores, _alerts(spark, sf_dir)
+
+
+def q_kpis(spark, sf_dir):
+    return rp.kpis(*_scores_alerts(spark, sf_dir))
+
+
+def q_priority_queue(spark, sf_dir):
+    return rp.priority_queue(*_scores_alerts(spark, sf_dir))
+
+
+def q_bubble_points(spark, sf_dir):
+    return rp.bubble_points(_built(spark, sf_dir).scores)
+
+
+def q_component_share(spark, sf_dir):
+    return rp.component_share(_built(spark, sf_dir).scores)
+
+
+def q_display_buckets(spark, sf_dir):
+    return rp.display_buckets(_built(spark, sf_dir).scores)
+
+
+def q_digest_lines(spark, sf_dir):
+    return rp.digest_lines(_alerts(spark, sf_dir))
+
+
+def q_digest_groups(spark, sf_dir):
+    return rp.digest_groups(_alerts(spark, sf_dir))
+
+
+def q_digest_summary(spark, sf_dir):
+    return rp.digest_summary(_alerts(spark, sf_dir), FIXTURE_SETTINGS)
+
+
+REPORTS: dict[str, Query] = {
+    "kpis": q_kpis,
+    "priority_queue": q_priority_queue,
+    "bubble_points": q_bubble_points,
+    "component_share": q_component_share,
+    "display_buckets": q_display_buckets,
+    "digest_lines": q_digest_lines,
+    "digest_groups": q_digest_groups,
+    "digest_summary": q_digest_summary,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**CORE, **HISTORY, **MODELS}
+    return {**CORE, **HISTORY, **MODELS, **REPORTS}
 
 
 _ = B  # bands are the shared fixed values behind both sides

@@ -106,9 +106,14 @@ def product_events(spark: SparkSession, sf_dir: str, week_end: dt.date = WEEK_EN
     )
 
 
+_N_CACHE: dict[str, int] = {}
+
+
 def _n_accounts(spark: SparkSession, sf_dir: str) -> F.Column:
-    """Supplier count as a lazily evaluated scalar subquery."""
-    return read_table(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
+    """Supplier count N (keys are 0..N-1): one scalar, counted once per input folder."""
+    if sf_dir not in _N_CACHE:
+        _N_CACHE[sf_dir] = read_table(spark, sf_dir, "supplier").count()
+    return F.lit(_N_CACHE[sf_dir]).cast("bigint")
 
 
 def _order_ts(as_of: dt.date) -> F.Column:
