@@ -714,5 +714,90 @@ REPORTS = {
 }
 
 
+# --- sinks and streaming ---------------------------------------------------------------
+
+PREV = T - dt.timedelta(days=7)
+
+
+def _two_runs(acc2: str) -> str:
+    flip = f"""stg_accounts_flip AS (
+  SELECT * REPLACE (CASE WHEN account_id = '{FLIP_ACCOUNT}' THEN false ELSE is_active END AS is_active)
+  FROM stg_accounts)"""
+    r1 = model_ctes(PREV, "_r1", bound=True).strip().rstrip(",")
+    r2 = model_ctes(T, "_r2", bound=False, acc=acc2).strip().rstrip(",")
+    return f"WITH {raw_ctes()},\n{flip},\n{r1},\n{r2}\n"
+
+
+SINKS = {
+    "upsert_activity": _two_runs("stg_accounts_flip")
+    + f"""SELECT {ACTIVITY_COLS} FROM activity_r2
+UNION ALL
+SELECT {ACTIVITY_COLS} FROM activity_r1 a
+WHERE NOT EXISTS (SELECT 1 FROM activity_r2 b WHERE b.account_id = a.account_id AND b.week_start = a.week_start)""",
+    "schema_sync": _two_runs("stg_accounts")
+    + f"""SELECT {ACTIVITY_COLS} FROM activity_r2
+UNION ALL
+SELECT {ACTIVITY_COLS.replace("usage_trend_pct", "CAST(NULL AS DOUBLE) AS usage_trend_pct")} FROM activity_r1 a
+WHERE NOT EXISTS (SELECT 1 FROM activity_r2 b WHERE b.account_id = a.account_id AND b.week_start = a.week_start)""",
+    "activity_stream": CORE["weekly_usage"],
+}
+
+
+# --- data tests ---------------------------------------------------------------------------
+
+
+def _dq_select(c) -> str:
+    tbl, col = c.table, c.column
+    head = f"SELECT '{tbl}' AS table_name, '{c.test}' AS test_name, '{col}' AS column_name, "
+    if c.test == "not_null":
+        return head + f"count(*) FILTER (WHERE {col} IS NULL) AS failures FROM {tbl}"
+    if c.test == "accepted_values":
+        return head + f"count(DISTINCT {col}) FILTER (WHERE {col} NOT IN ({_in(c.values)})) AS failures FROM {tbl}"
+    if c.test == "unique":
+        return head + (
+            f"(SELECT count(*) FROM (SELECT {col} FROM {tbl} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col} HAVING count(*) > 1)) AS failures"
+        )
+    if c.test == "unique_combination":
+        return head + (
+            f"(SELECT count(*) FROM (SELECT {col} FROM {tbl} GROUP BY {col} HAVING count(*) > 1)) AS failures"
+        )
+    ptable, pfield = c.parent
+    return head + (
+        f"(SELECT count(*) FROM {tbl} x WHERE x.{col} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {ptable} p WHERE p.{pfield} = x.{col})) AS failures"
+    )
+
+
+def dq_sql(tests: tuple[str, ...] = ()) -> str:
+    from riskweave.operators.quality import checks
+
+    stamp = "TIMESTAMP '2001-11-07 00:00:00'"
+    models = f"""int_account_activity_weekly AS (SELECT *, {stamp} AS updated_at FROM activity),
+int_churn_features AS (SELECT * FROM features),
+int_account_support_signals AS (SELECT * FROM support),
+int_account_billing_signals AS (SELECT * FROM billing),
+mart_churn_risk_scores AS (SELECT *, {stamp} AS scored_at FROM scores),
+mart_churn_risk_scores_ml AS (SELECT *, {stamp} AS scored_at FROM rule_ml),
+mart_churn_alerts AS (SELECT *, {stamp} AS alerted_at FROM alerts),
+snp_churn_risk_scores AS (SELECT * FROM snapshot)"""
+    sel = [_dq_select(c) for c in checks() if not tests or c.test in tests]
+    body = "\nUNION ALL\n".join(sel)
+    return (
+        f"WITH {raw_ctes()},{model_ctes(T)},\n{history_ctes()},{ml_ctes()},\n{models}\n"
+        f"SELECT *, failures = 0 AS passed FROM (\n{body})"
+    )
+
+
+DQ = {
+    "dq_not_null": dq_sql(("not_null",)),
+    "dq_unique": dq_sql(("unique",)),
+    "dq_accepted_values": dq_sql(("accepted_values",)),
+    "dq_relationships": dq_sql(("relationships",)),
+    "dq_unique_combination": dq_sql(("unique_combination",)),
+    "dq_suite": dq_sql(),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**CORE, **HISTORY, **ML, **REPORTS}
+    return {**CORE, **HISTORY, **ML, **REPORTS, **SINKS, **DQ}

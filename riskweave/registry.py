@@ -217,7 +217,12 @@ def q_top_risk_driver(spark, sf_dir):
 
 
 def dq_tables(spark, sf_dir, with_ml: bool = True) -> dict[str, DataFrame]:
-    """Every model of the fixture world under its model name (audit columns stamped)."""
+    """Every model of the fixture world under its model name (audit columns stamped),
+    each materialised once (reliable checkpoint in the shared folder) the way the data
+    tests of a build run against its written tables."""
+    from riskweave.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     b = build(fx.raw_tables(spark, sf_dir), FIXTURE_SETTINGS, stamp=True)
     tables = {f"stg_{k}": v for k, v in b.staged.items()}
     tables.update(
@@ -230,14 +235,17 @@ def dq_tables(spark, sf_dir, with_ml: bool = True) -> dict[str, DataFrame]:
             "snp_churn_risk_scores": _history(spark, sf_dir),
         }
     )
+    tables = {k: v.checkpoint() for k, v in tables.items()}
     tables["mart_churn_alerts"] = al.churn_alerts(
-        b.scores, tables["snp_churn_risk_scores"], FIXTURE_SETTINGS, stamp=True
-    )
+        tables["mart_churn_risk_scores"], tables["snp_churn_risk_scores"], FIXTURE_SETTINGS
+    ).checkpoint()
     if with_ml:
         from riskweave.operators import compare
 
-        preds = compare.propensity_predictions(b.features, FIXTURE_SETTINGS)
-        tables["mart_churn_risk_scores_ml"] = compare.rule_vs_ml(b.scores, preds)
+        preds = compare.propensity_predictions(tables["int_churn_features"], FIXTURE_SETTINGS)
+        tables["mart_churn_risk_scores_ml"] = compare.rule_vs_ml(
+            tables["mart_churn_risk_scores"], preds
+        ).checkpoint()
     return tables
 
 
@@ -424,8 +432,72 @@ REPORTS: dict[str, Query] = {
 }
 
 
+# --- sinks and streaming ------------------------------------------------------------------
+
+from dataclasses import replace as _replace  # noqa: E402
+
+from riskweave.session import scratch_path  # noqa: E402
+from riskweave.sinks import tables as tb  # noqa: E402
+from riskweave.streaming import activity_stream as stream  # noqa: E402
+
+ACTIVITY_KEYS = ["account_id", "week_start"]
+PREVIOUS_RUN = fx.AS_OF - _dt.timedelta(days=7)
+
+
+def _spine_mondays(as_of: _dt.date, weeks: int = 12) -> list[_dt.date]:
+    monday = as_of - _dt.timedelta(days=as_of.weekday())
+    return [monday - _dt.timedelta(days=7 * n) for n in range(weeks)]
+
+
+def _previous_activity(spark, sf_dir):
+    s = _replace(FIXTURE_SETTINGS, as_of=PREVIOUS_RUN, bound_future=True)
+    return build(fx.raw_tables(spark, sf_dir), s, stamp=False).activity
+
+
+def q_upsert_activity(spark, sf_dir):
+    """Two weekly incremental runs into one table; the second deactivates an account, whose
+    rows in the overwritten weeks stay (stale rows are never deleted)."""
+    path = scratch_path(spark, "int_account_activity_weekly")
+    tb.upsert(_previous_activity(spark, sf_dir), path, ACTIVITY_KEYS, "week_start")
+    st = stage_all(fx.raw_tables(spark, sf_dir, inactive_ids=(FLIP_ACCOUNT,)))
+    batch = act.activity_weekly(
+        st["accounts"], st["product_events"], FIXTURE_SETTINGS, incremental=True, stamp=False
+    )
+    return tb.upsert(batch, path, ACTIVITY_KEYS, "week_start", touched=_spine_mondays(fx.AS_OF))
+
+
+def q_schema_sync(spark, sf_dir):
+    """The earlier run's table lacks usage_trend_pct and carries a since-removed column;
+    after the upsert the table has exactly the new run's columns."""
+    path = scratch_path(spark, "int_account_activity_weekly")
+    old = _previous_activity(spark, sf_dir).drop("usage_trend_pct").withColumn(
+        "legacy_flag", F.lit(True)
+    )
+    tb.upsert(old, path, ACTIVITY_KEYS, "week_start")
+    new = _built(spark, sf_dir).activity
+    return tb.upsert(new, path, ACTIVITY_KEYS, "week_start")
+
+
+def q_activity_stream(spark, sf_dir):
+    """Weekly usage maintained by the stream over the fixture events, in several batches."""
+    events = _staged(spark, sf_dir)["product_events"]
+    src = scratch_path(spark, "events_in")
+    events.repartition(4, "event_id").write.parquet(src)
+    return stream.run_available(
+        spark, src, scratch_path(spark, "event_store"), scratch_path(spark, "weekly_usage"),
+        scratch_path(spark, "stream_ckpt"), max_files_per_trigger=1,
+    )
+
+
+SINKS: dict[str, Query] = {
+    "upsert_activity": q_upsert_activity,
+    "schema_sync": q_schema_sync,
+    "activity_stream": q_activity_stream,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**CORE, **HISTORY, **MODELS, **REPORTS}
+    return {**CORE, **HISTORY, **MODELS, **REPORTS, **SINKS}
 
 
 _ = B  # bands are the shared fixed values behind both sides
