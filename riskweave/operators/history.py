@@ -109,18 +109,24 @@ def scd2_from_log(
     key: str = "account_id",
     check_cols: Sequence[str] = CHECK_COLUMNS,
     invalidate_hard_deletes: bool = True,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """Batch SCD2 over a log of snapshot frames (one row per key per snapshot it was in).
 
+    runs: optional one-column frame of every run's timestamp.
     A version starts when the key first appears, reappears after missing a snapshot
     (hard delete), or its check columns change. It ends at the next version's start,
     or at the first snapshot the key is absent from.
     """
     ts = F.col(ts_col).cast("timestamp_ntz")
     data_cols = [c for c in log.columns if c != ts_col]
-    # the ordered list of snapshot runs: one row per run, so a single-partition window
-    # here sorts only as many rows as there were runs
-    runs = log.select(ts.alias("__ts")).distinct()
+    # the ordered list of snapshot runs (taken from the log unless given, e.g. when a run
+    # saw no rows at all): one row per run, so this single-partition window sorts only
+    # as many rows as there were runs
+    if runs is None:
+        runs = log.select(ts.alias("__ts")).distinct()
+    else:
+        runs = runs.select(F.col(runs.columns[0]).cast("timestamp_ntz").alias("__ts")).distinct()
     order = Window.orderBy("__ts")
     runs = runs.select(
         "__ts",

@@ -86,7 +86,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_synced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a partitioned table in its current schema: columns added since older files
     were written come back NULL, columns dropped since are not read (schema sync)."""
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def upsert(
