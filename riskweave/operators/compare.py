@@ -156,6 +156,11 @@ def rule_vs_ml(scores: DataFrame, predictions: DataFrame) -> DataFrame:
     return j.select(*[c for c in MART_COLUMNS if c in j.columns])
 
 
+def ordered_ml(mart: DataFrame) -> DataFrame:
+    """ORD3: the side-by-side mart by ML score, highest first (account_id breaks ties)."""
+    return mart.orderBy(F.col("risk_score_ml").desc(), "account_id")
+
+
 def compare_frame(scores: DataFrame, predictions: DataFrame) -> DataFrame:
     """ML15: the side-by-side listing (scores to 1 dp, probability to 3 dp)."""
     r, m = scores, predictions

@@ -121,6 +121,12 @@ def component_share(scores: DataFrame) -> DataFrame:
     )
 
 
+def as_json_records(df: DataFrame, name: str = "json") -> DataFrame:
+    """FN19: each row as one JSON object (the payload format of the digest and the
+    dashboard data), produced per row on the executors."""
+    return df.select(F.to_json(F.struct(*df.columns)).alias(name))
+
+
 def _fmt0(x: F.Column) -> F.Column:
     return F.format_string("%.0f", py_round(x, 0))
 

@@ -143,3 +143,25 @@ def load_model(spark: SparkSession, path: str):
     from pyspark.ml import PipelineModel
 
     return PipelineModel.load(f"{path}/model"), spark.read.json(f"{path}/metadata").first().asDict()
+
+
+# --- snapshot table (SNK5) -------------------------------------------------------------------
+
+
+def apply_snapshot(
+    spark: SparkSession, path: str, current: DataFrame, ts, key: str = "account_id"
+) -> DataFrame:
+    """Run one snapshot against the stored history at `path` and store the result.
+
+    The new history is materialised (reliable checkpoint) before the old files are
+    overwritten, so the read and the overwrite never share a plan."""
+    from riskweave.operators.history import scd2_apply
+
+    if not path_exists(spark, path):
+        out = scd2_apply(None, current, ts, key=key)
+    else:
+        out = scd2_apply(spark.read.parquet(path), current, ts, key=key)
+        ensure_checkpoint_dir(spark)
+        out = out.checkpoint(eager=True)
+    out.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

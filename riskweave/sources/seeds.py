@@ -36,3 +36,24 @@ class RawSources:
 
     def load(self, spark: SparkSession) -> dict[str, DataFrame]:
         return {t: self.read(spark, t) for t in schemas.RAW}
+
+
+def read_predictions(spark: SparkSession, name: str = "ml_output.ml_predictions") -> DataFrame:
+    """SRC3: the prediction table written by the ML scoring step."""
+    return spark.table(name)
+
+
+def load_current_features(
+    spark: SparkSession,
+    columns: list[str],
+    candidates: tuple[str, ...] = (
+        "intermediate.int_churn_features",
+        "spark_catalog.intermediate.int_churn_features",
+        "int_churn_features",
+    ),
+) -> DataFrame:
+    """SRC4: the feature table under the first name that exists, only the needed columns."""
+    for name in candidates:
+        if spark.catalog.tableExists(name):
+            return spark.table(name).select(*columns)
+    raise LookupError(f"none of {candidates} exists; run the weekly build first")
