@@ -44,12 +44,45 @@ class Settings:
     tier_medium: float = 40.0
     weights: Weights = field(default_factory=Weights)
     bound_future: bool = False
+    # multi-run mode: several as_of dates in one plan, the run date carried as a column
+    run_col: str | None = None
+    run_dates: tuple[dt.date, ...] = ()
+    bounded_dates: tuple[dt.date, ...] = ()
 
     def with_as_of(self, as_of: dt.date) -> "Settings":
         return replace(self, as_of=as_of)
 
+    @classmethod
+    def runs(
+        cls, dates, bounded=(), run_col: str = "run_as_of", base: "Settings | None" = None
+    ) -> "Settings":
+        """Settings for a multi-run plan over `dates` (bounded ones see no later events)."""
+        base = base or cls()
+        return replace(
+            base, as_of=None, run_col=run_col, run_dates=tuple(sorted(dates)),
+            bounded_dates=tuple(sorted(bounded)), bound_future=False,
+        )
+
+    def keys(self, *cols: str) -> list[str]:
+        """Grouping / join keys: the run column (multi-run mode) plus `cols`."""
+        return ([self.run_col] if self.run_col else []) + list(cols)
+
+    def tag_runs(self, df, ts_col: str | None = None, window_days: int | None = None):
+        """Multi-run mode: one copy of each row per run that can see it. With a trailing
+        window only runs whose window covers the row's timestamp are generated, so the
+        fan-out is bounded by the number of overlapping windows, not the number of runs."""
+        if not self.run_col:
+            return df
+        runs = F.array(*[F.lit(d) for d in self.run_dates])
+        if ts_col is not None and window_days is not None:
+            ts = F.col(ts_col)
+            runs = F.filter(runs, lambda r: ts >= F.date_sub(r, window_days).cast("timestamp_ntz"))
+        return df.withColumn(self.run_col, F.explode(runs))
+
     # -- Column views of the clock ------------------------------------------------
     def as_of_col(self) -> Column:
+        if self.run_col:
+            return F.col(self.run_col)
         return F.lit(self.as_of) if self.as_of is not None else F.current_date()
 
     def run_ts_col(self) -> Column:
@@ -66,7 +99,35 @@ class Settings:
         return F.date_sub(self.as_of_col(), days).cast("timestamp_ntz")
 
     def upper_ts(self) -> Column | None:
-        """Exclusive upper bound for dated sources, or None when unbounded."""
+        """Exclusive upper bound for dated sources, or None when unbounded (in multi-run
+        mode NULL for the runs that are not bounded)."""
+        if self.run_col:
+            if not self.bounded_dates:
+                return None
+            run = F.col(self.run_col)
+            return F.when(
+                run.isin([F.lit(d) for d in self.bounded_dates]),
+                F.date_add(run, 1).cast("timestamp_ntz"),
+            )
         if not self.bound_future:
             return None
         return F.date_add(self.as_of_col(), 1).cast("timestamp_ntz")
+
+    def below_upper(self, ts: Column) -> Column | None:
+        """Predicate keeping rows before the upper bound, or None when nothing is bounded."""
+        upper = self.upper_ts()
+        if upper is None:
+            return None
+        return (upper.isNull() | (ts < upper)) if self.run_col else ts < upper
+
+    def spine_bounds(self, weeks: int) -> tuple[Column, Column]:
+        """Literal [first spine Monday, end of last spine week) over every run, so the
+        event range filter reaches the scan even in multi-run mode."""
+        if self.run_col:
+            mondays = [d - dt.timedelta(days=d.weekday()) for d in self.run_dates]
+            lo = min(mondays) - dt.timedelta(days=7 * (weeks - 1))
+            hi = max(mondays) + dt.timedelta(days=7)
+            return F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")
+        lo = F.date_sub(self.monday_col(), 7 * (weeks - 1)).cast("timestamp_ntz")
+        hi = F.date_add(self.monday_col(), 7).cast("timestamp_ntz")
+        return lo, hi

@@ -12,7 +12,7 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def round_half_up(x, n: int) -> Column:
+def round_half_up(x, n: int, nonneg: bool = False) -> Column:
     """Round half away from zero on the scaled double: sign(x) * floor(|x| * 10^n + 0.5) / 10^n.
 
     Spark's round() rounds the decimal text of a double, which disagrees with
@@ -21,6 +21,10 @@ def round_half_up(x, n: int) -> Column:
     """
     x = _c(x)
     scale = float(10**n)
+    if nonneg:
+        # inputs known to be >= 0 (scores): one reference to x, so nested roundings
+        # inlined by the optimizer grow linearly instead of doubling per level
+        return F.floor(x * scale + 0.5) / scale
     return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
 
 

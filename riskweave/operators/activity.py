@@ -10,6 +10,8 @@ partitioning (account_id) and one sort.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def week_spine(accounts: DataFrame, s: Settings, carry: bool = True) -> DataFram
     With carry=True the account attributes used downstream ride along, which replaces
     the second account join of the SQL formulation (account_id is unique).
     """
-    cols = ["account_id"]
+    cols = s.keys("account_id")
     if carry:
         cols += ["seats_contracted", "mrr", "plan_name", "renewal_date"]
     n = F.explode(F.sequence(F.lit(0), F.lit(s.spine_weeks - 1))).alias("n")
@@ -60,22 +62,46 @@ def spine_window(events: DataFrame, s: Settings, weeks: int | None = None) -> Da
     """Events that can land in the spine (or the lookback); the bare event_ts comparison
     reaches the Parquet scan as a pushed filter."""
     weeks = s.spine_weeks if weeks is None else weeks
-    lo = F.date_sub(s.monday_col(), 7 * (weeks - 1)).cast("timestamp_ntz")
-    hi = F.date_add(s.monday_col(), 7).cast("timestamp_ntz")
+    lo, hi = s.spine_bounds(weeks)
     out = events.where((F.col("event_ts") >= lo) & (F.col("event_ts") < hi))
-    upper = s.upper_ts()
-    return out.where(F.col("event_ts") < upper) if upper is not None else out
+    if s.run_col:  # bounded runs get their partial current week from partial_current_week
+        return out
+    keep = s.below_upper(F.col("event_ts"))
+    return out.where(keep) if keep is not None else out
 
 
 def lookback_window(events: DataFrame, s: Settings) -> DataFrame:
     """FLT2: incremental-run filter event_ts >= Monday - lookback_weeks."""
     lo = F.date_sub(s.monday_col(), 7 * s.lookback_weeks).cast("timestamp_ntz")
     out = events.where(F.col("event_ts") >= lo)
-    upper = s.upper_ts()
-    return out.where(F.col("event_ts") < upper) if upper is not None else out
+    keep = s.below_upper(F.col("event_ts"))
+    return out.where(keep) if keep is not None else out
+
 
+USAGE_COLUMNS = ["wau", "session_count", "event_count", "distinct_features_used", "last_event_ts"]
 
-def weekly_usage(events: DataFrame, approx: bool = False) -> DataFrame:
+
+def partial_current_week(events: DataFrame, s: Settings) -> DataFrame | None:
+    """Multi-run mode: usage of each bounded run's own week up to its as_of (the only
+    week whose aggregate differs between runs). Each event belongs to at most the
+    bounded runs of its own week, so the fan-out is tiny."""
+    if not (s.run_col and s.bounded_dates):
+        return None
+    ts = F.col("event_ts")
+    runs = F.array(*[F.lit(d) for d in s.bounded_dates])
+    mine = F.filter(
+        runs,
+        lambda r: (ts >= F.trunc(r, "week").cast("timestamp_ntz"))
+        & (ts < F.date_add(r, 1).cast("timestamp_ntz")),
+    )
+    lo = min(d - dt.timedelta(days=d.weekday()) for d in s.bounded_dates)
+    hi = max(s.bounded_dates) + dt.timedelta(days=1)
+    ev = events.where((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
+    tagged = ev.withColumn(s.run_col, F.explode(mine))
+    return weekly_usage(tagged, keys=[s.run_col])
+
+
+def weekly_usage(events: DataFrame, approx: bool = False, keys: list[str] | None = None) -> DataFrame:
     """AGG1: per (account, Monday) distinct users/sessions/features, events, last event.
 
     approx=True swaps the exact distinct counts for HyperLogLog++ (rsd 1%), which keeps
@@ -84,7 +110,8 @@ def weekly_usage(events: DataFrame, approx: bool = False) -> DataFrame:
     distinct = (
         (lambda c: F.approx_count_distinct(c, 0.01)) if approx else (lambda c: F.countDistinct(c))
     )
-    return events.groupBy("account_id", week_start("event_ts").alias("week_start")).agg(
+    by = list(keys or []) + ["account_id", week_start("event_ts").alias("week_start")]
+    return events.groupBy(*by).agg(
         distinct("user_id").alias("wau"),
         distinct("session_id").alias("session_count"),
         F.count(F.lit(1)).alias("event_count"),
@@ -93,12 +120,30 @@ def weekly_usage(events: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-def dense_activity(spine: DataFrame, usage: DataFrame) -> DataFrame:
-    """JN2 + derived per-week columns, before the windows."""
+def dense_activity(
+    spine: DataFrame, usage: DataFrame, s: Settings | None = None, partial: DataFrame | None = None
+) -> DataFrame:
+    """JN2 + derived per-week columns, before the windows.
+
+    partial: multi-run mode, the bounded runs' current-week usage, which replaces the
+    shared full-week values on those (run, account, current week) rows."""
+    j = spine.join(usage, ["account_id", "week_start"], "left")
+    if partial is not None:
+        p = partial.select(
+            *s.keys("account_id"), "week_start", *[F.col(c).alias(f"__p_{c}") for c in USAGE_COLUMNS]
+        )
+        j = j.join(p, s.keys("account_id", "week_start"), "left")
+        run = F.col(s.run_col)
+        use_p = (F.col("week_start") == F.trunc(run, "week")) & run.isin(
+            [F.lit(d) for d in s.bounded_dates]
+        )
+        j = j.withColumns({c: F.when(use_p, F.col(f"__p_{c}")).otherwise(F.col(c)) for c in USAGE_COLUMNS})
+    keys = s.keys() if s is not None else []
     week_end = F.date_add("week_start", 6)
     wau = F.coalesce("wau", F.lit(0).cast("bigint"))
     seats = F.col("seats_contracted")
-    return spine.join(usage, ["account_id", "week_start"], "left").select(
+    return j.select(
+        *keys,
         "account_id",
         "week_start",
         week_end.alias("week_end"),
@@ -119,9 +164,9 @@ def dense_activity(spine: DataFrame, usage: DataFrame) -> DataFrame:
     )
 
 
-def with_trends(activity: DataFrame) -> DataFrame:
+def with_trends(activity: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """WIN1-4 over one window spec (one sort per account partition)."""
-    w = Window.partitionBy("account_id").orderBy("week_start")
+    w = Window.partitionBy(*(keys or ["account_id"])).orderBy("week_start")
     cur = F.avg("wau").over(w.rowsBetween(-3, 0))
     prev = F.avg("wau").over(w.rowsBetween(-7, -4))
     out = activity.select(
@@ -150,7 +195,8 @@ def activity_weekly(
     """
     window = lookback_window(events, s) if incremental else spine_window(events, s)
     usage = weekly_usage(window, approx=approx)
-    out = with_trends(dense_activity(week_spine(accounts, s), usage)).select(*ACTIVITY_COLUMNS)
+    dense = dense_activity(week_spine(accounts, s), usage, s, partial_current_week(events, s))
+    out = with_trends(dense, s.keys("account_id")).select(*s.keys(), *ACTIVITY_COLUMNS)
     if stamp:
         out = out.withColumn("updated_at", s.run_ts_col())
     return out

@@ -48,9 +48,10 @@ def churn_features(
     to the current one (used to build multi-week training snapshots).
     """
     a = activity if week_col else activity.where(F.col("week_start") == s.monday_col())
-    j = a.join(support, "account_id", "left").join(billing, "account_id", "left")
+    keys = s.keys("account_id")
+    j = a.join(support, keys, "left").join(billing, keys, "left")
     return j.select(
-        "account_id",
+        *keys,
         F.col("week_start").alias("feature_week"),
         *FEATURE_COLUMNS[2:21],
         F.col("days_to_renewal").between(0, s.renewal_window_days).alias("is_in_renewal_window"),

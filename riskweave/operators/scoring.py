@@ -78,7 +78,7 @@ def _mean(cols: list[str]) -> Column:
     total = F.col(cols[0])
     for c in cols[1:]:
         total = total + F.col(c)
-    return round_half_up(total / F.lit(float(len(cols))), 2)
+    return round_half_up(total / F.lit(float(len(cols))), 2, nonneg=True)
 
 
 def subscores(features: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def risk_score_col(s: Settings) -> Column:
         + F.col("commercial_score") * w.commercial
         + F.col("support_score") * w.support
     )
-    return round_half_up(raw, 2)
+    return round_half_up(raw, 2, nonneg=True)
 
 
 def tier_col(score: Column, s: Settings) -> Column:
@@ -123,8 +123,8 @@ def risk_scores(features: DataFrame, s: Settings, stamp: bool = True) -> DataFra
         {"risk_tier": tier_col(F.col("risk_score"), s), "scored_week": F.col("feature_week")}
     )
     if stamp:
-        return out.select(*SCORE_COLUMNS, s.run_ts_col().alias("scored_at"))
-    return out.select(*SCORE_COLUMNS)
+        return out.select(*s.keys(), *SCORE_COLUMNS, s.run_ts_col().alias("scored_at"))
+    return out.select(*s.keys(), *SCORE_COLUMNS)
 
 
 def ranked(scores: DataFrame) -> DataFrame:

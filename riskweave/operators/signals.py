@@ -7,6 +7,8 @@ partial row per task, not its raw rows. The account joins then co-partition on a
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +17,15 @@ from riskweave.functions.exprs import day_diff, round_half_up
 
 
 def _bounded(df: DataFrame, ts: str, s: Settings) -> DataFrame:
-    upper = s.upper_ts()
-    return df.where(F.col(ts) < upper) if upper is not None else df
+    keep = s.below_upper(F.col(ts))
+    return df.where(keep) if keep is not None else df
 
 
 def ticket_aggregate(tickets: DataFrame, s: Settings) -> DataFrame:
-    t = _bounded(tickets, "created_at", s)
+    t = _bounded(s.tag_runs(tickets), "created_at", s)
     recent = F.col("created_at") >= s.days_back_ts(s.recent_days)
     resolution = F.when(F.col("resolved_at").isNotNull(), day_diff("created_at", "resolved_at"))
-    return t.groupBy("account_id").agg(
+    return t.groupBy(*s.keys("account_id")).agg(
         F.count_if(F.col("status") == "open").alias("open_tickets_count"),
         F.count_if(F.col("severity").isin("P1", "P2") & recent).alias("p1_p2_tickets_30d"),
         F.avg(resolution).alias("avg_ticket_resolution_days"),
@@ -34,10 +36,10 @@ def support_signals(accounts: DataFrame, tickets: DataFrame, s: Settings) -> Dat
     """int_account_support_signals: every account, zero-filled counts."""
     agg = ticket_aggregate(tickets, s)
     return (
-        accounts.select("account_id")
-        .join(agg, "account_id", "left")
+        accounts.select(*s.keys("account_id"))
+        .join(agg, s.keys("account_id"), "left")
         .select(
-            "account_id",
+            *s.keys("account_id"),
             "avg_ticket_resolution_days",
             F.coalesce("open_tickets_count", F.lit(0).cast("bigint")).alias("open_tickets_count"),
             F.coalesce("p1_p2_tickets_30d", F.lit(0).cast("bigint")).alias("p1_p2_tickets_30d"),
@@ -47,15 +49,21 @@ def support_signals(accounts: DataFrame, tickets: DataFrame, s: Settings) -> Dat
 
 def active_users_30d(events: DataFrame, s: Settings) -> DataFrame:
     """AGG2: distinct users with an event in the trailing window (pushed-down filter)."""
-    ev = _bounded(events.where(F.col("event_ts") >= s.days_back_ts(s.recent_days)), "event_ts", s)
-    return ev.groupBy("account_id").agg(F.countDistinct("user_id").alias("active_users_30d"))
+    if s.run_col:
+        first = min(s.run_dates) - dt.timedelta(days=s.recent_days)
+        ev = events.where(F.col("event_ts") >= F.lit(first).cast("timestamp_ntz"))
+        ev = s.tag_runs(ev, "event_ts", s.recent_days)
+    else:
+        ev = events.where(F.col("event_ts") >= s.days_back_ts(s.recent_days))
+    ev = _bounded(ev, "event_ts", s)
+    return ev.groupBy(*s.keys("account_id")).agg(F.countDistinct("user_id").alias("active_users_30d"))
 
 
 def billing_aggregate(billing: DataFrame, s: Settings) -> DataFrame:
-    b = _bounded(billing, "event_ts", s)
+    b = _bounded(s.tag_runs(billing), "event_ts", s)
     ts = F.col("event_ts")
     kind = F.col("event_type")
-    return b.groupBy("account_id").agg(
+    return b.groupBy(*s.keys("account_id")).agg(
         F.bool_or((kind == "payment_failure") & (ts >= s.days_back_ts(s.recent_days))).alias(
             "had_payment_failure_30d"
         ),
@@ -71,12 +79,13 @@ def billing_signals(
     """int_account_billing_signals: flags plus active-user / contracted-seat ratio."""
     seats = F.col("seats_contracted")
     users = F.coalesce("active_users_30d", F.lit(0).cast("bigint"))
+    keys = s.keys("account_id")
     return (
-        accounts.select("account_id", "seats_contracted")
-        .join(billing_aggregate(billing, s), "account_id", "left")
-        .join(active_users_30d(events, s), "account_id", "left")
+        accounts.select(*keys, "seats_contracted")
+        .join(billing_aggregate(billing, s), keys, "left")
+        .join(active_users_30d(events, s), keys, "left")
         .select(
-            "account_id",
+            *keys,
             F.coalesce("had_payment_failure_30d", F.lit(False)).alias("had_payment_failure_30d"),
             F.coalesce("had_downgrade_90d", F.lit(False)).alias("had_downgrade_90d"),
             F.when(seats > 0, round_half_up(users / seats, 4)).alias("seat_contracted_ratio"),

@@ -1,15 +1,18 @@
 """Entry 2 - score history: weekly score runs -> SCD2 history -> alerts.
 
-Backfill computes one weekly build per as_of with every dated source bounded above
-(bound_future), so each run sees only what existed on its day. Each run scans only
-its own spine window of events (pushed-down range filter).
+A backfill scores several as_of dates in ONE plan (multi-run mode): the run date is a
+column, complete weeks of events are aggregated once over the union of the spines, and
+only each bounded run's partial current week is aggregated on its own. Dated sources
+are bounded above for past runs (they must not see later events); the last run is the
+live one and keeps `s.bound_future` as given, so the newest snapshot equals the scores
+the alerts of that day read. Event scans: one pass over (runs' span + spine) weeks
+instead of one spine per run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -19,7 +22,8 @@ from riskweave.config import Settings
 from riskweave.operators.history import SNAPSHOT_COLUMNS, scd2_apply, scd2_from_log
 from riskweave.plans.weekly import build
 
-RawFor = Callable[[dt.date], dict[str, DataFrame]]
+RUN = "run_as_of"
+AccountsFor = Callable[[dt.date], DataFrame]
 
 
 def snapshot_ts(as_of: dt.date) -> dt.datetime:
@@ -27,46 +31,65 @@ def snapshot_ts(as_of: dt.date) -> dt.datetime:
     return dt.datetime.combine(as_of, dt.time())
 
 
-def weekly_scores(raw_for: RawFor, s: Settings, as_ofs: Sequence[dt.date]) -> list[DataFrame]:
-    """Score frames of the runs in `as_ofs` (ascending). Past runs are bounded at their
-    as_of; the last one is the live run and keeps `s.bound_future` as given, so the
-    newest snapshot equals the scores the alerts of that day read."""
-    runs = []
+def run_settings(s: Settings, as_ofs: Sequence[dt.date]) -> Settings:
     last = max(as_ofs)
-    for day in as_ofs:
-        sd = replace(s, as_of=day, bound_future=True if day != last else s.bound_future)
-        scores = build(raw_for(day), sd, stamp=False).scores
-        runs.append(
-            scores.select(*SNAPSHOT_COLUMNS).withColumn(
-                "snapshot_ts", F.lit(snapshot_ts(day)).cast("timestamp_ntz")
-            )
+    bounded = [d for d in as_ofs if d != last] + ([last] if s.bound_future else [])
+    return Settings.runs(as_ofs, bounded=bounded, run_col=RUN, base=s)
+
+
+def scores_by_run(
+    raw: dict[str, DataFrame],
+    s: Settings,
+    as_ofs: Sequence[dt.date],
+    accounts_for: AccountsFor | None = None,
+) -> DataFrame:
+    """Scores of every run in one plan, keyed by (run_as_of, account_id).
+
+    accounts_for(day): staged account state as of `day` (e.g. deactivations); default
+    is the same accounts for every run."""
+    sr = run_settings(s, as_ofs)
+    accounts = None
+    if accounts_for is not None:
+        accounts = reduce(
+            DataFrame.unionByName,
+            [accounts_for(d).withColumn(RUN, F.lit(d)) for d in sorted(as_ofs)],
         )
-    return runs
+    return build(raw, sr, stamp=False, accounts=accounts).scores
+
+
+def score_log(raw, s, as_ofs, accounts_for=None) -> DataFrame:
+    sc = scores_by_run(raw, s, as_ofs, accounts_for)
+    return sc.select(*SNAPSHOT_COLUMNS, F.col(RUN).cast("timestamp_ntz").alias("snapshot_ts"))
 
 
-def score_log(raw_for: RawFor, s: Settings, as_ofs: Sequence[dt.date]) -> DataFrame:
-    return reduce(DataFrame.unionByName, weekly_scores(raw_for, s, as_ofs))
+def _runs_frame(spark, as_ofs) -> DataFrame:
+    return spark.createDataFrame([(snapshot_ts(d),) for d in as_ofs], "snapshot_ts timestamp_ntz")
 
 
-def history_batch(raw_for: RawFor, s: Settings, as_ofs: Sequence[dt.date]) -> DataFrame:
+def history_batch(raw, s, as_ofs, accounts_for=None) -> DataFrame:
     """SCD2 history of a backfill in one pass (lag/lead over the score log)."""
-    return scd2_from_log(score_log(raw_for, s, as_ofs))
+    log = score_log(raw, s, as_ofs, accounts_for)
+    return scd2_from_log(log, runs=_runs_frame(log.sparkSession, as_ofs))
 
 
 def history_fold(
-    raw_for: RawFor,
+    raw,
     s: Settings,
     as_ofs: Sequence[dt.date],
+    accounts_for: AccountsFor | None = None,
     cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """SCD2 history built run by run with scd2_apply, as a weekly job would.
+    """SCD2 history built run by run with scd2_apply, as the weekly job does.
 
-    `cut` materialises each intermediate history (e.g. DataFrame.checkpoint or a write
-    to the shared folder) so the lineage stays one run deep.
-    """
+    `cut` materialises the run scores once and each intermediate history (e.g.
+    DataFrame.checkpoint) so the lineage stays one run deep."""
+    scores = scores_by_run(raw, s, as_ofs, accounts_for)
+    if cut is not None:
+        scores = cut(scores)
     hist = None
-    for day, run in zip(as_ofs, weekly_scores(raw_for, s, as_ofs)):
-        hist = scd2_apply(hist, run.drop("snapshot_ts"), snapshot_ts(day))
+    for day in sorted(as_ofs):
+        run = scores.where(F.col(RUN) == F.lit(day)).select(*SNAPSHOT_COLUMNS)
+        hist = scd2_apply(hist, run, snapshot_ts(day))
         if cut is not None:
             hist = cut(hist)
     return hist

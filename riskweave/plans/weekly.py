@@ -27,8 +27,20 @@ class WeeklyBuild:
     scores: DataFrame
 
 
-def build(raw: dict[str, DataFrame], s: Settings, stamp: bool = True) -> WeeklyBuild:
+def build(
+    raw: dict[str, DataFrame],
+    s: Settings,
+    stamp: bool = True,
+    accounts: DataFrame | None = None,
+) -> WeeklyBuild:
+    """accounts: staged accounts to use instead of raw["accounts"]; in multi-run mode
+    they may already carry the run column (per-run account state), otherwise every run
+    sees the same accounts."""
     st = stage_all(raw)
+    if accounts is not None:
+        st["accounts"] = accounts
+    if s.run_col and s.run_col not in st["accounts"].columns:
+        st["accounts"] = s.tag_runs(st["accounts"])
     accounts, events = st["accounts"], st["product_events"]
     activity = act.activity_weekly(accounts, events, s, stamp=stamp)
     support = signals.support_signals(accounts, st["support_tickets"], s)

@@ -159,15 +159,20 @@ HISTORY_DAYS = [fx.AS_OF - _dt.timedelta(days=d) for d in (21, 14, 7, 0)]
 FLIP_ACCOUNT = "12"
 
 
-def _raw_for(spark, sf_dir):
+def _accounts_for(spark, sf_dir):
+    """Account state per history run: the flip account is inactive on the third run."""
+    from riskweave.sources.staging import stg_accounts
+
     flip_day = HISTORY_DAYS[2]
-    return lambda day: fx.raw_tables(
-        spark, sf_dir, inactive_ids=(FLIP_ACCOUNT,) if day == flip_day else ()
+    return lambda day: stg_accounts(
+        fx.accounts(spark, sf_dir, inactive_ids=(FLIP_ACCOUNT,) if day == flip_day else ())
     )
 
 
 def _history(spark, sf_dir):
-    return bf.history_batch(_raw_for(spark, sf_dir), FIXTURE_SETTINGS, HISTORY_DAYS)
+    return bf.history_batch(
+        fx.raw_tables(spark, sf_dir), FIXTURE_SETTINGS, HISTORY_DAYS, _accounts_for(spark, sf_dir)
+    )
 
 
 def q_scd2_history(spark, sf_dir):
@@ -179,7 +184,8 @@ def q_scd2_apply(spark, sf_dir):
 
     ensure_checkpoint_dir(spark)
     return bf.history_fold(
-        _raw_for(spark, sf_dir), FIXTURE_SETTINGS, HISTORY_DAYS, cut=lambda d: d.checkpoint()
+        fx.raw_tables(spark, sf_dir), FIXTURE_SETTINGS, HISTORY_DAYS, _accounts_for(spark, sf_dir),
+        cut=lambda d: d.checkpoint(),
     ).drop("dbt_updated_at")
 
 
