@@ -66,10 +66,20 @@ def _runs_frame(spark, as_ofs) -> DataFrame:
     return spark.createDataFrame([(snapshot_ts(d),) for d in as_ofs], "snapshot_ts timestamp_ntz")
 
 
+def history_from_scores(scores: DataFrame, as_ofs: Sequence[dt.date]) -> DataFrame:
+    """SCD2 history from a scores_by_run frame (lag/lead over the score log)."""
+    log = scores.select(*SNAPSHOT_COLUMNS, F.col(RUN).cast("timestamp_ntz").alias("snapshot_ts"))
+    return scd2_from_log(log, runs=_runs_frame(scores.sparkSession, as_ofs))
+
+
+def live_scores(scores: DataFrame, as_ofs: Sequence[dt.date]) -> DataFrame:
+    """The last (live) run of a scores_by_run frame: the current week's scores."""
+    return scores.where(F.col(RUN) == F.lit(max(as_ofs))).drop(RUN)
+
+
 def history_batch(raw, s, as_ofs, accounts_for=None) -> DataFrame:
     """SCD2 history of a backfill in one pass (lag/lead over the score log)."""
-    log = score_log(raw, s, as_ofs, accounts_for)
-    return scd2_from_log(log, runs=_runs_frame(log.sparkSession, as_ofs))
+    return history_from_scores(scores_by_run(raw, s, as_ofs, accounts_for), as_ofs)
 
 
 def history_fold(

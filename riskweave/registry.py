@@ -201,9 +201,19 @@ def q_high_streak(spark, sf_dir):
     return hi.high_streak(_history(spark, sf_dir), FIXTURE_SETTINGS.as_of_col())
 
 
+def _runs(spark, sf_dir):
+    return bf.scores_by_run(
+        fx.raw_tables(spark, sf_dir), FIXTURE_SETTINGS, HISTORY_DAYS, _accounts_for(spark, sf_dir)
+    )
+
+
 def _alerts(spark, sf_dir, stamp=False):
-    scores = _built(spark, sf_dir).scores
-    return al.churn_alerts(scores, _history(spark, sf_dir), FIXTURE_SETTINGS, stamp=stamp)
+    """Current scores are the live run of the same multi-run plan the history comes from
+    (the weekly order: score, snapshot, then alerts), so they are computed once."""
+    runs = _runs(spark, sf_dir)
+    scores = bf.live_scores(runs, HISTORY_DAYS)
+    hist = bf.history_from_scores(runs, HISTORY_DAYS)
+    return al.churn_alerts(scores, hist, FIXTURE_SETTINGS, stamp=stamp)
 
 
 def q_alerts(spark, sf_dir):
@@ -224,35 +234,38 @@ def q_top_risk_driver(spark, sf_dir):
 
 def dq_tables(spark, sf_dir, with_ml: bool = True) -> dict[str, DataFrame]:
     """Every model of the fixture world under its model name (audit columns stamped),
-    each materialised once (reliable checkpoint in the shared folder) the way the data
-    tests of a build run against its written tables."""
+    materialised in dependency order (reliable checkpoints in the shared folder): each
+    model reads its upstream models' stored rows, as the data tests of a build run
+    against its written tables."""
+    from riskweave.operators import features as feat_
+    from riskweave.operators import signals as sig
     from riskweave.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    b = build(fx.raw_tables(spark, sf_dir), FIXTURE_SETTINGS, stamp=True)
-    tables = {f"stg_{k}": v for k, v in b.staged.items()}
-    tables.update(
-        {
-            "int_account_activity_weekly": b.activity,
-            "int_churn_features": b.features,
-            "int_account_support_signals": b.support,
-            "int_account_billing_signals": b.billing,
-            "mart_churn_risk_scores": b.scores,
-            "snp_churn_risk_scores": _history(spark, sf_dir),
-        }
-    )
-    tables = {k: v.checkpoint() for k, v in tables.items()}
-    tables["mart_churn_alerts"] = al.churn_alerts(
-        tables["mart_churn_risk_scores"], tables["snp_churn_risk_scores"], FIXTURE_SETTINGS
+    s = FIXTURE_SETTINGS
+    st = {k: v.checkpoint() for k, v in stage_all(fx.raw_tables(spark, sf_dir)).items()}
+    accounts, events = st["accounts"], st["product_events"]
+    t = {f"stg_{k}": v for k, v in st.items()}
+    t["int_account_activity_weekly"] = act.activity_weekly(accounts, events, s).checkpoint()
+    t["int_account_support_signals"] = sig.support_signals(accounts, st["support_tickets"], s).checkpoint()
+    t["int_account_billing_signals"] = sig.billing_signals(
+        accounts, st["billing_events"], events, s
+    ).checkpoint()
+    t["int_churn_features"] = feat_.churn_features(
+        t["int_account_activity_weekly"], t["int_account_support_signals"],
+        t["int_account_billing_signals"], s,
+    ).checkpoint()
+    t["mart_churn_risk_scores"] = scoring.risk_scores(t["int_churn_features"], s).checkpoint()
+    t["snp_churn_risk_scores"] = _history(spark, sf_dir).checkpoint()
+    t["mart_churn_alerts"] = al.churn_alerts(
+        t["mart_churn_risk_scores"], t["snp_churn_risk_scores"], s
     ).checkpoint()
     if with_ml:
-        from riskweave.operators import compare
+        from riskweave.operators import compare as cmp
 
-        preds = compare.propensity_predictions(tables["int_churn_features"], FIXTURE_SETTINGS)
-        tables["mart_churn_risk_scores_ml"] = compare.rule_vs_ml(
-            tables["mart_churn_risk_scores"], preds
-        ).checkpoint()
-    return tables
+        preds = cmp.propensity_predictions(t["int_churn_features"], s)
+        t["mart_churn_risk_scores_ml"] = cmp.rule_vs_ml(t["mart_churn_risk_scores"], preds).checkpoint()
+    return t
 
 
 def _dq(tests: tuple[str, ...]):
@@ -391,7 +404,10 @@ from riskweave.operators import reports as rp  # noqa: E402
 
 
 def _scores_alerts(spark, sf_dir):
-    return _built(spark, sf_dir).scores, _alerts(spark, sf_dir)
+    runs = _runs(spark, sf_dir)
+    scores = bf.live_scores(runs, HISTORY_DAYS)
+    hist = bf.history_from_scores(runs, HISTORY_DAYS)
+    return scores, al.churn_alerts(scores, hist, FIXTURE_SETTINGS, stamp=False)
 
 
 def q_kpis(spark, sf_dir):
