@@ -202,9 +202,15 @@ def q_high_streak(spark, sf_dir):
 
 
 def _runs(spark, sf_dir):
+    """Scores of every history run, materialised once (the stored scores table that both
+    the snapshot and the alerts of the week read; a reliable checkpoint in the shared
+    folder)."""
+    from riskweave.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     return bf.scores_by_run(
         fx.raw_tables(spark, sf_dir), FIXTURE_SETTINGS, HISTORY_DAYS, _accounts_for(spark, sf_dir)
-    )
+    ).checkpoint()
 
 
 def _alerts(spark, sf_dir, stamp=False):
@@ -256,7 +262,10 @@ def dq_tables(spark, sf_dir, with_ml: bool = True) -> dict[str, DataFrame]:
         t["int_account_billing_signals"], s,
     ).checkpoint()
     t["mart_churn_risk_scores"] = scoring.risk_scores(t["int_churn_features"], s).checkpoint()
-    t["snp_churn_risk_scores"] = _history(spark, sf_dir).checkpoint()
+    # the history reads the stored staged tables too (staging casts are no-ops on them)
+    t["snp_churn_risk_scores"] = bf.history_batch(
+        st, s, HISTORY_DAYS, _accounts_for(spark, sf_dir)
+    ).checkpoint()
     t["mart_churn_alerts"] = al.churn_alerts(
         t["mart_churn_risk_scores"], t["snp_churn_risk_scores"], s
     ).checkpoint()
