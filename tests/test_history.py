@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import Counter
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.exprs import week_diff
@@ -63,13 +64,14 @@ def test_invariants(spark):
     h = scd2_from_log(spark.createDataFrame(rows, SCHEMA))
     # at most one open version per key
     assert h.where(F.col("dbt_valid_to").isNull()).groupBy("account_id").count().where("count > 1").count() == 0
-    # versions of a key never overlap
-    a, b = h.alias("a"), h.alias("b")
-    overlap = a.join(b, (F.col("a.account_id") == F.col("b.account_id"))
-                     & (F.col("a.dbt_scd_id") != F.col("b.dbt_scd_id"))
-                     & (F.col("a.dbt_valid_from") < F.coalesce(F.col("b.dbt_valid_to"), F.lit(DAYS[-1] + dt.timedelta(days=1))))
-                     & (F.col("b.dbt_valid_from") < F.coalesce(F.col("a.dbt_valid_to"), F.lit(DAYS[-1] + dt.timedelta(days=1)))))
-    assert overlap.count() == 0
+    # versions of a key never overlap: each starts at or after the previous one ends
+    w = Window.partitionBy("account_id").orderBy("dbt_valid_from")
+    prev_end = F.lag("dbt_valid_to").over(w)
+    prev_open = F.lag(F.col("dbt_valid_to").isNull()).over(w)
+    bad = h.select(prev_end.alias("pe"), prev_open.alias("po"), "dbt_valid_from").where(
+        F.col("po") | (F.col("pe") > F.col("dbt_valid_from"))
+    )
+    assert bad.count() == 0
     assert h.select("dbt_scd_id").distinct().count() == h.count()
 
 
