@@ -476,6 +476,28 @@ def _clip(x: str, lo: str, hi: str) -> str:
     return f"greatest({lo}, least({hi}, {x}))"
 
 
+def _propensity_expr() -> str:
+    usage = (
+        f"0.30 * {_clip('days_since_last_event / 60.0', '0.0', '1.0')}"
+        " + 0.25 * (1.0 - active_user_ratio)"
+        f" + 0.20 * (-{_clip('usage_trend_pct', '-1.0', '0.0')})"
+        " + 0.15 * is_zero_usage_week"
+        " + 0.10 * CAST(distinct_features_used < 2 AS DOUBLE)"
+    )
+    commercial = (
+        f"(0.35 * {_clip(_clip('days_to_renewal', '0.0', '90.0') + ' / 90.0', '0.0', '1.0')}"
+        f" + 0.30 * (1.0 - {_clip('seat_contracted_ratio', '0.0', '1.0')})"
+        " + 0.25 * had_payment_failure_30d + 0.10 * had_downgrade_90d)"
+        f" * (1.0 - {_clip('days_to_renewal', '0.0', '365.0')} / 365.0 * 0.3)"
+    )
+    support = (
+        f"0.50 * {_clip('p1_p2_tickets_30d / 4.0', '0.0', '1.0')}"
+        f" + 0.30 * {_clip('open_tickets_count / 6.0', '0.0', '1.0')}"
+        f" + 0.20 * {_clip('avg_ticket_resolution_days / 14.0', '0.0', '1.0')}"
+    )
+    return f"0.45 * ({usage}) + 0.30 * ({commercial}) + 0.25 * ({support})"
+
+
 def ml_ctes() -> str:
     prep_cols = ",\n         ".join(
         f"coalesce(CAST({c} AS DOUBLE), {PREP_FILL.get(c, '0.0')}) AS {c}" for c in PREP_FEATURES
@@ -799,5 +821,34 @@ DQ = {
 }
 
 
+# --- point-in-time training snapshots ----------------------------------------------------
+
+TRAINING_DAYS = [T - dt.timedelta(days=7 * k) for k in range(12)]
+
+
+def training_sql() -> str:
+    parts, sel = [], []
+    for i, day in enumerate(sorted(TRAINING_DAYS)):
+        parts.append(model_ctes(day, f"_t{i}", bound=day != T).strip().rstrip(","))
+        sel.append(f"SELECT {_d(day)} AS run_as_of, * FROM features_t{i}")
+    prep_cols = ",\n         ".join(
+        f"coalesce(CAST({c} AS DOUBLE), {PREP_FILL.get(c, '0.0')}) AS {c}" for c in PREP_FEATURES
+    )
+    union = "\n  UNION ALL ".join(sel)
+    return (
+        f"WITH {raw_ctes()},\n" + ",\n".join(parts) + f""",
+snapshots AS (
+  {union}
+),
+prepared_runs AS (
+  SELECT run_as_of, account_id, feature_week,
+         {prep_cols}
+  FROM snapshots
+)
+SELECT *, CAST(propensity > 0.45 AS INTEGER) AS weak_label
+FROM (SELECT *, {_propensity_expr()} AS propensity FROM prepared_runs)"""
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**CORE, **HISTORY, **ML, **REPORTS, **SINKS, **DQ}
+    return {**CORE, **HISTORY, **ML, **REPORTS, **SINKS, **DQ, "training_snapshots": training_sql()}

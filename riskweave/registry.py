@@ -359,13 +359,31 @@ def q_cancel_label(spark, sf_dir):
     return ml.cancel_labels(snaps, billing)
 
 
+# FIXED fixture parameter: twelve weekly scoring runs ending at the fixture as_of
+TRAINING_DAYS = [fx.AS_OF - _dt.timedelta(days=7 * k) for k in range(12)]
+
+
+def training_snapshots(spark, sf_dir) -> DataFrame:
+    """Point-in-time training rows: the feature row of every account on each of twelve
+    weekly runs, each run seeing only what existed on its day (one multi-run plan),
+    prepared for modelling and weakly labelled by the propensity."""
+    sr = bf.run_settings(FIXTURE_SETTINGS, TRAINING_DAYS)
+    feats = build(fx.raw_tables(spark, sf_dir), sr, stamp=False).features
+    prepared = cmp.prepare_features(feats, keep=(bf.RUN, "account_id", "feature_week"))
+    return cmp.with_propensity(prepared)
+
+
+def q_training_snapshots(spark, sf_dir):
+    return training_snapshots(spark, sf_dir)
+
+
 def training_frame(spark, sf_dir) -> DataFrame:
-    p = cmp.with_propensity(cmp.prepare_features(weekly_snapshots(spark, sf_dir)))
-    return p.withColumn(ml.LABEL, F.col("weak_label"))
+    return training_snapshots(spark, sf_dir).withColumn(ml.LABEL, F.col("weak_label"))
 
 
 def q_label_balance(spark, sf_dir):
-    return ml.label_balance(training_frame(spark, sf_dir))
+    p = cmp.with_propensity(cmp.prepare_features(weekly_snapshots(spark, sf_dir)))
+    return ml.label_balance(p.withColumn(ml.LABEL, F.col("weak_label")))
 
 
 _TRAINED: dict[str, object] = {}
@@ -401,6 +419,7 @@ MODELS: dict[str, Query] = {
     "tier_disagreements": q_tier_disagreements,
     "cancel_label": q_cancel_label,
     "label_balance": q_label_balance,
+    "training_snapshots": q_training_snapshots,
     "ml_train_score": q_ml_train_score,
     "ml_importance": q_ml_importance,
     "classification_report": q_classification_report,
