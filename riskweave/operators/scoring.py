@@ -74,6 +74,13 @@ def support_subscores() -> dict[str, Column]:
     }
 
 
+USAGE_SUBSCORES = ["usage_trend_score", "active_user_score", "feature_breadth_score", "recency_score"]
+COMMERCIAL_SUBSCORES = [
+    "renewal_urgency_score", "seat_utilization_score", "payment_failure_score", "downgrade_score",
+]
+SUPPORT_SUBSCORES = ["critical_ticket_score", "open_ticket_score", "resolution_time_score"]
+
+
 def _mean(cols: list[str]) -> Column:
     total = F.col(cols[0])
     for c in cols[1:]:
@@ -92,9 +99,9 @@ def components(scored: DataFrame) -> DataFrame:
     """SCR12: the three component means, rounded to 2 decimals."""
     return scored.withColumns(
         {
-            "usage_score": _mean(list(usage_subscores())),
-            "commercial_score": _mean(list(commercial_subscores())),
-            "support_score": _mean(list(support_subscores())),
+            "usage_score": _mean(USAGE_SUBSCORES),
+            "commercial_score": _mean(COMMERCIAL_SUBSCORES),
+            "support_score": _mean(SUPPORT_SUBSCORES),
         }
     )
 

@@ -94,15 +94,15 @@ def _sub(spark, sf_dir):
 
 
 def q_usage_components(spark, sf_dir):
-    return _sub(spark, sf_dir).select("account_id", *scoring.usage_subscores())
+    return _sub(spark, sf_dir).select("account_id", *scoring.USAGE_SUBSCORES)
 
 
 def q_commercial_components(spark, sf_dir):
-    return _sub(spark, sf_dir).select("account_id", *scoring.commercial_subscores())
+    return _sub(spark, sf_dir).select("account_id", *scoring.COMMERCIAL_SUBSCORES)
 
 
 def q_support_components(spark, sf_dir):
-    return _sub(spark, sf_dir).select("account_id", *scoring.support_subscores())
+    return _sub(spark, sf_dir).select("account_id", *scoring.SUPPORT_SUBSCORES)
 
 
 def q_component_scores(spark, sf_dir):
