@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.config import Settings
-from riskweave.functions import bands as B
 from riskweave.operators import activity as act
 from riskweave.operators import scoring
 from riskweave.plans.weekly import build
@@ -549,5 +548,3 @@ SINKS: dict[str, Query] = {
 def queries() -> dict[str, Query]:
     return {**CORE, **HISTORY, **MODELS, **REPORTS, **SINKS}
 
-
-_ = B  # bands are the shared fixed values behind both sides
