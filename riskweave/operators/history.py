@@ -41,7 +41,11 @@ def scd_id(key: str, ts: Column) -> Column:
 
 
 def _ts(ts) -> Column:
-    return ts.cast("timestamp_ntz") if isinstance(ts, Column) else F.lit(ts).cast("timestamp_ntz")
+    """A zone-less timestamp; Python datetimes go through their text so the session
+    time zone never shifts them."""
+    if isinstance(ts, Column):
+        return ts.cast("timestamp_ntz")
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _open_versions(df: DataFrame, key: str, ts: Column) -> DataFrame:
