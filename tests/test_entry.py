@@ -8,6 +8,7 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from riskweave import oracle, registry  # noqa: E402
 from tools.check_oracle import rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -23,9 +24,8 @@ def test_entry_flagship(spark):
 
 
 def test_oracle_keys_are_registered():
-    q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q)
-    rows_only = set(q) - set(o)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    rows_only = set(registry.queries()) - set(oracle.oracle_sql())
     assert rows_only == {"ml_train_score", "ml_importance", "classification_report"}
 
 
