@@ -60,4 +60,13 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-__all__ = ["BLOCK_BYTES", "table", "stored", "fresh_name", "as_bytes", "blocks"]
+
+
+
+def bounded_batches(spark: SparkSession, limit: int = 32 << 20) -> None:
+    """Hold the bytes of an Arrow batch that a Python worker gets to `limit`, unless the session
+    asks for less already."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(key).rstrip("bB"))
+    if not 0 < now <= limit:
+        spark.conf.set(key, str(limit))

@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, line_dedup, mixing
+from riskweave.llm import chat, line_dedup, mixing, token_counts, topk, warc
 from riskweave.llm.common import table
+from riskweave.session import ensure_checkpoint_dir, scratch_path
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    folder = scratch_path(spark, "warc")
+    manifest = warc.write_archives(warc.record_roles(table(spark, sf_dir, "pages")), folder)
+    out = warc.read_records(spark, manifest, folder, payload=False)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +25,24 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted through a cache that starts empty with every run, so a run never rests on another's."""
+    ensure_checkpoint_dir(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = token_counts.count_tokens(docs, scratch_path(spark, "token-cache"), "byte_bpe_50k.json")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return out.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"), details=True)
     return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -69,8 +91,11 @@ def _mixing_sql(rounds: int = 14) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op3_line_dedup": op3_line_dedup,
+    "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
+    "op9_topk": op9_topk,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
@@ -96,6 +121,17 @@ ORACLE_SQL: dict[str, str] = {
           CASE WHEN text IS NULL THEN NULL ELSE sha256(coalesce(array_to_string(kept, chr(10)), '')) END AS kept_sha256
         FROM kept""",
     "op5_mixing": _mixing_sql(),
+    "op9_topk": """
+        WITH v AS (
+          SELECT vec_id, row_number() OVER () AS row,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+          SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+          FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 50 = 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM pairs)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op10_chat_formatting": """
         WITH rows AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
