@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, line_dedup, mixing, token_counts, topk, warc
+from riskweave.llm import chat, line_dedup, mixing, quality, simhash, token_counts, topk, warc
 from riskweave.llm.common import table
 from riskweave.session import ensure_checkpoint_dir, scratch_path
 
@@ -39,6 +39,17 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    out = quality.classify(docs, model)
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
@@ -95,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
+    "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_chat_formatting": op10_chat_formatting,
 }
