@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, line_dedup, mixing, quality, simhash, token_counts, topk, warc
+from riskweave.llm import chat, contamination, line_dedup, mixing, quality, simhash, token_counts, topk, warc
 from riskweave.llm.common import table
 from riskweave.session import ensure_checkpoint_dir, scratch_path
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near_items")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     folder = scratch_path(spark, "warc")
@@ -102,6 +107,7 @@ def _mixing_sql(rounds: int = 14) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
