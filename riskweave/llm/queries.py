@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, contamination, line_dedup, mixing, quality, simhash, token_counts, topk, warc
+from riskweave.llm import chat, contamination, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, warc
 from riskweave.llm.common import table
 from riskweave.session import ensure_checkpoint_dir, scratch_path
 
@@ -44,6 +44,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.cut_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
