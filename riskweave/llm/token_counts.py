@@ -17,7 +17,7 @@ Defined cases: null text counts as empty (0 tokens); repeated rows and copies sh
 extra columns pass through; an empty table gives an empty table and leaves the cache as it is.
 Two runs that append at once may store a count twice; reading takes one per digest.
 
-Scale: texts move once, deduplicated before and after the shuffle, so a group of copies is one
+Scale: texts move once, compressed, deduplicated before and after the shuffle, so a group of copies is one
 row per task; counts are joined back by digest without texts. A worker holds a batch of texts
 and at most MEMO_ENTRIES piece counts (about 200 MB) beside one text's pieces.
 """
@@ -29,12 +29,13 @@ import os
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import fresh_name
+from riskweave.llm.common import bounded_batches, fresh_name, packed, unpacked
 
 MEMO_ENTRIES = 2_000_000
 CACHE_SCHEMA = "content_digest string, tokenizer_digest string, n_tokens long"
@@ -140,15 +141,15 @@ def worker_encoder(name: str) -> Encoder:
 
 
 def encode_misses(misses: DataFrame, name: str) -> DataFrame:
-    """(content_digest, text) -> (content_digest, n_tokens)."""
+    """(content_digest, packed text) -> (content_digest, n_tokens)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(name)
         for batch in batches:
-            digests, texts = batch.column(0), batch.column(1)
-            for at in range(0, batch.num_rows, 256):
-                counts = encoder.counts([t or "" for t in texts.slice(at, 256).to_pylist()])
-                yield pa.RecordBatch.from_arrays([digests.slice(at, 256), pa.array(counts, pa.int64())], ["content_digest", "n_tokens"])
+            digests, texts = batch.column(0), unpacked(batch.column(1))
+            for at in range(0, batch.num_rows, 64):
+                counts = encoder.counts([t.decode() for t in islice(texts, 64)])
+                yield pa.RecordBatch.from_arrays([digests.slice(at, 64), pa.array(counts, pa.int64())], ["content_digest", "n_tokens"])
 
     return misses.mapInArrow(encode, "content_digest string, n_tokens long")
 
@@ -161,11 +162,13 @@ def read_cache(spark: SparkSession, cache_path: str, version: str) -> DataFrame:
 def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str, text: str = "text") -> DataFrame:
     """docs with n_tokens (replacing a column of that name), counted through the cache."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     version = tokenizer_digest(tokenizer)
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     digest = content_digest(F.col(text))
-    texts = docs.select(digest.alias("content_digest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    misses = texts.join(read_cache(spark, cache_path, version), "content_digest", "left_anti").dropDuplicates(["content_digest"])
+    # copies fall together first: the anti-join then needs no further shuffle of the texts
+    texts = docs.select(digest.alias("content_digest"), packed(F.col(text)).alias("text")).dropDuplicates(["content_digest"])
+    misses = texts.join(read_cache(spark, cache_path, version), "content_digest", "left_anti")
     encode_misses(misses, tokenizer).select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode("append").parquet(cache_path)
     key = fresh_name(docs, "content_digest")
     known = read_cache(spark, cache_path, version).withColumnRenamed("content_digest", key)
