@@ -68,15 +68,22 @@ class Settings:
         return ([self.run_col] if self.run_col else []) + list(cols)
 
     def tag_runs(self, df, ts_col: str | None = None, window_days: int | None = None):
-        """Multi-run mode: one copy of each row per run that can see it. With a trailing
-        window only runs whose window covers the row's timestamp are generated, so the
-        fan-out is bounded by the number of overlapping windows, not the number of runs."""
+        """Multi-run mode: one copy of each row per run that can see it: the row is not after
+        the end of a bounded run and, with a trailing window, not before it. A copy is made only
+        for those runs, so with a window the fan-out is the number of overlapping windows."""
         if not self.run_col:
             return df
         runs = F.array(*[F.lit(d) for d in self.run_dates])
-        if ts_col is not None and window_days is not None:
+        if ts_col is not None:
             ts = F.col(ts_col)
-            runs = F.filter(runs, lambda r: ts >= F.date_sub(r, window_days).cast("timestamp_ntz"))
+            bounded = F.array(*[F.lit(d) for d in self.bounded_dates]).cast("array<date>")
+            if self.bounded_dates:
+                runs = F.filter(
+                    runs,
+                    lambda r: ~F.array_contains(bounded, r) | (ts < F.date_add(r, 1).cast("timestamp_ntz")),
+                )
+            if window_days is not None:
+                runs = F.filter(runs, lambda r: ts >= F.date_sub(r, window_days).cast("timestamp_ntz"))
         return df.withColumn(self.run_col, F.explode(runs))
 
     # -- Column views of the clock ------------------------------------------------
@@ -98,6 +105,12 @@ class Settings:
         """Midnight `days` before as_of, as timestamp_ntz (date - interval in SQL)."""
         return F.date_sub(self.as_of_col(), days).cast("timestamp_ntz")
 
+    def first_day_back(self, days: int) -> Column:
+        """Midnight `days` before the earliest run: a literal bound for the scan."""
+        if self.run_col:
+            return F.lit(min(self.run_dates) - dt.timedelta(days=days)).cast("timestamp_ntz")
+        return self.days_back_ts(days)
+
     def upper_ts(self) -> Column | None:
         """Exclusive upper bound for dated sources, or None when unbounded (in multi-run
         mode NULL for the runs that are not bounded)."""

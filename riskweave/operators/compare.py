@@ -55,7 +55,7 @@ def propensity(prepared: DataFrame) -> Column:
     c = F.col
     usage = (
         0.30 * clamp(c("days_since_last_event") / 60.0, 0.0, 1.0)
-        + 0.25 * (1.0 - c("active_user_ratio"))
+        + 0.25 * (1.0 - clamp(c("active_user_ratio"), 0.0, 1.0))
         + 0.20 * (-clamp(c("usage_trend_pct"), -1.0, 0.0))
         + 0.15 * c("is_zero_usage_week")
         + 0.10 * (c("distinct_features_used") < 2).cast("double")

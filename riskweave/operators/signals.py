@@ -7,8 +7,6 @@ partial row per task, not its raw rows. The account joins then co-partition on a
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,13 +20,21 @@ def _bounded(df: DataFrame, ts: str, s: Settings) -> DataFrame:
 
 
 def ticket_aggregate(tickets: DataFrame, s: Settings) -> DataFrame:
-    t = _bounded(s.tag_runs(tickets), "created_at", s)
-    recent = F.col("created_at") >= s.days_back_ts(s.recent_days)
+    """Counts and mean resolution per account. Tickets are summed per account and day first;
+    only these sums are copied to the runs that see the day, not the tickets."""
     resolution = F.when(F.col("resolved_at").isNotNull(), day_diff("created_at", "resolved_at"))
+    daily = tickets.groupBy("account_id", F.to_date("created_at").cast("timestamp_ntz").alias("day")).agg(
+        F.count_if(F.col("status") == "open").alias("n_open"),
+        F.count_if(F.col("severity").isin("P1", "P2")).alias("n_urgent"),
+        F.sum(resolution).alias("days"),
+        F.count(resolution).alias("n_resolved"),
+    )
+    t = _bounded(s.tag_runs(daily, "day"), "day", s)
+    recent = F.col("day") >= s.days_back_ts(s.recent_days)
     return t.groupBy(*s.keys("account_id")).agg(
-        F.count_if(F.col("status") == "open").alias("open_tickets_count"),
-        F.count_if(F.col("severity").isin("P1", "P2") & recent).alias("p1_p2_tickets_30d"),
-        F.avg(resolution).alias("avg_ticket_resolution_days"),
+        F.sum("n_open").alias("open_tickets_count"),
+        F.sum(F.when(recent, F.col("n_urgent")).otherwise(0)).alias("p1_p2_tickets_30d"),
+        (F.sum("days") / F.nullif(F.sum("n_resolved"), F.lit(0))).alias("avg_ticket_resolution_days"),
     )
 
 
@@ -49,18 +55,20 @@ def support_signals(accounts: DataFrame, tickets: DataFrame, s: Settings) -> Dat
 
 def active_users_30d(events: DataFrame, s: Settings) -> DataFrame:
     """AGG2: distinct users with an event in the trailing window (pushed-down filter)."""
-    if s.run_col:
-        first = min(s.run_dates) - dt.timedelta(days=s.recent_days)
-        ev = events.where(F.col("event_ts") >= F.lit(first).cast("timestamp_ntz"))
-        ev = s.tag_runs(ev, "event_ts", s.recent_days)
-    else:
-        ev = events.where(F.col("event_ts") >= s.days_back_ts(s.recent_days))
-    ev = _bounded(ev, "event_ts", s)
+    ev = events.where(F.col("event_ts") >= s.first_day_back(s.recent_days))
+    ev = _bounded(s.tag_runs(ev, "event_ts", s.recent_days), "event_ts", s)
     return ev.groupBy(*s.keys("account_id")).agg(F.countDistinct("user_id").alias("active_users_30d"))
 
 
 def billing_aggregate(billing: DataFrame, s: Settings) -> DataFrame:
-    b = _bounded(s.tag_runs(billing), "event_ts", s)
+    """Flags of the two kinds of event that set one, within the longer of their windows; an
+    account without such an event has no row."""
+    longest = max(s.recent_days, s.downgrade_days)
+    b = billing.where(
+        F.col("event_type").isin("payment_failure", "downgrade")
+        & (F.col("event_ts") >= s.first_day_back(longest))
+    )
+    b = _bounded(s.tag_runs(b, "event_ts", longest), "event_ts", s)
     ts = F.col("event_ts")
     kind = F.col("event_type")
     return b.groupBy(*s.keys("account_id")).agg(

@@ -45,8 +45,12 @@ raw_accounts AS (
   FROM supplier
 ),
 li_folded AS (
-  SELECT *, datediff('day', l_shipdate, {_d(E)}) % {fx.FOLD_DAYS} AS back, l_suppkey % 10 AS cohort
-  FROM lineitem
+  SELECT *, folded + CASE WHEN cohort = 0
+          OR (cohort = 1 AND folded < 40)
+          OR (cohort = 2 AND folded < 28 AND l_partkey % 4 <> 0)
+          OR (cohort = 3 AND folded >= 28 AND l_partkey % 3 <> 0)
+          OR (cohort IN (4, 5) AND l_partkey % 8 <> 0) THEN 364 ELSE 0 END AS back
+  FROM (SELECT *, datediff('day', l_shipdate, {_d(E)}) % 364 AS folded, l_suppkey % 10 AS cohort FROM lineitem)
 ),
 raw_product_events AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS event_id,
@@ -56,15 +60,11 @@ raw_product_events AS (
          l_returnflag || l_linestatus || CAST(l_linenumber % 2 AS VARCHAR) AS feature_name,
          CAST({_d(E)} - CAST(back AS INTEGER) AS TIMESTAMP) + (l_orderkey % 24) * INTERVAL 1 HOUR AS event_ts
   FROM li_folded
-  WHERE NOT (cohort = 0
-          OR (cohort = 1 AND back < 40)
-          OR (cohort = 2 AND back < 28 AND l_partkey % 4 <> 0)
-          OR (cohort = 3 AND back >= 28 AND l_partkey % 3 <> 0)
-          OR (cohort IN (4, 5) AND l_partkey % 8 <> 0))
 ),
 orders_folded AS (
   SELECT *,
-         CAST({_d(T)} - CAST(datediff('day', o_orderdate, {_d(T)}) % {fx.FOLD_DAYS} AS INTEGER) AS TIMESTAMP)
+         CAST({_d(T)} - CAST(datediff('day', o_orderdate, {_d(T)}) % 364
+              + greatest(o_orderkey % 8 - 1, 0) * 364 AS INTEGER) AS TIMESTAMP)
            + (o_orderkey % 24) * INTERVAL 1 HOUR AS ts,
          CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS acct
   FROM orders
@@ -73,7 +73,7 @@ raw_billing_events AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS event_id, acct AS account_id,
          {_case('o_orderpriority', fx.EVENT_TYPE_BY_PRIORITY)} AS event_type,
          o_totalprice AS amount, ts AS event_ts
-  FROM orders_folded WHERE o_orderkey % 8 = 1
+  FROM orders_folded WHERE o_orderkey % 8 <> 0
 ),
 raw_support_tickets AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS ticket_id, acct AS account_id,
@@ -479,7 +479,7 @@ def _clip(x: str, lo: str, hi: str) -> str:
 def _propensity_expr() -> str:
     usage = (
         f"0.30 * {_clip('days_since_last_event / 60.0', '0.0', '1.0')}"
-        " + 0.25 * (1.0 - active_user_ratio)"
+        " + 0.25 * (1.0 - greatest(0.0, least(1.0, active_user_ratio)))"
         f" + 0.20 * (-{_clip('usage_trend_pct', '-1.0', '0.0')})"
         " + 0.15 * is_zero_usage_week"
         " + 0.10 * CAST(distinct_features_used < 2 AS DOUBLE)"
@@ -504,7 +504,7 @@ def ml_ctes() -> str:
     )
     usage = (
         f"0.30 * {_clip('days_since_last_event / 60.0', '0.0', '1.0')}"
-        " + 0.25 * (1.0 - active_user_ratio)"
+        " + 0.25 * (1.0 - greatest(0.0, least(1.0, active_user_ratio)))"
         f" + 0.20 * (-{_clip('usage_trend_pct', '-1.0', '0.0')})"
         " + 0.15 * is_zero_usage_week"
         " + 0.10 * CAST(distinct_features_used < 2 AS DOUBLE)"

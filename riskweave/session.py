@@ -16,7 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -36,13 +36,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and staged tables.
 
-    Read from spark.checkpoint.dir; only when it is unset (local tests) create a
-    scratch folder and register it, so lineage can still be cut with checkpoint().
+    Read from spark.checkpoint.dir. Where it is unset, a session whose executors are threads of
+    this process (master local[...]: tests, bench) gets a scratch folder; on a cluster it is an
+    error, since a local folder there is another disk on every machine.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="riskweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

@@ -8,6 +8,8 @@ written with dynamic partition overwrite, so only the touched week partitions ch
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,27 +100,26 @@ def upsert(
 ) -> DataFrame:
     """Merge `batch` into the table at `path` on `keys` (dbt-style incremental).
 
-    Rows of the batch replace target rows with the same key; target rows of touched
+    Rows of the batch replace target rows with the same key; target rows of the batch's
     partitions without a match stay (stale rows are never deleted); other partitions
     are not rewritten. The batch's schema becomes the table's schema.
-    touched: the partition values the batch covers, if known up front (literal filter
-    = static partition pruning); otherwise they are taken from the batch by a semi join.
+    touched: the partition values the batch may hold; any other is an error.
+    The batch is stored once; its partition values (a few: the weeks of a run) then
+    select the target's partitions by a literal filter, so nothing is joined on them.
     Returns the table read back in its synced schema.
     """
     spark = batch.sparkSession
+    ensure_checkpoint_dir(spark)
+    batch = batch.checkpoint(eager=True)
+    parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    if touched is not None and (outside := set(parts) - set(touched)):
+        raise ValueError(f"{partition_col} outside the touched partitions: {sorted(map(str, outside))}")
     if not path_exists(spark, path):
         batch.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return read_synced(spark, path, batch.schema)
-    target = read_synced(spark, path, batch.schema)
-    if touched is not None:
-        old = target.where(F.col(partition_col).isin(list(touched)))
-    else:
-        parts = batch.select(partition_col).distinct()
-        old = target.join(parts, partition_col, "left_semi")
+    old = read_synced(spark, path, batch.schema).where(F.col(partition_col).isin(parts))
     keep = old.join(batch.select(*keys), list(keys), "left_anti")
-    merged = keep.unionByName(batch)
-    ensure_checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
+    merged = keep.unionByName(batch).checkpoint(eager=True)
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -148,20 +149,64 @@ def load_model(spark: SparkSession, path: str):
 # --- snapshot table (SNK5) -------------------------------------------------------------------
 
 
+def _file_context(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    return jvm, jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        jvm.org.apache.hadoop.fs.Path(path).toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    ) if "://" in path else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _snapshot_runs(spark: SparkSession, path: str) -> list[dict]:
+    """Runs of the stored history in order ({"ts", "id"}), from its pointer file."""
+    if not path_exists(spark, f"{path}/_runs.json"):
+        return []
+    return [r.asDict() for r in spark.read.schema("ts string, id string").json(f"{path}/_runs.json").orderBy("ts").collect()]
+
+
+def _publish_runs(spark: SparkSession, path: str, runs: list[dict]) -> None:
+    """Replace the pointer file in one rename: readers see the old state or the new one."""
+    jvm, fc = _file_context(spark, path)
+    hpath = jvm.org.apache.hadoop.fs.Path
+    tmp, final = hpath(f"{path}/.runs-{uuid.uuid4().hex}.json"), hpath(f"{path}/_runs.json")
+    fs = tmp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(tmp)
+    out.write(bytearray("\n".join(json.dumps(r) for r in runs).encode()))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    fc.rename(tmp, final, options)
+
+
+def read_snapshot(spark: SparkSession, path: str, runs: list[dict] | None = None) -> DataFrame:
+    """The stored history: the open versions of the last run and all closed ones."""
+    runs = _snapshot_runs(spark, path) if runs is None else runs
+    open_ = spark.read.parquet(f"{path}/open/{runs[-1]['id']}")
+    return open_.unionByName(spark.read.schema(open_.schema).parquet(*[f"{path}/closed/{r['id']}" for r in runs]))
+
+
 def apply_snapshot(
     spark: SparkSession, path: str, current: DataFrame, ts, key: str = "account_id"
 ) -> DataFrame:
     """Run one snapshot against the stored history at `path` and store the result.
 
-    The new history is materialised (reliable checkpoint) before the old files are
-    overwritten, so the read and the overwrite never share a plan."""
+    A run writes the versions it leaves open and those it closes to folders of its own and then
+    switches the pointer file, so a crash leaves the previous state, and closed versions of
+    earlier runs are never read or written again. Repeating the last run (same ts) replaces it:
+    it starts from the state before that run. An older ts is an error."""
     from riskweave.operators.history import scd2_apply
 
-    if not path_exists(spark, path):
-        out = scd2_apply(None, current, ts, key=key)
-    else:
-        out = scd2_apply(spark.read.parquet(path), current, ts, key=key)
-        ensure_checkpoint_dir(spark)
-        out = out.checkpoint(eager=True)
-    out.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    runs, stamp = _snapshot_runs(spark, path), ts.isoformat()
+    if runs and stamp < runs[-1]["ts"]:
+        raise ValueError(f"snapshot at {stamp} is older than the last run at {runs[-1]['ts']}")
+    if runs and stamp == runs[-1]["ts"]:
+        runs = runs[:-1]
+    before = spark.read.parquet(f"{path}/open/{runs[-1]['id']}") if runs else None
+    ensure_checkpoint_dir(spark)
+    after = scd2_apply(before, current, ts, key=key).checkpoint(eager=True)
+    run = {"ts": stamp, "id": uuid.uuid4().hex}
+    still = F.col("dbt_valid_to").isNull()
+    after.where(still).write.parquet(f"{path}/open/{run['id']}")
+    after.where(~still).write.parquet(f"{path}/closed/{run['id']}")
+    _publish_runs(spark, path, [*runs, run])
+    return read_snapshot(spark, path)
