@@ -1,9 +1,7 @@
 """Spark ML on the feature table (ML1, ML4-13, JN13).
 
-Training rows are real weekly feature snapshots (every spine week of every active
-account), labelled either by the deterministic propensity (weak label, ML3) or by an
-observed cancellation within 90 days of the snapshot (JN13). Folds are hash-assigned
-per row so no label ever sits in one partition. All fitting is Spark ML (treeAggregate
+Training rows are point-in-time weekly feature snapshots, labelled by an observed cancellation
+within 90 days of the snapshot (JN13). Folds hold whole accounts, stratified by label. All fitting is Spark ML (treeAggregate
 / distributed trees); nothing is collected except the fitted coefficients and metrics.
 """
 
@@ -18,9 +16,11 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskweave.config import Settings
 from riskweave.operators.compare import FEATURE_COLS, prediction_frame, prepare_features
+from riskweave.session import ensure_checkpoint_dir
 
 LABEL = "label"
 WEIGHT = "class_weight"
@@ -60,17 +60,53 @@ def cancel_labels(snapshots: DataFrame, billing: DataFrame, horizon_days: int =
     ).drop("__hit")
 
 
-def with_class_weights(df: DataFrame, n: int | None = None) -> DataFrame:
+def with_class_weights(df: DataFrame) -> DataFrame:
     """ML7: balanced weights n / (2 * n_class). The per-label counts are a two-row
     aggregate, so the broadcast is bounded by the number of classes."""
-    n = F.lit(float(n)) if n is not None else df.select(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(LABEL).agg(F.count(F.lit(1)).alias("__n"))
-    w = counts.select(LABEL, (n / (F.lit(2.0) * F.col("__n"))).alias(WEIGHT))
-    return df.join(F.broadcast(w), LABEL)
+    return df.join(F.broadcast(class_weights(df).select(LABEL, WEIGHT)), LABEL)
 
 
-def with_folds(df: DataFrame, key_cols=("account_id", "feature_week"), k: int = N_FOLDS) -> DataFrame:
-    return df.withColumn(FOLD, F.pmod(F.xxhash64(*key_cols, F.lit(SEED)), F.lit(k)).cast("int"))
+FOLD_BUCKETS = 1024
+
+
+def _hash(*cols) -> F.Column:
+    """A 32-bit hash of the columns' text that any SQL engine can restate."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *cols, F.lit(str(SEED)))), 1, 8), 16, 10).cast("long")
+
+
+def with_folds(df: DataFrame, key: str = "account_id", k: int = N_FOLDS) -> DataFrame:
+    """ML8: stratified folds of whole accounts. Accounts with and without a positive row are
+    dealt out in turn, in hash order, so every fold gets its share of both and all weeks of an
+    account are in one fold. The order is by bucket of the hash: ranks inside a bucket come from
+    a window per bucket, and the buckets' offsets from a table of 2 x FOLD_BUCKETS counts."""
+    h = _hash(key)
+    acc = (
+        df.groupBy(key).agg(F.max(LABEL).alias("__s")).withColumn("__h", h)
+        .withColumn("__b", F.floor(F.col("__h") * FOLD_BUCKETS / 2**32).cast("int"))
+    )
+    rank = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", key))
+    before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = acc.groupBy("__s", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__s", "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    folds = acc.withColumn("__r", rank).join(F.broadcast(offsets), ["__s", "__b"]).select(
+        key, ((F.col("__o") + F.col("__r") - 1) % k).cast("int").alias(FOLD)
+    )
+    return df.join(folds, key)
+
+
+def class_weights(df: DataFrame) -> DataFrame:
+    """ML7: rows and balanced weight of each class."""
+    n = df.select(F.count(F.lit(1))).scalar()
+    return df.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+        WEIGHT, n.cast("double") / (F.lit(2.0) * F.col("n_rows"))
+    )
+
+
+def fold_sizes(df: DataFrame) -> DataFrame:
+    """Rows, positives and accounts of every fold."""
+    return with_folds(df).groupBy(FOLD).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(LABEL).alias("n_positive"), F.count_distinct("account_id").alias("n_accounts")
+    )
 
 
 def label_balance(df: DataFrame) -> DataFrame:
@@ -132,21 +168,15 @@ def _evaluator() -> BinaryClassificationEvaluator:
                                          metricName="areaUnderROC")
 
 
-ROWS_PER_PARTITION = 250_000
-
-
 def train(training: DataFrame, models: tuple[str, ...] | None = None) -> TrainResult:
-    """ML8 + ML9: k-fold CV per pipeline on hash folds, best mean AUC refit on all rows.
-
-    The labelled rows are materialised once, in partitions sized from the row count:
-    every optimizer iteration is a distributed job, so tiny inputs must not be spread
-    thin and large ones must not be squeezed.
-    """
-    training = training.checkpoint() if training.sparkSession.sparkContext.getCheckpointDir() else training
-    stats = training.agg(F.count(F.lit(1)).alias("n"), F.avg(LABEL).alias("rate")).first()
+    """ML8 + ML9: k-fold CV per pipeline on stratified account folds, best mean AUC refit on all
+    rows. The labelled rows are stored once (reliable checkpoint), in the partitions that the
+    session's settings give; every optimizer iteration then reads them."""
+    ensure_checkpoint_dir(training.sparkSession)
+    data = with_folds(with_class_weights(training)).checkpoint()
+    stats = data.agg(F.count(F.lit(1)).alias("n"), F.avg(LABEL).alias("rate")).first()
     n, rate = int(stats["n"]), float(stats["rate"] or 0.0)
-    parts = max(1, -(-n // ROWS_PER_PARTITION))
-    data = with_folds(with_class_weights(training, n)).repartition(parts).cache()
+    data = data.cache()
     cands = pipelines(n)
     if models:
         cands = {k: v for k, v in cands.items() if k in models}

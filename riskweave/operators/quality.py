@@ -213,13 +213,21 @@ def _single_pass(table: str, df: DataFrame, cs: list[Check]) -> DataFrame | None
     )
 
 
+def needed_tables(tests: tuple[str, ...] = (), declared: Mapping[str, TableTests] = DECLARED) -> set[str]:
+    """Tables that the given kinds of test (none: all) read."""
+    asked = [c for c in checks(declared) if not tests or c.test in tests]
+    return {c.table for c in asked} | {c.parent[0] for c in asked if c.parent}
+
+
 def run_suite(
-    tables: Mapping[str, DataFrame], declared: Mapping[str, TableTests] = DECLARED
+    tables: Mapping[str, DataFrame], declared: Mapping[str, TableTests] = DECLARED, tests: tuple[str, ...] = ()
 ) -> DataFrame:
-    """DQ6: one row per declared test whose table is present in `tables`."""
+    """DQ6: one row per declared test (of the given kinds) whose table is present in `tables`."""
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for c in checks(declared):
+        if tests and c.test not in tests:
+            continue
         if c.table in tables and (c.parent is None or c.parent[0] in tables):
             by_table.setdefault(c.table, []).append(c)
     for table, cs in by_table.items():

@@ -850,5 +850,68 @@ FROM (SELECT *, {_propensity_expr()} AS propensity FROM prepared_runs)"""
     )
 
 
+def _labelled() -> str:
+    """The training snapshots with the cancellation label, as the last CTE of a query."""
+    sql = training_sql()
+    head, tail = sql.rsplit("SELECT *, CAST(propensity > 0.45", 1)
+    return head.rstrip() + f""",
+trained AS (
+  SELECT f.account_id, f.feature_week,
+         CASE WHEN EXISTS (SELECT 1 FROM stg_billing_events b
+                           WHERE b.account_id = f.account_id AND b.event_type = 'cancellation'
+                             AND CAST(b.event_ts AS DATE) BETWEEN f.feature_week AND f.feature_week + 90)
+              THEN 1 ELSE 0 END AS label
+  FROM prepared_runs f)
+"""
+
+
+ML_PARTS = {
+    "class_weights": _labelled() + """SELECT label, count(*) AS n_rows,
+  (SELECT count(*) FROM trained)::DOUBLE / (2.0 * count(*)) AS class_weight FROM trained GROUP BY label""",
+    "fold_sizes": _labelled() + """, accounts AS (
+  SELECT account_id, max(label) AS s, ('0x' || substr(md5(account_id || '|42'), 1, 8))::BIGINT AS h
+  FROM trained GROUP BY account_id),
+folds AS (
+  SELECT account_id, (row_number() OVER (PARTITION BY s ORDER BY h, account_id) - 1) % 5 AS fold FROM accounts)
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n_rows, sum(label) AS n_positive, count(DISTINCT account_id) AS n_accounts
+FROM trained JOIN folds USING (account_id) GROUP BY fold""",
+    "rule_classification_report": with_model("""SELECT * FROM (
+  WITH seen AS (
+    SELECT CAST(risk_tier = 'HIGH' AS INTEGER) AS p,
+           CAST(EXISTS (SELECT 1 FROM stg_billing_events b
+                        WHERE b.account_id = s.account_id AND b.event_type = 'cancellation'
+                          AND CAST(b.event_ts AS DATE) BETWEEN s.scored_week AND s.scored_week + 90) AS INTEGER) AS y
+    FROM scores s),
+  c AS (
+    SELECT k, CASE k WHEN 0 THEN 'Retained' ELSE 'Churned' END AS label,
+           count(*) FILTER (WHERE y = k AND p = k)::DOUBLE AS tp, count(*) FILTER (WHERE p = k)::DOUBLE AS said,
+           count(*) FILTER (WHERE y = k)::DOUBLE AS support
+    FROM seen CROSS JOIN (VALUES (0), (1)) AS v(k) GROUP BY k),
+  r AS (
+    SELECT label, support, CASE WHEN said > 0 THEN tp / said ELSE 0.0 END AS precision,
+           CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM c),
+  f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM r)
+  SELECT label, precision, recall, f1, support FROM f
+  UNION ALL SELECT 'accuracy', NULL, NULL, avg(CAST(y = p AS DOUBLE)), count(*)::DOUBLE FROM seen
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM f
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), sum(support) FROM f)"""),
+    "predictions_table": with_ml("SELECT r.*, (SELECT count(*) FROM predictions) AS n_predictions FROM rule_ml r"),
+    "ml_mart_ranked": with_ml("""SELECT risk_tier_ml, row_number() OVER (PARTITION BY risk_tier_ml
+  ORDER BY risk_score_ml DESC, account_id) AS rank, account_id, risk_score_ml FROM rule_ml"""),
+    "risk_scores_ranked": with_model("""SELECT risk_tier, row_number() OVER (PARTITION BY risk_tier
+  ORDER BY risk_score DESC, account_id) AS rank, account_id, risk_score FROM scores"""),
+    "alerts_ranked": with_history("""SELECT alert_priority, row_number() OVER (PARTITION BY alert_priority
+  ORDER BY risk_score DESC, account_id) AS rank, account_id, risk_score FROM alerts"""),
+    "snapshot_table": HISTORY["scd2_history"],
+    "snapshot_rerun": HISTORY["scd2_history"],
+    "seed_accounts": with_raw("SELECT * FROM raw_accounts"),
+    "catalog_layers": with_model("""SELECT f.account_id, f.feature_week, f.open_tickets_count, a.plan_name
+  FROM features f JOIN stg_accounts a USING (account_id)"""),
+    "json_records": with_model("""SELECT '{"account_id":"' || account_id || '","plan_name":"' || plan_name
+  || '","risk_tier":"' || risk_tier || '"}' AS json FROM scores"""),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**CORE, **HISTORY, **ML, **REPORTS, **SINKS, **DQ, "training_snapshots": training_sql()}
+    return {**CORE, **HISTORY, **ML, **REPORTS, **SINKS, **DQ, **ML_PARTS, "training_snapshots": training_sql()}

@@ -6,6 +6,7 @@ inputs (staged tables) are plain lazy views, so Catalyst prunes columns per cons
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -55,18 +56,24 @@ def run_weekly(
     s: Settings,
     root: str,
     accounts: DataFrame | None = None,
+    predict: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, str]:
     """Entry 1 + 2 as a job: write every model in dependency order under `root`.
 
     Each model is written and read back before its consumers run (a written table in
     the shared folder cuts the lineage, and a lost executor recomputes one model, not
     the chain). Activity is upserted by week partition, the snapshot is applied to the
-    stored history, the rest are full rebuilds. Returns model name -> path.
+    stored history, the rest are full rebuilds. predict(features) gives the prediction
+    table's rows (a fitted model's scores; default: the propensity); the side-by-side mart
+    reads that table. The declared data tests run last, over the written models.
+    Returns model name -> path.
     """
     import datetime as dt
 
     from riskweave.operators import alerts as al
+    from riskweave.operators import compare as cmp
     from riskweave.operators.history import SNAPSHOT_COLUMNS
+    from riskweave.operators.quality import run_suite
     from riskweave.sinks.tables import apply_snapshot, path_exists, upsert
 
     spark = raw["accounts"].sparkSession
@@ -81,6 +88,9 @@ def run_weekly(
         "mart_churn_risk_scores": f"{root}/marts/mart_churn_risk_scores",
         "snp_churn_risk_scores": f"{root}/snapshots/snp_churn_risk_scores",
         "mart_churn_alerts": f"{root}/marts/mart_churn_alerts",
+        "ml_predictions": f"{root}/ml_output/ml_predictions",
+        "mart_churn_risk_scores_ml": f"{root}/marts/mart_churn_risk_scores_ml",
+        "data_tests": f"{root}/data_tests",
     }
 
     def rebuild(df: DataFrame, name: str) -> DataFrame:
@@ -109,5 +119,16 @@ def run_weekly(
     snapshot = apply_snapshot(
         spark, paths["snp_churn_risk_scores"], scores.select(*SNAPSHOT_COLUMNS), ts
     )
-    rebuild(al.churn_alerts(scores, snapshot, s), "mart_churn_alerts")
+    alerts = rebuild(al.churn_alerts(scores, snapshot, s), "mart_churn_alerts")
+    predictions = rebuild(
+        predict(features) if predict else cmp.propensity_predictions(features, s), "ml_predictions"
+    )
+    mart_ml = rebuild(cmp.rule_vs_ml(scores, predictions), "mart_churn_risk_scores_ml")
+    tables = {f"stg_{k}": v for k, v in st.items()} | {
+        "int_account_activity_weekly": activity, "int_account_support_signals": support,
+        "int_account_billing_signals": billing, "int_churn_features": features,
+        "mart_churn_risk_scores": scores, "snp_churn_risk_scores": snapshot,
+        "mart_churn_alerts": alerts, "mart_churn_risk_scores_ml": mart_ml,
+    }
+    rebuild(run_suite(tables), "data_tests")
     return paths

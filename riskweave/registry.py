@@ -10,12 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskweave.config import Settings
 from riskweave.operators import activity as act
 from riskweave.operators import scoring
 from riskweave.plans.weekly import build
+from riskweave.session import scratch_path
 from riskweave.sources import fixtures as fx
+from riskweave.sources import seeds
 from riskweave.sources.staging import stage_all
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,51 +240,50 @@ def q_top_risk_driver(spark, sf_dir):
     )
 
 
-def dq_tables(spark, sf_dir, with_ml: bool = True) -> dict[str, DataFrame]:
-    """Every model of the fixture world under its model name (audit columns stamped),
-    materialised in dependency order (reliable checkpoints in the shared folder): each
-    model reads its upstream models' stored rows, as the data tests of a build run
-    against its written tables."""
+def dq_tables(spark, sf_dir, need: set[str] | None = None) -> dict[str, DataFrame]:
+    """Models of the fixture world under their names (audit columns stamped), as a build leaves
+    them: staging as views, every other model stored once as Parquet and read by its consumers.
+    Only the tables in `need` and what they depend on are built."""
+    from riskweave.operators import compare as cmp_
     from riskweave.operators import features as feat_
     from riskweave.operators import signals as sig
-    from riskweave.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(spark)
     s = FIXTURE_SETTINGS
-    st = {k: v.checkpoint() for k, v in stage_all(fx.raw_tables(spark, sf_dir)).items()}
+    st = stage_all(fx.raw_tables(spark, sf_dir))
     accounts, events = st["accounts"], st["product_events"]
-    t = {f"stg_{k}": v for k, v in st.items()}
-    t["int_account_activity_weekly"] = act.activity_weekly(accounts, events, s).checkpoint()
-    t["int_account_support_signals"] = sig.support_signals(accounts, st["support_tickets"], s).checkpoint()
-    t["int_account_billing_signals"] = sig.billing_signals(
-        accounts, st["billing_events"], events, s
-    ).checkpoint()
-    t["int_churn_features"] = feat_.churn_features(
-        t["int_account_activity_weekly"], t["int_account_support_signals"],
-        t["int_account_billing_signals"], s,
-    ).checkpoint()
-    t["mart_churn_risk_scores"] = scoring.risk_scores(t["int_churn_features"], s).checkpoint()
-    # the history reads the stored staged tables too (staging casts are no-ops on them)
-    t["snp_churn_risk_scores"] = bf.history_batch(
-        st, s, HISTORY_DAYS, _accounts_for(spark, sf_dir)
-    ).checkpoint()
-    t["mart_churn_alerts"] = al.churn_alerts(
-        t["mart_churn_risk_scores"], t["snp_churn_risk_scores"], s
-    ).checkpoint()
-    if with_ml:
-        from riskweave.operators import compare as cmp
-
-        preds = cmp.propensity_predictions(t["int_churn_features"], s)
-        t["mart_churn_risk_scores_ml"] = cmp.rule_vs_ml(t["mart_churn_risk_scores"], preds).checkpoint()
-    return t
+    made = {f"stg_{k}": v for k, v in st.items()}
+    plans = {
+        "int_account_activity_weekly": lambda: act.activity_weekly(accounts, events, s),
+        "int_account_support_signals": lambda: sig.support_signals(accounts, st["support_tickets"], s),
+        "int_account_billing_signals": lambda: sig.billing_signals(accounts, st["billing_events"], events, s),
+        "int_churn_features": lambda: feat_.churn_features(
+            get("int_account_activity_weekly"), get("int_account_support_signals"), get("int_account_billing_signals"), s
+        ),
+        "mart_churn_risk_scores": lambda: scoring.risk_scores(get("int_churn_features"), s),
+        "snp_churn_risk_scores": lambda: bf.history_batch(st, s, HISTORY_DAYS, _accounts_for(spark, sf_dir)),
+        "mart_churn_alerts": lambda: al.churn_alerts(get("mart_churn_risk_scores"), get("snp_churn_risk_scores"), s),
+        "mart_churn_risk_scores_ml": lambda: cmp_.rule_vs_ml(
+            get("mart_churn_risk_scores"), cmp_.propensity_predictions(get("int_churn_features"), s)
+        ),
+    }
+
+    def get(name: str) -> DataFrame:
+        if name not in made:
+            made[name] = _stored(plans[name](), name)
+        return made[name]
+
+    need = {*plans, *made} if need is None else need
+    return {name: get(name) for name in sorted(need)}
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _dq(tests: tuple[str, ...]):
-    def q(spark, sf_dir):
-        out = dq.run_suite(dq_tables(spark, sf_dir))
-        return out.where(F.col("test_name").isin(list(tests))) if tests else out
-
-    return q
+    return lambda spark, sf_dir: dq.run_suite(dq_tables(spark, sf_dir, dq.needed_tables(tests)), tests=tests)
 
 
 HISTORY: dict[str, Query] = {
@@ -377,7 +379,10 @@ def q_training_snapshots(spark, sf_dir):
 
 
 def training_frame(spark, sf_dir) -> DataFrame:
-    return training_snapshots(spark, sf_dir).withColumn(ml.LABEL, F.col("weak_label"))
+    """The snapshots, labelled by a cancellation within 90 days (the propensity is a function of
+    the features, so a model has nothing to learn from it)."""
+    billing = _staged(spark, sf_dir)["billing_events"]
+    return ml.cancel_labels(training_snapshots(spark, sf_dir), billing)
 
 
 def q_label_balance(spark, sf_dir):
@@ -385,13 +390,12 @@ def q_label_balance(spark, sf_dir):
     return ml.label_balance(p.withColumn(ml.LABEL, F.col("weak_label")))
 
 
-_TRAINED: dict[str, object] = {}
-
-
 def trained(spark, sf_dir) -> "ml.TrainResult":
-    if sf_dir not in _TRAINED:
-        _TRAINED[sf_dir] = ml.train(training_frame(spark, sf_dir))
-    return _TRAINED[sf_dir]
+    """Fits, stores the model and its figures, and loads it again for scoring."""
+    res = ml.train(training_frame(spark, sf_dir))
+    path = scratch_path(spark, "ml_model")
+    tb.save_model(res.model, path, {"model_name": res.model_name, "cv_auc": res.cv_auc, "n_training": res.n_training})
+    return _replace(res, model=tb.load_model(spark, path)[0])
 
 
 def q_ml_train_score(spark, sf_dir):
@@ -403,6 +407,54 @@ def q_ml_importance(spark, sf_dir):
     return ml.importance(trained(spark, sf_dir), spark)
 
 
+def q_class_weights(spark, sf_dir):
+    return ml.class_weights(training_frame(spark, sf_dir))
+
+
+def q_fold_sizes(spark, sf_dir):
+    return ml.fold_sizes(training_frame(spark, sf_dir))
+
+
+def q_rule_classification_report(spark, sf_dir):
+    """How well the rule's HIGH tier tells the cancellations of the next 90 days."""
+    scores = _built(spark, sf_dir).scores.withColumnRenamed("scored_week", "feature_week")
+    labelled = ml.cancel_labels(scores, _staged(spark, sf_dir)["billing_events"])
+    return ml.classification_report(labelled.withColumn("prediction", (F.col("risk_tier") == "HIGH").cast("double")))
+
+
+def q_predictions_table(spark, sf_dir):
+    """Predictions written to the prediction table, counted, read back, and set beside the rules."""
+    b, p = _preds(spark, sf_dir)
+    name = "ml_output.ml_predictions"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    n = tb.replace_predictions(p, name, path=scratch_path(spark, "ml_predictions"))
+    stored = cmp.rule_vs_ml(b.scores, seeds.read_predictions(spark, name))
+    return stored.withColumn("n_predictions", F.lit(n).cast("long"))
+
+
+def q_ml_mart_ranked(spark, sf_dir):
+    return _rank(q_rule_vs_ml(spark, sf_dir), "risk_tier_ml", F.col("risk_score_ml").desc()).select(
+        "risk_tier_ml", "rank", "account_id", "risk_score_ml"
+    )
+
+
+def _rank(df: DataFrame, within: str, *order) -> DataFrame:
+    """The read-time order as a column, counted within a group (no window over all rows)."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(within).orderBy(*order, "account_id")))
+
+
+def q_risk_scores_ranked(spark, sf_dir):
+    return _rank(_built(spark, sf_dir).scores, "risk_tier", F.col("risk_score").desc()).select(
+        "risk_tier", "rank", "account_id", "risk_score"
+    )
+
+
+def q_alerts_ranked(spark, sf_dir):
+    return _rank(_alerts(spark, sf_dir), "alert_priority", F.col("risk_score").desc()).select(
+        "alert_priority", "rank", "account_id", "risk_score"
+    )
+
+
 def q_classification_report(spark, sf_dir):
     res = trained(spark, sf_dir)
     return ml.classification_report(res.model.transform(training_frame(spark, sf_dir)))
@@ -419,6 +471,13 @@ MODELS: dict[str, Query] = {
     "cancel_label": q_cancel_label,
     "label_balance": q_label_balance,
     "training_snapshots": q_training_snapshots,
+    "class_weights": q_class_weights,
+    "fold_sizes": q_fold_sizes,
+    "rule_classification_report": q_rule_classification_report,
+    "predictions_table": q_predictions_table,
+    "ml_mart_ranked": q_ml_mart_ranked,
+    "risk_scores_ranked": q_risk_scores_ranked,
+    "alerts_ranked": q_alerts_ranked,
     "ml_train_score": q_ml_train_score,
     "ml_importance": q_ml_importance,
     "classification_report": q_classification_report,
@@ -485,7 +544,6 @@ REPORTS: dict[str, Query] = {
 
 from dataclasses import replace as _replace  # noqa: E402
 
-from riskweave.session import scratch_path  # noqa: E402
 from riskweave.sinks import tables as tb  # noqa: E402
 from riskweave.streaming import activity_stream as stream  # noqa: E402
 
@@ -527,11 +585,60 @@ def q_schema_sync(spark, sf_dir):
     return tb.upsert(new, path, ACTIVITY_KEYS, "week_start")
 
 
+def _snapshots(spark, sf_dir, days, path):
+    scores = _runs(spark, sf_dir)
+    for day in days:
+        run = scores.where(F.col(bf.RUN) == F.lit(day)).select(*hi.SNAPSHOT_COLUMNS)
+        out = tb.apply_snapshot(spark, path, run, bf.snapshot_ts(day))
+    return out.drop("dbt_updated_at")
+
+
+def q_snapshot_table(spark, sf_dir):
+    """The stored history after the four weekly runs."""
+    return _snapshots(spark, sf_dir, HISTORY_DAYS, scratch_path(spark, "snp"))
+
+
+def q_snapshot_rerun(spark, sf_dir):
+    """The same with the third run done twice: the repetition replaces it."""
+    return _snapshots(spark, sf_dir, [*HISTORY_DAYS[:3], *HISTORY_DAYS[2:]], scratch_path(spark, "snp"))
+
+
+def q_seed_accounts(spark, sf_dir):
+    """Accounts written as a seed CSV and read with the declared schema."""
+    path = scratch_path(spark, "seed_accounts")
+    fmt = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    fx.accounts(spark, sf_dir).write.options(**fmt).csv(path)
+    return seeds.read_seed_csv(spark, path, "accounts")
+
+
+def q_catalog_layers(spark, sf_dir):
+    """Raw tables written to the seed layer's schema, read as named sources, the support signals
+    rebuilt as a table of their layer and the staged accounts as a view; rows of each."""
+    for name, df in fx.raw_tables(spark, sf_dir).items():
+        table = tb.qualify(name, tb.LAYER_SCHEMAS["seeds"])
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        tb.write_table(df, table, path=scratch_path(spark, name))
+    raw = seeds.RawSources(tb.LAYER_SCHEMAS["seeds"]).load(spark)
+    b = build(raw, FIXTURE_SETTINGS, stamp=False)
+    tb.as_view(b.staged["accounts"], "stg_accounts_view")
+    for name, df in (("int_account_support_signals", b.support), ("int_churn_features", b.features)):
+        table = tb.qualify(name, tb.LAYER_SCHEMAS["intermediate"])
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        tb.write_table(df, table, path=scratch_path(spark, name))
+    feats = seeds.load_current_features(spark, ["account_id", "feature_week", "open_tickets_count"])
+    return feats.join(spark.table("stg_accounts_view").select("account_id", "plan_name"), "account_id")
+
+
+def q_json_records(spark, sf_dir):
+    tiers = _built(spark, sf_dir).scores.select("account_id", "plan_name", "risk_tier")
+    return rp.as_json_records(tiers)
+
+
 def q_activity_stream(spark, sf_dir):
-    """Weekly usage maintained by the stream over the fixture events, in several batches."""
+    """Weekly usage maintained by the stream over the fixture events, one batch per file."""
     events = _staged(spark, sf_dir)["product_events"]
     src = scratch_path(spark, "events_in")
-    events.repartition(4, "event_id").write.parquet(src)
+    events.repartition("event_id").write.parquet(src)
     return stream.run_available(
         spark, src, scratch_path(spark, "event_store"), scratch_path(spark, "weekly_usage"),
         scratch_path(spark, "stream_ckpt"), max_files_per_trigger=1,
@@ -541,6 +648,11 @@ def q_activity_stream(spark, sf_dir):
 SINKS: dict[str, Query] = {
     "upsert_activity": q_upsert_activity,
     "schema_sync": q_schema_sync,
+    "snapshot_table": q_snapshot_table,
+    "snapshot_rerun": q_snapshot_rerun,
+    "seed_accounts": q_seed_accounts,
+    "catalog_layers": q_catalog_layers,
+    "json_records": q_json_records,
     "activity_stream": q_activity_stream,
 }
 

@@ -31,7 +31,7 @@ def qualify(table: str, custom: str | None = None, target: str = "main") -> str:
     return f"{schema_name(custom, target)}.{table}"
 
 
-# layer -> configured schema
+# FIXED VALUES: layer -> configured schema
 LAYER_SCHEMAS = {
     "seeds": "raw",
     "staging": "staging",
@@ -69,9 +69,9 @@ def write_table(
     return None
 
 
-def replace_predictions(df: DataFrame, name: str = "ml_output.ml_predictions") -> int:
+def replace_predictions(df: DataFrame, name: str = "ml_output.ml_predictions", path: str | None = None) -> int:
     """SNK6: replace the prediction table and report its row count (read back)."""
-    write_table(df, name)
+    write_table(df, name, path=path)
     return df.sparkSession.table(name).count()
 
 
@@ -158,16 +158,16 @@ def _file_context(spark: SparkSession, path: str):
 
 def _snapshot_runs(spark: SparkSession, path: str) -> list[dict]:
     """Runs of the stored history in order ({"ts", "id"}), from its pointer file."""
-    if not path_exists(spark, f"{path}/_runs.json"):
+    if not path_exists(spark, f"{path}/runs.json"):
         return []
-    return [r.asDict() for r in spark.read.schema("ts string, id string").json(f"{path}/_runs.json").orderBy("ts").collect()]
+    return [r.asDict() for r in spark.read.schema("ts string, id string").json(f"{path}/runs.json").orderBy("ts").collect()]
 
 
 def _publish_runs(spark: SparkSession, path: str, runs: list[dict]) -> None:
     """Replace the pointer file in one rename: readers see the old state or the new one."""
     jvm, fc = _file_context(spark, path)
     hpath = jvm.org.apache.hadoop.fs.Path
-    tmp, final = hpath(f"{path}/.runs-{uuid.uuid4().hex}.json"), hpath(f"{path}/_runs.json")
+    tmp, final = hpath(f"{path}/.runs-{uuid.uuid4().hex}.json"), hpath(f"{path}/runs.json")
     fs = tmp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = fs.create(tmp)
     out.write(bytearray("\n".join(json.dumps(r) for r in runs).encode()))

@@ -14,6 +14,8 @@ has arrived and stops, so the job can run on a schedule.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 from riskweave.functions.exprs import week_start
@@ -22,6 +24,7 @@ from riskweave.sinks.tables import upsert
 from riskweave.sources import schemas
 
 KEYS = ["account_id", "week_start"]
+STORED = T.StructType([*schemas.PRODUCT_EVENTS, T.StructField("epoch", T.LongType()), T.StructField("week_start", T.DateType())])
 
 
 def _process(store: str, target: str):
@@ -29,10 +32,14 @@ def _process(store: str, target: str):
         spark = batch.sparkSession
         ev = batch.withColumn("week_start", week_start("event_ts"))
         ev.write.mode("overwrite").partitionBy("week_start").parquet(f"{store}/epoch={epoch_id}")
-        seen = spark.read.option("basePath", store).parquet(store).drop("epoch")
+        # the weeks of a batch are few: a literal filter prunes the store's partitions; all
+        # accounts of these weeks are summed (map-side first) before the touched ones are picked
+        weeks = [r[0] for r in ev.select("week_start").distinct().collect()]
+        seen = spark.read.schema(STORED).option("basePath", store).parquet(store)
         touched = ev.select(*KEYS).distinct()
-        fresh = weekly_usage(seen.join(touched, KEYS, "left_semi"))
-        upsert(fresh, target, KEYS, "week_start")
+        fresh = weekly_usage(seen.where(F.col("week_start").isin(weeks)).drop("epoch"))
+        # upsert stores its batch first, so this is computed once
+        upsert(fresh.join(touched, KEYS, "left_semi"), target, KEYS, "week_start")
 
     return run
 

@@ -44,18 +44,25 @@ def test_run_weekly_job_two_weeks(spark):
     prev = fx.AS_OF - dt.timedelta(days=7)
     bf_settings = Settings(as_of=prev, bound_future=True)
     from riskweave.plans.weekly import run_weekly
+    from riskweave.sinks.tables import read_snapshot
 
     run_weekly(raw, bf_settings, root)
     paths = run_weekly(raw, Settings(as_of=fx.AS_OF), root)
     act = spark.read.parquet(paths["int_account_activity_weekly"])
     assert act.select("week_start").distinct().count() == 13  # 12 spine weeks + the oldest kept
     assert act.groupBy("account_id", "week_start").count().where("count > 1").count() == 0
-    snp = spark.read.parquet(paths["snp_churn_risk_scores"])
+    snp = read_snapshot(spark, paths["snp_churn_risk_scores"])
     assert snp.where(F.col("dbt_valid_to").isNull()).groupBy("account_id").count().where("count > 1").count() == 0
     scores = spark.read.parquet(paths["mart_churn_risk_scores"])
     assert scores.count() == registry.q_risk_scores(spark, SF).count()
     alerts = spark.read.parquet(paths["mart_churn_alerts"])
     assert alerts.where(F.col("alert_priority").isNull()).count() == 0
+    mart = spark.read.parquet(paths["mart_churn_risk_scores_ml"])
+    assert mart.count() == spark.read.parquet(paths["ml_predictions"]).count() == scores.count()
+    tests = spark.read.parquet(paths["data_tests"])
+    # event_id is repeated once at this scale
+    assert [(r.table_name, r.column_name) for r in tests.where("not passed").collect()] in ([], [("stg_product_events", "event_id")])
+    assert tests.count() > 70
 
 
 def test_incremental_activity_equals_full_refresh_on_spine(spark):

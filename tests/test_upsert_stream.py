@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators.activity import weekly_usage
@@ -62,3 +63,23 @@ def test_stream_equals_batch(spark):
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
     assert want.select(cols).exceptAll(got.select(cols)).count() == 0
     assert got.where(F.col("wau") <= 0).count() == 0
+
+
+def test_rows_outside_the_touched_partitions_are_an_error_not_a_loss(spark):
+    path = scratch_path(spark, "t_upsert")
+    keys = ["account_id", "week_start"]
+    target = [("a", W1, 1), ("b", W1, 2), ("a", W2, 3), ("b", W2, 4)]
+    upsert(spark.createDataFrame(target, S), path, keys, "week_start")
+    batch = spark.createDataFrame([("a", W1, 10), ("a", W2, 30)], S)
+    with pytest.raises(ValueError, match="outside the touched"):
+        upsert(batch, path, keys, "week_start", touched=[W1])
+    assert _rows(spark.read.parquet(path).select("account_id", "week_start", "wau")) == sorted(target)
+    out = upsert(batch, path, keys, "week_start", touched=[W1, W2, W3])
+    assert _rows(out) == [("a", W1, 10), ("a", W2, 30), ("b", W1, 2), ("b", W2, 4)]
+
+
+def test_empty_batch_changes_nothing(spark):
+    path = scratch_path(spark, "t_upsert")
+    keys = ["account_id", "week_start"]
+    upsert(spark.createDataFrame([("a", W1, 1)], S), path, keys, "week_start")
+    assert _rows(upsert(spark.createDataFrame([], S), path, keys, "week_start")) == [("a", W1, 1)]
