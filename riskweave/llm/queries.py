@@ -33,10 +33,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted through a cache that starts empty with every run, so a run never rests on another's."""
     ensure_checkpoint_dir(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = token_counts.count_tokens(docs, scratch_path(spark, "token-cache"), "byte_bpe_50k.json")
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    return out.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", n_bytes.alias("n_bytes"), "text")
+    out = token_counts.count_tokens(docs, scratch_path(spark, "token-cache"), "byte_bpe_50k.json", keep_text=False)
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import bounded_batches, fresh_name, packed, unpacked
+from riskweave.llm.common import bounded_batches, fresh_name, packed, stored, unpacked
 
 MEMO_ENTRIES = 2_000_000
 CACHE_SCHEMA = "content_digest string, tokenizer_digest string, n_tokens long"
@@ -159,8 +159,9 @@ def read_cache(spark: SparkSession, cache_path: str, version: str) -> DataFrame:
     return stored.where(F.col("tokenizer_digest") == version).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str, text: str = "text") -> DataFrame:
-    """docs with n_tokens (replacing a column of that name), counted through the cache."""
+def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """docs with n_tokens (replacing a column of that name), counted through the cache; without
+    keep_text the text column is left out, so it does not travel with the counts."""
     spark = docs.sparkSession
     bounded_batches(spark)
     version = tokenizer_digest(tokenizer)
@@ -171,8 +172,11 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str, text: str = "
     misses = texts.join(read_cache(spark, cache_path, version), "content_digest", "left_anti")
     encode_misses(misses, tokenizer).select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode("append").parquet(cache_path)
     key = fresh_name(docs, "content_digest")
-    known = read_cache(spark, cache_path, version).withColumnRenamed("content_digest", key)
+    # stored: a shuffle of its own for the join lets a hot digest's documents be split
+    known = stored(read_cache(spark, cache_path, version), "token-counts").withColumnRenamed("content_digest", key)
     base = docs.drop("n_tokens").withColumn(key, digest)
+    if not keep_text:
+        base = base.drop(text)
     return base.join(known, key, "left").drop(key)
 
 
