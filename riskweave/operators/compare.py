@@ -51,7 +51,7 @@ def prepare_features(features: DataFrame, keep: tuple[str, ...] = ("account_id",
 
 
 def propensity(prepared: DataFrame) -> Column:
-    """ML3: deterministic churn propensity of the prepared features (weights fixed)."""
+    """ML3: deterministic churn propensity of the prepared features. FIXED VALUES: the weights."""
     c = F.col
     usage = (
         0.30 * clamp(c("days_since_last_event") / 60.0, 0.0, 1.0)

@@ -32,7 +32,7 @@ def tier_counts(scores: DataFrame, tier_col: str = "risk_tier") -> DataFrame:
 from riskweave.config import Settings  # noqa: E402
 from riskweave.functions.exprs import py_round  # noqa: E402
 
-# FIXED VALUES: digest labels per alert priority
+# FIXED VALUES: digest labels per alert priority, and the texts of the digest below
 DIGEST_LABELS = {
     1: ":rotating_light: CRITICAL",
     2: ":warning: URGENT",

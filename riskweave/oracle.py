@@ -2,18 +2,26 @@
 
 Each query is independent SQL over the driver's tables (supplier, lineitem, orders
 pre-registered as views). The fixture derivation and the scoring rules are restated
-in plain SQL; only the parameters (as_of dates, thresholds) are shared with Python.
+in plain SQL with their own literals; only the list of declared data tests is shared with Python.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from riskweave.functions import bands as B
-from riskweave.sources import fixtures as fx
-
-T = fx.AS_OF
-E = fx.WEEK_END
+# FIXED VALUES, stated here on their own so that a wrong one in the code under test shows
+T = dt.date(2001, 11, 7)
+E = dt.date(2001, 11, 11)
+PLANS = ("starter", "growth", "enterprise")
+EVENT_TYPES = {
+    "1-URGENT": "payment_failure",
+    "2-HIGH": "downgrade",
+    "3-MEDIUM": "upgrade",
+    "4-NOT SPECIFIED": "renewal",
+    "5-LOW": "cancellation",
+}
+SEVERITIES = {"1-URGENT": "P1", "2-HIGH": "P2", "3-MEDIUM": "P3", "4-NOT SPECIFIED": "P4", "5-LOW": "P4"}
+STATUSES = {"O": "open", "F": "resolved", "P": "closed"}
 
 
 def _d(x: dt.date) -> str:
@@ -32,7 +40,7 @@ def _case(col: str, mapping: dict) -> str:
 def raw_ctes(inactive: tuple[str, ...] = ()) -> str:
     """Fixture world in SQL: raw accounts / events / billing / tickets."""
     extra = f" AND CAST(s_suppkey AS VARCHAR) NOT IN ({_in(inactive)})" if inactive else ""
-    plans = fx.PLANS_BY_MOD3
+    plans = PLANS
     return f"""
 raw_accounts AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS account_id, s_name AS account_name,
@@ -71,14 +79,14 @@ orders_folded AS (
 ),
 raw_billing_events AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS event_id, acct AS account_id,
-         {_case('o_orderpriority', fx.EVENT_TYPE_BY_PRIORITY)} AS event_type,
+         {_case('o_orderpriority', EVENT_TYPES)} AS event_type,
          o_totalprice AS amount, ts AS event_ts
   FROM orders_folded WHERE o_orderkey % 8 <> 0
 ),
 raw_support_tickets AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS ticket_id, acct AS account_id,
-         {_case('o_orderpriority', fx.SEVERITY_BY_PRIORITY)} AS severity,
-         {_case('o_orderstatus', fx.STATUS_BY_ORDERSTATUS)} AS status,
+         {_case('o_orderpriority', SEVERITIES)} AS severity,
+         {_case('o_orderstatus', STATUSES)} AS status,
          ts AS created_at,
          CASE WHEN o_orderstatus <> 'O' THEN ts + ((o_orderkey % 21) - 2) * INTERVAL 1 DAY END AS resolved_at
   FROM orders_folded WHERE o_orderkey % 8 = 0
@@ -110,16 +118,12 @@ stg_support_tickets AS (
 )"""
 
 
-def _band_sql(col: str, rules, when_null=None, pre: str | None = None, pre_val=None) -> str:
-    arms = []
-    if when_null is not None:
-        arms.append(f"WHEN {col} IS NULL THEN {when_null}")
-    if pre is not None:
-        arms.append(f"WHEN {pre} THEN {pre_val}")
-    for op, thr, val in rules:
-        op = "=" if op == "==" else op
-        arms.append(f"WHEN {col} {op} {thr} THEN {val}")
-    return f"greatest(0, least(100, CASE {' '.join(arms)} ELSE 0 END))"
+def _band_sql(col: str, arms: str) -> str:
+    """Points by the first arm that holds ("condition points; ...", on x), between 0 and 100."""
+    whens = " ".join(
+        "WHEN {} THEN {}".format(*arm.strip().rsplit(" ", 1)).replace("x ", f"{col} ") for arm in arms.split(";")
+    )
+    return f"greatest(0, least(100, CASE {whens} ELSE 0 END))"
 
 
 def model_ctes(as_of: dt.date, sfx: str = "", bound: bool = False, acc: str = "stg_accounts") -> str:
@@ -217,17 +221,17 @@ features{sfx} AS (
 ),
 subscores{sfx} AS (
   SELECT *,
-         {_band_sql('usage_trend_pct', B.USAGE_TREND, when_null=B.USAGE_TREND_NULL)} AS usage_trend_score,
-         {_band_sql('active_user_ratio', B.ACTIVE_USER, pre='is_zero_usage_week', pre_val=B.ACTIVE_USER_ZERO_WEEK)} AS active_user_score,
-         {_band_sql('distinct_features_used', B.FEATURE_BREADTH)} AS feature_breadth_score,
-         {_band_sql('days_since_last_event', B.RECENCY, when_null=B.RECENCY_NULL)} AS recency_score,
-         {_band_sql('days_to_renewal', B.RENEWAL_URGENCY)} AS renewal_urgency_score,
-         {_band_sql('seat_contracted_ratio', B.SEAT_UTILIZATION)} AS seat_utilization_score,
-         CASE WHEN had_payment_failure_30d THEN {B.PAYMENT_FAILURE_POINTS} ELSE 0 END AS payment_failure_score,
-         CASE WHEN had_downgrade_90d THEN {B.DOWNGRADE_POINTS} ELSE 0 END AS downgrade_score,
-         {_band_sql('p1_p2_tickets_30d', B.CRITICAL_TICKETS)} AS critical_ticket_score,
-         {_band_sql('open_tickets_count', B.OPEN_TICKETS)} AS open_ticket_score,
-         {_band_sql('avg_ticket_resolution_days', B.RESOLUTION_DAYS, when_null=B.RESOLUTION_NULL)} AS resolution_time_score
+         {_band_sql('usage_trend_pct', 'x IS NULL 50; x <= -0.50 100; x <= -0.25 75; x <= -0.10 50; x <= 0.05 25')} AS usage_trend_score,
+         {_band_sql('active_user_ratio', 'is_zero_usage_week 100; x < 0.10 90; x < 0.25 65; x < 0.50 35; x < 0.75 15')} AS active_user_score,
+         {_band_sql('distinct_features_used', 'x = 0 100; x = 1 70; x <= 3 40; x <= 6 20')} AS feature_breadth_score,
+         {_band_sql('days_since_last_event', 'x IS NULL 100; x >= 28 90; x >= 14 60; x >= 7 30')} AS recency_score,
+         {_band_sql('days_to_renewal', 'x < 0 0; x <= 14 90; x <= 30 70; x <= 60 45; x <= 90 25')} AS renewal_urgency_score,
+         {_band_sql('seat_contracted_ratio', 'x < 0.25 90; x < 0.50 60; x < 0.75 30')} AS seat_utilization_score,
+         CASE WHEN had_payment_failure_30d THEN 80 ELSE 0 END AS payment_failure_score,
+         CASE WHEN had_downgrade_90d THEN 60 ELSE 0 END AS downgrade_score,
+         {_band_sql('p1_p2_tickets_30d', 'x >= 3 90; x = 2 65; x = 1 35')} AS critical_ticket_score,
+         {_band_sql('open_tickets_count', 'x >= 5 70; x >= 3 45; x >= 1 20')} AS open_ticket_score,
+         {_band_sql('avg_ticket_resolution_days', 'x IS NULL 0; x > 14 70; x > 7 40')} AS resolution_time_score
   FROM features{sfx}
 ),
 components{sfx} AS (
