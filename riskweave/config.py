@@ -49,9 +49,6 @@ class Settings:
     run_dates: tuple[dt.date, ...] = ()
     bounded_dates: tuple[dt.date, ...] = ()
 
-    def with_as_of(self, as_of: dt.date) -> "Settings":
-        return replace(self, as_of=as_of)
-
     @classmethod
     def runs(
         cls, dates, bounded=(), run_col: str = "run_as_of", base: "Settings | None" = None

@@ -2,7 +2,6 @@ from riskweave.functions.exprs import (
     band,
     clamp,
     day_diff,
-    round_half_even_dec,
     round_half_up,
     week_diff,
     week_start,
@@ -12,7 +11,6 @@ __all__ = [
     "band",
     "clamp",
     "day_diff",
-    "round_half_even_dec",
     "round_half_up",
     "week_diff",
     "week_start",

@@ -28,15 +28,6 @@ def round_half_up(x, n: int, nonneg: bool = False) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
 
 
-def round_half_even_dec(x, n: int, exact_scale: int = 6) -> Column:
-    """Banker's rounding of a value that carries at most `exact_scale` decimals.
-
-    The double is first pinned to decimal(24, exact_scale) so the rounding sees the
-    decimal digits, not the binary expansion.
-    """
-    return F.bround(_c(x).cast(f"decimal(24,{exact_scale})"), n).cast("double")
-
-
 def round_scaled_even(x, n: int) -> Column:
     """numpy-style round: rint(x * 10^n) / 10^n (half-to-even on the scaled double)."""
     scale = float(10**n)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from riskweave import registry
 from riskweave.operators import ml
-from riskweave.operators.compare import FEATURE_COLS
+from riskweave.operators.alerts import ordered
+from riskweave.operators.compare import FEATURE_COLS, ordered_ml
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,3 +69,13 @@ def test_folds_are_stratified_and_hold_whole_accounts(spark):
     assert folds.groupBy("account_id").agg(F.count_distinct("fold").alias("n")).where("n > 1").count() == 0
     sizes = ml.fold_sizes(spark.createDataFrame(rows, "account_id string, week int, label int")).collect()
     assert {(r.n_rows, r.n_positive, r.n_accounts) for r in sizes} == {(120, 8, 40)}
+
+
+def test_in_sample_auc_and_read_time_orders(spark, trained):
+    tr, res = trained
+    assert 0.5 <= ml.training_auc(res, tr) <= 1.0
+    rows = [("b", 1, 50.0), ("a", 1, 50.0), ("c", 2, 99.0), ("d", 1, 60.0)]
+    df = spark.createDataFrame(rows, "account_id string, alert_priority int, risk_score double")
+    assert [r.account_id for r in ordered(df).collect()] == ["d", "a", "b", "c"]
+    mart = df.withColumnRenamed("risk_score", "risk_score_ml")
+    assert [r.account_id for r in ordered_ml(mart).collect()] == ["c", "d", "a", "b"]
