@@ -278,35 +278,38 @@ def parts_of(hot: DataFrame, width: int, length: int) -> DataFrame:
     """Blocks of hot grams cut by ranges of x: the parent (gram, block), where the part begins in
     it, and the part as a block of its own, whose gram stands for gram, range and core."""
 
+    names = ["parent_gram", "parent_block", "begin", "gram", "block", "left_", "span", "bytes"]
+    schema = "parent_gram long, parent_block long, begin short, gram long, block long, left_ short, span short, bytes binary"
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = as_bytes(batch.column("bytes"))
-            gram, block = (batch.column(c).to_numpy().view(np.uint64) for c in ("gram", "block"))
-            left, span = (batch.column(c).to_numpy().astype(np.int64) for c in ("left_", "span"))
-            rows = []
-            for i in range(batch.num_rows):
-                text = raw[offsets[i] : offsets[i + 1]]
-                prefix = prefix_hashes(text)
-                for r in range((left[i] - span[i]) // width, left[i] // width + 1):
-                    # starts of this part: left - x for the x of the range that the block has
-                    a = max(left[i] - (r + 1) * width + 1, 0)
-                    b = min(left[i] - r * width, span[i])
-                    core = left[i] - r * width, left[i] - (r + 1) * width + 1 + length
-                    core_hash = substring_hashes(prefix, np.array([core[0]]), np.array([core[1]]))
-                    own = substring_hashes(prefix, np.array([a]), np.array([b + length]))
-                    key = mixed(core_hash ^ mixed(gram[i : i + 1] + np.uint64(r * 1024 + width)))
-                    rows.append((gram[i], block[i], a, key[0], mixed(own ^ np.uint64((left[i] - a) * 512 + b - a))[0], left[i] - a, b - a, text[a : b + length].tobytes()))
-            if rows:
-                c = list(zip(*rows, strict=True))
-                long = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [long(c[0]), long(c[1]), pa.array(c[2], pa.int16()), long(c[3]), long(c[4]), pa.array(c[5], pa.int16()), pa.array(c[6], pa.int16()), pa.array(c[7], pa.binary())],
-                    ["parent_gram", "parent_block", "begin", "gram", "block", "left_", "span", "bytes"],
-                )
-
-    return hot.select("gram", "block", "left_", "span", "bytes").mapInArrow(
-        cut, "parent_gram long, parent_block long, begin short, gram long, block long, left_ short, span short, bytes binary"
-    )
+            for at in range(0, batch.num_rows, 1000):
+                yield parts(batch.slice(at, 1000))
+
+    def parts(batch: pa.RecordBatch) -> pa.RecordBatch:
+        raw, offsets = as_bytes(batch.column("bytes"))
+        gram, block = (batch.column(c).to_numpy().view(np.uint64) for c in ("gram", "block"))
+        left, span = (batch.column(c).to_numpy().astype(np.int64) for c in ("left_", "span"))
+        low = (left - span) // width
+        count = left // width + 1 - low
+        row = np.repeat(np.arange(len(left)), count)
+        r = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + low[row]
+        # starts of a part: left - x for the x of the range that the block has
+        a, b = np.maximum(left[row] - (r + 1) * width + 1, 0), np.minimum(left[row] - r * width, span[row])
+        raw, base = raw[offsets[0] : offsets[-1]], offsets[:-1][row] - offsets[0]
+        prefix = prefix_hashes(raw)
+        core = base + left[row] - r * width
+        core_hash = substring_hashes(prefix, core, core - width + 1 + length)
+        own = substring_hashes(prefix, base + a, base + b + length)
+        key = mixed(core_hash ^ mixed(gram[row] + (r * 1024 + width).astype(np.uint64)))
+        own = mixed(own ^ mixed(((left[row] - a) * 512 + b - a).astype(np.uint64)))
+        cuts = [raw[i:j].tobytes() for i, j in zip((base + a).tolist(), (base + b + length).tolist(), strict=True)]
+        long = lambda v: pa.array(v.view(np.int64))
+        short = lambda v: pa.array(v.astype(np.int16))
+        return pa.RecordBatch.from_arrays([long(gram[row]), long(block[row]), short(a), long(key), long(own), short(left[row] - a), short(b - a), pa.array(cuts, pa.binary())], names)
+
+    # a hot gram's blocks are cut by many tasks
+    return hot.select("gram", "block", "left_", "span", "bytes").repartition("gram", "block").mapInArrow(cut, schema)
 
 
 def all_starts(frame: DataFrame) -> DataFrame:
@@ -317,7 +320,8 @@ def all_starts(frame: DataFrame) -> DataFrame:
 def resolved(groups: DataFrame, length: int, limit: int, level: int = 0) -> DataFrame:
     """Distinct blocks (BLOCK) of grams that have several -> repeated starts of those blocks that
     are no copies themselves (n is 1)."""
-    size = groups.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
+    # stored, here and below: a shuffle of its own for the join lets hot keys be split
+    size = stored(groups.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1"), "gram-sizes")
     sized = groups.join(size, "gram")
     out = merged(sized.where(F.col("size") <= limit), length)
     hot = sized.where(F.col("size") > limit)
@@ -328,7 +332,7 @@ def resolved(groups: DataFrame, length: int, limit: int, level: int = 0) -> Data
         parts.groupBy("gram", "block").agg(F.count("*").alias("n"), F.first("left_").alias("left_"), F.first("span").alias("span"), F.first("bytes").alias("bytes")),
         "part-blocks",
     )
-    below = all_starts(distinct.where("n > 1")).union(resolved(distinct, length, limit, level + 1))
+    below = stored(all_starts(distinct.where("n > 1")).union(resolved(distinct, length, limit, level + 1)), "part-starts")
     up = (
         parts.select("parent_gram", "parent_block", "begin", "gram", "block")
         .join(below, ["gram", "block"])
@@ -348,7 +352,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = GROUP_LIM
         found.groupBy("gram").agg(F.count("*").alias("n"), F.min("block").alias("least"), F.max("block").alias("most"))
         .where("n > 1").select("gram", (F.col("least") != F.col("most")).alias("several"))
     )
-    again = stored(found.join(grams, "gram"), "repeated-grams")
+    again = stored(found.join(stored(grams, "grams"), "gram"), "repeated-grams")
     distinct = again.where("several").groupBy("gram", "block").agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "first")).alias("place"), F.first("left_").alias("left_"), F.first("span").alias("span")
     )
