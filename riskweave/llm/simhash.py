@@ -184,7 +184,8 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shin
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the component)."""
     rows = components(docs, text, doc_id, shingle, radius)
-    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # stored: a shuffle of its own for the join lets a hot component's documents be split
+    smallest = stored(rows.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component-ids")
     return rows.join(smallest, "component").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
