@@ -83,19 +83,28 @@ def packed(rows: DataFrame, size: int, by_term: bool) -> tuple[DataFrame, int]:
 
 
 def accumulate(ptr: np.ndarray, at: np.ndarray, weight: np.ndarray, queries: tuple[np.ndarray, np.ndarray, np.ndarray], n: int) -> np.ndarray:
-    """Score arrays of a block over a shard: for each query row, each of its terms scatters
-    weight * postings."""
+    """Score arrays of a block over a shard, term by term: the term's postings, times its weight
+    in each query that has it, are scattered into these queries' arrays. A term that most vectors
+    and queries have is scattered into one array first and added as a whole."""
     q_ptr, q_term, q_weight = queries
+    rows = np.repeat(np.arange(len(q_ptr) - 1), np.diff(q_ptr))
+    by_term = np.argsort(q_term, kind="stable")
+    terms, begin = np.unique(q_term[by_term], return_index=True)
     scores = np.zeros((len(q_ptr) - 1, n), np.int64)
-    terms = len(ptr) - 1
-    for q in range(len(q_ptr) - 1):
-        acc = scores[q]
-        for j in range(q_ptr[q], q_ptr[q + 1]):
-            t = q_term[j]
-            if t < terms:
-                lo, hi = ptr[t], ptr[t + 1]
-                # a term occurs once in a vector, so no number repeats in a list
-                acc[at[lo:hi]] += q_weight[j] * weight[lo:hi]
+    step = np.empty_like(scores)
+    for t, a, b in zip(terms.tolist(), begin.tolist(), [*begin[1:].tolist(), len(by_term)], strict=True):
+        if t + 1 >= len(ptr) or ptr[t] == ptr[t + 1]:
+            continue
+        # a term occurs once in a vector, so no number repeats in a list
+        where, what = at[ptr[t] : ptr[t + 1]], weight[ptr[t] : ptr[t + 1]]
+        q, w = rows[by_term[a:b]], q_weight[by_term[a:b]]
+        if 4 * len(where) >= n and 4 * len(q) >= len(scores):
+            column, row = np.zeros(n, np.int64), np.zeros(len(scores), np.int64)
+            column[where], row[q] = what, w
+            np.multiply(row[:, None], column[None, :], out=step)
+            scores += step
+        else:
+            scores[np.ix_(q, where)] += w[:, None] * what[None, :]
     return scores
 
 

@@ -37,6 +37,13 @@ def test_matches_brute_force(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_sparse_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 50)
+    r = np.random.default_rng(9)
+    rows = [(i, f32(r.normal(size=30) * (r.random(30) < 0.1))) for i in range(200)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_few_and_no_rows(spark):
     rows = [(0, f32([1, 2])), (7, f32([-1, 0.25])), (50, f32([0, 0]))]
     assert run(spark, rows) == brute(rows)
