@@ -2,8 +2,8 @@
 
 Each stage is (spark, docs, sf_dir) -> DataFrame; its result is written as Parquet and read again
 as the next stage's docs. All but the last return the columns of documents; the last adds topic,
-n_tokens, weight and probability. docs must come from files: the stages that drop rows number
-them by reading order. Null and empty texts, repeated rows, empty tables and extra columns are
+n_tokens, weight and probability. The stages that drop rows by number store
+the numbers with the rows. Null and empty texts, repeated rows, empty tables and extra columns are
 treated as the operators state; without usable labels the quality stage keeps every document, and
 without a benchmark nothing is contaminated.
 """

@@ -30,6 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, number: str, name: str) -> DataFrame:
+    """df with a row number in the column `number`, stored together: every later reading finds the
+    same number at a row, whatever the partitions are that the reading packs files into."""
+    return stored(df.withColumn(number, F.monotonically_increasing_id()), name)
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     """A column name that df does not use, for helper columns beside unknown extra ones."""
     taken = {c.lower() for c in df.columns}

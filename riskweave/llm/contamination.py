@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import BLOCK_BYTES, blocks, bounded_batches, fresh_name, stored
+from riskweave.llm.common import BLOCK_BYTES, blocks, bounded_batches, fresh_name, numbered, stored
 from riskweave.llm.hashing import prefix_hashes, substring_hashes
 
 WINDOW = 13
@@ -273,12 +273,12 @@ def report(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: st
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """docs without the contaminated rows. docs must be read from files, whose rows are numbered
-    alike by every reading."""
+    """docs without the contaminated rows. docs is stored once with the row numbers that the join
+    uses."""
     number = fresh_name(docs, "row")
-    numbered = docs.withColumn(number, F.monotonically_increasing_id())
-    dirty = report(numbered, benchmark, text, number, slop=None).where("contaminated").select(F.col("doc_id").alias("dirty"))
-    return numbered.join(stored(dirty, "contaminated"), F.col(number) == F.col("dirty"), "left_anti").drop(number)
+    rows = numbered(docs, number, "numbered-documents")
+    dirty = report(rows, benchmark, text, number, slop=None).where("contaminated").select(F.col("doc_id").alias("dirty"))
+    return rows.join(stored(dirty, "contaminated"), F.col(number) == F.col("dirty"), "left_anti").drop(number)
 
 
 __all__ = ["tokens", "build_index", "windows", "phrase_starts", "near_spans", "matches", "report", "keep_clean"]

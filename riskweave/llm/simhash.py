@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import as_bytes, bounded_batches, fresh_name, stored
+from riskweave.llm.common import as_bytes, bounded_batches, fresh_name, numbered, stored
 from riskweave.llm.components import stars
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -170,13 +170,12 @@ def links(prints: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LIMI
         rows = large.select("fp", F.explode(step[F.col("mask")]).alias("mask")).distinct()
 
 
-def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """row (number), doc_id, fp, component (its smallest linked fingerprint) of every document."""
+def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS, row: str | None = None) -> DataFrame:
+    """row (number), doc_id, fp, component (its smallest linked fingerprint) of every document; the
+    row number is that of the column `row`, or null."""
     bounded_batches(docs.sparkSession)
-    rows = stored(
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text), shingle).alias("fp")),
-        "fingerprints",
-    )
+    number = F.col(row) if row else F.lit(None).cast("long")
+    rows = stored(docs.select(number.alias("row"), F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text), shingle).alias("fp")), "fingerprints")
     star = stars(links(rows.select("fp").distinct(), radius)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     return rows.join(star, "fp", "left").select("row", "doc_id", "fp", F.coalesce("root", "fp").alias("component"))
 
@@ -191,12 +190,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """docs with one row of each component: that of the smallest doc_id (null last), of repeated
-    rows any one. docs must be read from files, whose rows are numbered alike by every reading."""
-    rows = components(docs, text, doc_id, shingle, radius)
+    rows any one. docs is stored once with the row numbers that the joins use."""
+    number = fresh_name(docs, "row")
+    docs = numbered(docs, number, "numbered-documents")
+    rows = components(docs, text, doc_id, shingle, radius, number)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     kept = rows.groupBy("component").agg(first.alias("first")).select(F.col("first.row").alias("kept"))
-    number = fresh_name(docs, "row")
-    return docs.withColumn(number, F.monotonically_increasing_id()).join(kept, F.col(number) == F.col("kept"), "left_semi").drop(number)
+    return docs.join(kept, F.col(number) == F.col("kept"), "left_semi").drop(number)
 
 
 __all__ = ["fingerprint", "fingerprint_column", "BKTree", "local_stars", "finer", "links", "components", "near_duplicates", "keep_one"]

@@ -34,8 +34,8 @@ Byte positions are those of the UTF-8 text; kept bytes need not be valid UTF-8.
 Scale: blocks (about one for 85 bytes of text) are counted by aggregates with map-side combine;
 a group that meets in a task has at most GROUP_LIMIT blocks of under 2 * length bytes. Grams and
 blocks travel as 64-bit hashes (a block as gram and block hash, 128 bits together); bytes of a
-block travel only if its gram occurs with different surroundings. Texts are shuffled twice, compressed,
-to fetch these bytes and to cut the documents.
+block travel only if its gram occurs with different surroundings. Texts are stored once with their row
+numbers and shuffled twice, compressed, to fetch these bytes and to cut the documents.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import as_bytes, blocks, bounded_batches, packed, stored, unpacked
+from riskweave.llm.common import as_bytes, blocks, bounded_batches, numbered, packed, stored, unpacked
 from riskweave.llm.hashing import mixed, prefix_hashes, substring_hashes
 
 LENGTH = 200
@@ -382,10 +382,10 @@ CUT = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string,
 
 def cut_documents(docs: DataFrame, length: int = LENGTH, limit: int = GROUP_LIMIT, kept: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with `kept` the kept bytes.
-    docs must be read from files, whose rows are numbered alike by every reading."""
+    The texts are stored once with the numbers that all joins use."""
     bounded_batches(docs.sparkSession)
-    numbered = docs.select(F.monotonically_increasing_id().alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    spans = stored(repeated_spans(numbered.select("doc", "text"), length, limit), "spans")
+    docs = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "doc", "numbered-texts")
+    spans = stored(repeated_spans(docs.select("doc", "text"), length, limit), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -400,7 +400,7 @@ def cut_documents(docs: DataFrame, length: int = LENGTH, limit: int = GROUP_LIMI
             c = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in c[:3]), pa.array(c[3], pa.string()), pa.array(c[4], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    texts = numbered.select("doc", "doc_id", packed(F.col("text")).alias("text"))
+    texts = docs.select("doc", "doc_id", packed(F.col("text")).alias("text"))
     out = texts.join(spans, "doc", "left").select("doc_id", "text", "starts").mapInArrow(cut, CUT.replace("doc long", "doc_id long", 1))
     return out if kept else out.drop("kept")
 
