@@ -13,7 +13,7 @@ Matching takes the test windows (13 words; a shorter item is one window) against
 window one of whose terms the block lacks is out at once; else the list of its rarest term, moved
 back by the term's offset, gives the possible starts, and the offset-adjusted lists of the other
 terms, rarest first, are intersected with them. Proximity matches are stretches of at most
-window + slop words of a document that hold all terms of a window in any order.
+window + slop words of one document that hold all terms of a window in any order.
 
 Defined cases: null texts have no words; a document without words is never contaminated; empty
 items give no window; items that share an item_id are one item; a null item_id is shown as the
@@ -136,19 +136,25 @@ def phrase_starts(lists: list[np.ndarray]) -> np.ndarray:
     return starts
 
 
-def near_spans(lists: list[np.ndarray], width: int) -> list[tuple[int, int]]:
+def near_spans(lists: list[np.ndarray], width: int, first: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Stretches (start, end) of at most width positions that hold one of each list, around every
-    position of the rarest list that has such a stretch."""
+    position of the rarest list that has such a stretch. With `first` (the first position of every
+    document and the end of the last) a stretch lies in one document."""
     lists = sorted({id(x): x for x in lists}.values(), key=len)
     around = lists[0]
+    low, high = around - (width - 1), around + width
+    if first is not None:
+        doc = np.searchsorted(first, around, side="right") - 1
+        low, high = np.maximum(low, first[doc]), np.minimum(high, first[doc + 1])
     for x in lists[1:]:
-        at = np.searchsorted(x, around - (width - 1))
-        around = around[(at < len(x)) & (x[np.minimum(at, len(x) - 1)] < around + width)]
+        at = np.searchsorted(x, low)
+        there = (at < len(x)) & (x[np.minimum(at, len(x) - 1)] < high)
+        around, low, high = around[there], low[there], high[there]
         if not len(around):
             return []
     out = []
-    for p in around.tolist():
-        near = [x[np.searchsorted(x, p - width + 1) : np.searchsorted(x, p + width)] for x in lists]
+    for p, a, b in zip(around.tolist(), low.tolist(), high.tolist(), strict=True):
+        near = [x[np.searchsorted(x, a) : np.searchsorted(x, b)] for x in lists]
         for start in sorted({int(v) for x in near for v in x if v <= p}, reverse=True):
             ends = [x[np.searchsorted(x, start)] if x[-1] >= start else None for x in near]
             if None not in ends and max(max(ends), p) - start < width:
@@ -205,10 +211,8 @@ def match_block(own: np.ndarray, ptr: np.ndarray, positions: np.ndarray, first:
                 spans.setdefault(d, []).append((p - int(first[d]), p - int(first[d]) + n))
                 exact.setdefault(d, set()).add(item)
         if slop is not None:
-            for a, b in near_spans(lists, n + slop):
-                d = int(np.searchsorted(first, a, side="right")) - 1
-                if b <= first[d + 1]:
-                    near.setdefault(d, set()).add(item)
+            for a, _ in near_spans(lists, n + slop, first):
+                near.setdefault(int(np.searchsorted(first, a, side="right")) - 1, set()).add(item)
     return spans, exact, near
 
 

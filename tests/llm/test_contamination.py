@@ -127,3 +127,19 @@ def test_proximity_matches(spark):
     out = C.report(frame, spark.createDataFrame([(1, item)], "item_id long, text string"), slop=2).orderBy("doc_id")
     assert [(r.n_items, r.n_near_items) for r in out.collect()] == [(0, 1), (0, 0), (1, 1)]
     assert out.where(F.col("n_hit") > 0).count() == 1
+
+
+def test_proximity_in_adjacent_copies(spark):
+    """Short copies side by side: stretches must be sought inside each document, also near its end."""
+    r = random.Random(12)
+    item = "alpha beta gamma delta"
+    docs = [item] * 2 + ["alpha"] * 9
+    for _ in range(120):
+        text = " ".join(r.choice(item.split(" ") + ["x"]) for _ in range(r.randint(0, 12)))
+        docs += [text] * r.randint(1, 3)
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1)
+    for slop in (0, 3):
+        out = C.report(frame, spark.createDataFrame([(1, item)], "item_id long, text string"), slop=slop).collect()
+        want = [int(any(set(item.split(" ")) <= set(d.split(" ")[i : i + 4 + slop]) for i in range(len(d.split(" "))))) for d in docs]
+        assert 10 < sum(want) < len(want)
+        assert [r.n_near_items for r in sorted(out, key=lambda r: r.doc_id)] == want
