@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, contamination, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, warc
+from riskweave.llm import bpe, chat, contamination, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, warc
 from riskweave.llm.common import table
 from riskweave.session import ensure_checkpoint_dir, scratch_path
 
@@ -79,6 +79,17 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    out = bpe.decode(rows)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 def _mixing_sql(rounds: int = mixing.ROUNDS) -> str:
     """Raking unrolled: each round sets the source, then the language, then the topic factors."""
     ctes = [
@@ -121,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
