@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, contamination, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, warc
+from riskweave.llm import bpe, chat, contamination, divergence, filter_audit, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, topk, warc
 from riskweave.llm.common import table
 from riskweave.session import ensure_checkpoint_dir, scratch_path
 
@@ -79,6 +79,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     out = bpe.decode(rows)
@@ -90,6 +94,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def _mixing_sql(rounds: int = mixing.ROUNDS) -> str:
     """Raking unrolled: each round sets the source, then the language, then the topic factors."""
     ctes = [
@@ -132,7 +140,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_filter_audit": op11_filter_audit,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -184,6 +194,69 @@ ORACLE_SQL: dict[str, str] = {
           FROM made GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
         FROM sums""",
+    "op11_filter_audit": r"""
+        WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (
+          SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+            min(doc_id) OVER (PARTITION BY t) AS least FROM docs),
+        fails AS (
+          SELECT doc_id, part, CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+            || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+            || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+            || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+            || CASE WHEN least < doc_id THEN 'E' ELSE '' END AS bad FROM w),
+        known AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY 1),
+        cell AS MATERIALIZED (
+          SELECT part, bad, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+          FROM fails LEFT JOIN known USING (doc_id) GROUP BY 1, 2),
+        letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        sorted AS (
+          SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+          WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        steps AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM sorted),
+        at AS (
+          SELECT part, filter_order, step, substr(filter_order, step, 1) AS own, bad, n, good, toxic,
+            contains(bad, substr(filter_order, step, 1)) AS fails_own,
+            length(translate(bad, substr(filter_order, 1, step - 1), '')) < length(bad) AS gone
+          FROM cell, steps)
+        SELECT part, filter_order, step,
+          coalesce(sum(n) FILTER (WHERE NOT fails_own AND NOT gone), 0)::BIGINT AS kept,
+          coalesce(sum(n) FILTER (WHERE fails_own AND NOT gone), 0)::BIGINT AS removed,
+          coalesce(sum(n) FILTER (WHERE fails_own AND gone), 0)::BIGINT AS redundant,
+          coalesce(sum(n) FILTER (WHERE bad = own), 0)::BIGINT AS unique_fails,
+          coalesce(sum(good) FILTER (WHERE fails_own AND NOT gone), 0)::BIGINT AS good_lost,
+          coalesce(sum(toxic) FILTER (WHERE fails_own AND NOT gone), 0)::BIGINT AS toxic_lost,
+          coalesce(sum(n * (120 // length(bad))) FILTER (WHERE fails_own), 0)::BIGINT AS shapley
+        FROM at GROUP BY ALL""",
+    "op13_source_divergence": r"""
+        WITH docs AS (
+          SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        said AS (SELECT doc, lang, source, unnest(terms) AS term FROM docs),
+        kept AS (SELECT lang, term, count(*) AS n FROM said GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
+        here AS (SELECT lang, source, term, count(*) AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        grp AS (SELECT DISTINCT lang, source FROM docs),
+        every AS (
+          SELECT lang, source, term, coalesce(h.n, 0) AS n, k.n AS n_lang
+          FROM grp JOIN kept k USING (lang) LEFT JOIN here h USING (lang, source, term)),
+        p AS MATERIALIZED (
+          SELECT lang, source, term, n,
+            1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER g + count(*) OVER g) AS p,
+            1 + (1000000000::HUGEINT * (n_lang + 1)) // (sum(n_lang) OVER g + count(*) OVER g) AS q
+          FROM every WINDOW g AS (PARTITION BY lang, source)),
+        sums AS (
+          SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+        pair AS (
+          SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+          FROM (FROM pair UNION ALL FROM term))
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
 
 
