@@ -44,13 +44,15 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import as_bytes, blocks, bounded_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MEMO_WORDS = 400_000
-STEP_WORDS = 500_000
-QUERY_WORDS = 50_000
-QUERY_TOKENS = 500_000
+MEMO_WORDS = 300_000
+STEP_WORDS = 100_000
+QUERY_WORDS = 10_000
+QUERY_TOKENS = 100_000
 LONG = 128
 DEPTH = 16
-MEMORY = "400MB"
+MEMORY = "200MB"
+BATCH_BYTES = 8 << 20
+TEXT_BYTES = 500_000
 
 CONTRACT = """
 WITH RECURSIVE t(word, ids, round) AS (
@@ -139,28 +141,14 @@ class Splitter:
             yield part
 
 
-class Codec:
-    """Vocabulary, merge table and the memo of a worker."""
+class Database:
+    """A worker's DuckDB database with the vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], memo_words: int = MEMO_WORDS):
+    def __init__(self, ranks: dict[bytes, int]):
         import duckdb
 
-        self.ranks, self.memo_words, self.splitter = ranks, memo_words, Splitter()
-        self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        pairs = [(ranks[k[:i]], ranks[k[i:]], m) for k, m in ranks.items() for i in range(1, len(k)) if k[:i] in ranks and k[i:] in ranks]
-        least: dict[int, int] = {}
-        for l, r, m in pairs:  # noqa: E741
-            least[l] = min(least.get(l, m), m)
-            least[r] = min(least.get(r, m), m)
-        self.beside = np.zeros((256, 256), bool)
-        for k in ranks:
-            b = np.frombuffer(k, np.uint8)
-            self.beside[b[:-1], b[1:]] = True
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
-        l, r, m = (pa.array(x, pa.int32()) for x in (list(zip(*pairs, strict=True)) or [()] * 3))  # noqa: E741
-        self.table("merges", l=l, r=r, m=m, alike=pa.array([least.get(x[2], x[2] + 1) > x[2] for x in pairs], pa.bool_()))
         self.table("vocabulary", id=pa.array(list(ranks.values()), pa.int32()), bytes=pa.array(list(ranks), pa.binary()))
-        self.forget()
 
     def table(self, name: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
@@ -173,7 +161,26 @@ class Codec:
         self.db.unregister(name)
         return out
 
-    # ---- encoding
+
+class Encoder(Database):
+    """Vocabulary, merge table and the memo of a worker."""
+
+    def __init__(self, ranks: dict[bytes, int], memo_words: int = MEMO_WORDS):
+        super().__init__(ranks)
+        self.ranks, self.memo_words, self.splitter = ranks, memo_words, Splitter()
+        self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        pairs = [(ranks[k[:i]], ranks[k[i:]], m) for k, m in ranks.items() for i in range(1, len(k)) if k[:i] in ranks and k[i:] in ranks]
+        least: dict[int, int] = {}
+        for l, r, m in pairs:  # noqa: E741
+            least[l] = min(least.get(l, m), m)
+            least[r] = min(least.get(r, m), m)
+        self.beside = np.zeros((256, 256), bool)
+        for k in ranks:
+            b = np.frombuffer(k, np.uint8)
+            self.beside[b[:-1], b[1:]] = True
+        l, r, m = (pa.array(x, pa.int32()) for x in (list(zip(*pairs, strict=True)) or [()] * 3))  # noqa: E741
+        self.table("merges", l=l, r=r, m=m, alike=pa.array([least.get(x[2], x[2] + 1) > x[2] for x in pairs], pa.bool_()))
+        self.forget()
 
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
@@ -263,7 +270,9 @@ class Codec:
             flush()
         return np.concatenate([np.empty(0, np.int32), *out]), total
 
-    # ---- decoding
+
+class Decoder(Database):
+    """The bytes of ids, by the vocabulary."""
 
     def decode(self, ids: np.ndarray) -> Iterator[bytes]:
         """The bytes of a row of ids, in pieces."""
@@ -285,9 +294,14 @@ class Codec:
 
 
 @cache
-def worker_codec(vocabulary: str) -> Codec:
-    """One codec for the tasks of a Python worker."""
-    return Codec(read_ranks(vocabulary))
+def worker_encoder(vocabulary: str) -> Encoder:
+    """One encoder for the tasks of a Python worker."""
+    return Encoder(read_ranks(vocabulary))
+
+
+@cache
+def worker_decoder(vocabulary: str) -> Decoder:
+    return Decoder(read_ranks(vocabulary))
 
 
 def _bounded_rows(size: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -304,9 +318,9 @@ def encoded(text: Column, vocabulary: str = VOCABULARY) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = worker_codec(vocabulary)
+        encoder = worker_encoder(vocabulary)
         for batch in batches:
-            parts = [codec.encode([x or "" for x in batch.slice(lo, hi - lo).to_pylist()]) for lo, hi, _, _ in blocks(batch)]
+            parts = [encoder.encode([x or "" for x in batch.slice(lo, hi - lo).to_pylist()]) for lo, hi, _, _ in blocks(batch, TEXT_BYTES)]
             ids, count = (np.concatenate(x) for x in (zip(*parts, strict=True) if parts else ([np.empty(0, np.int32)], [np.empty(0, np.int64)])))
             yield pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)), pa.int32()), pa.array(ids))
 
@@ -318,7 +332,7 @@ def decoded(ids: Column, vocabulary: str = VOCABULARY) -> Column:
 
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = worker_codec(vocabulary)
+        decoder = worker_decoder(vocabulary)
         for batch in batches:
             batch = batch.fill_null(pa.scalar([], batch.type)) if batch.null_count else batch
             offsets = batch.offsets.to_numpy()
@@ -327,10 +341,10 @@ def decoded(ids: Column, vocabulary: str = VOCABULARY) -> Column:
             for lo, hi in _bounded_rows(np.diff(offsets), QUERY_TOKENS):
                 own = flat[offsets[lo] : offsets[hi]]
                 if len(own) > QUERY_TOKENS:
-                    texts.append(b"".join(codec.decode(own)))
+                    texts.append(b"".join(decoder.decode(own)))
                 else:
                     row = np.repeat(np.arange(hi - lo, dtype=np.int32), np.diff(offsets[lo : hi + 1]))
-                    texts += codec.decode_rows(own, row, hi - lo)
+                    texts += decoder.decode_rows(own, row, hi - lo)
             yield pa.array(texts, pa.binary())
 
     return decode(ids)
@@ -338,14 +352,14 @@ def decoded(ids: Column, vocabulary: str = VOCABULARY) -> Column:
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
     """docs with the ids of their texts."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     return docs.withColumn(ids, encoded(F.col(text), vocabulary))
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "bytes", vocabulary: str = VOCABULARY) -> DataFrame:
     """rows with the bytes that their ids stand for."""
-    bounded_batches(rows.sparkSession)
+    bounded_batches(rows.sparkSession, BATCH_BYTES)
     return rows.withColumn(out, decoded(F.col(ids), vocabulary))
 
 
-__all__ = ["Splitter", "Codec", "encoded", "decoded", "encode", "decode"]
+__all__ = ["Splitter", "Encoder", "Decoder", "encoded", "decoded", "encode", "decode"]
