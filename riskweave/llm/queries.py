@@ -210,11 +210,11 @@ ORACLE_SQL: dict[str, str] = {
           SELECT part, bad, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
           FROM fails LEFT JOIN known USING (doc_id) GROUP BY 1, 2),
         letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
-        sorted AS (
+        arranged AS (
           SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
-        steps AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM sorted),
-        at AS (
+        steps AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM arranged),
+        walked AS (
           SELECT part, filter_order, step, substr(filter_order, step, 1) AS own, bad, n, good, toxic,
             contains(bad, substr(filter_order, step, 1)) AS fails_own,
             length(translate(bad, substr(filter_order, 1, step - 1), '')) < length(bad) AS gone
@@ -226,8 +226,8 @@ ORACLE_SQL: dict[str, str] = {
           coalesce(sum(n) FILTER (WHERE bad = own), 0)::BIGINT AS unique_fails,
           coalesce(sum(good) FILTER (WHERE fails_own AND NOT gone), 0)::BIGINT AS good_lost,
           coalesce(sum(toxic) FILTER (WHERE fails_own AND NOT gone), 0)::BIGINT AS toxic_lost,
-          coalesce(sum(n * (120 // length(bad))) FILTER (WHERE fails_own), 0)::BIGINT AS shapley
-        FROM at GROUP BY ALL""",
+          coalesce(sum(n * (120 // greatest(length(bad), 1))) FILTER (WHERE fails_own), 0)::BIGINT AS shapley
+        FROM walked GROUP BY ALL""",
     "op13_source_divergence": r"""
         WITH docs AS (
           SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
