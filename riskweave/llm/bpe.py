@@ -44,15 +44,15 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import as_bytes, blocks, bounded_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MEMO_WORDS = 300_000
-STEP_WORDS = 100_000
-QUERY_WORDS = 10_000
+MEMO_WORDS = 500_000
+STEP_WORDS = 250_000
+QUERY_WORDS = 50_000
 QUERY_TOKENS = 100_000
 LONG = 128
 DEPTH = 16
 MEMORY = "200MB"
 BATCH_BYTES = 8 << 20
-TEXT_BYTES = 500_000
+TEXT_BYTES = 1_000_000
 
 CONTRACT = """
 WITH RECURSIVE t(word, ids, round) AS (
