@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskweave.config import Settings
 from riskweave.functions import bands as B
 from riskweave.operators.history import alert_history
+from riskweave.operators import ranking
 
 ALERT_COLUMNS = [
     "account_id",
@@ -85,6 +86,16 @@ def churn_alerts(
     return out.withColumn("alerted_at", s.run_ts_col()) if stamp else out
 
 
-def ordered(alerts: DataFrame) -> DataFrame:
+def _order() -> list[Column]:
     """ORD2: priority ascending, then highest risk, account_id as the tie-break."""
-    return alerts.orderBy("alert_priority", F.col("risk_score").desc(), "account_id")
+    return [F.asc("alert_priority"), F.desc("risk_score"), F.asc("account_id")]
+
+
+def ordered(alerts: DataFrame) -> DataFrame:
+    """The read-time order of a whole listing."""
+    return alerts.orderBy(*_order())
+
+
+def in_order(alerts: DataFrame) -> ranking.Ordered:
+    """The same order with rank, quantiles and pages."""
+    return ranking.ordered(alerts, *_order())

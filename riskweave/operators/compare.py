@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave.config import Settings
 from riskweave.functions.exprs import clamp, round_half_up, round_scaled_even
+from riskweave.operators.ranking import Ordered, ordered
 
 # FIXED VALUES: model feature list and the NULL fills applied before modelling
 FEATURE_COLS = [
@@ -161,6 +162,11 @@ def ordered_ml(mart: DataFrame) -> DataFrame:
     return mart.orderBy(F.col("risk_score_ml").desc(), "account_id")
 
 
+def in_order(mart: DataFrame) -> Ordered:
+    """ORD3 with places: rank, quantiles and pages over the whole mart."""
+    return ordered(mart, F.desc("risk_score_ml"), F.asc("account_id"))
+
+
 def compare_frame(scores: DataFrame, predictions: DataFrame) -> DataFrame:
     """ML15: the side-by-side listing (scores to 1 dp, probability to 3 dp)."""
     r, m = scores, predictions

@@ -151,18 +151,15 @@ def scd2_from_log(
     if invalidate_hard_deletes:
         starts = starts | gap
     x = x.withColumn("__starts", starts)
-    x = x.withColumn("__next_starts", F.lead("__starts").over(w))
-    absent_next = F.col("__lead_ts").isNull() | (F.col("__lead_ts") != F.col("__next_run"))
     if invalidate_hard_deletes:
-        close = F.when(absent_next, F.col("__next_run")).when(
-            F.col("__next_starts"), F.col("__lead_ts")
-        )
+        # a version ends at the run its key is first absent from, told by its last row
+        ends = F.col("__lead_ts").isNull() | (F.col("__lead_ts") != F.col("__next_run"))
+        x = x.withColumn("__ends", ends).where(F.col("__starts") | F.col("__ends"))
+        after = F.when(F.lead("__starts").over(w), F.lead("__ts").over(w)).otherwise(F.lead("__next_run").over(w))
+        valid_to = F.when(F.col("__ends"), F.col("__next_run")).otherwise(after)
     else:
-        close = F.when(F.col("__next_starts"), F.col("__lead_ts"))
-    x = x.withColumn("__close", close)
-    valid_to = F.first("__close", ignorenulls=True).over(
-        w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    )
+        x = x.where("__starts")
+        valid_to = F.lead("__ts").over(w)
     x = x.withColumn("__valid_to", valid_to)
     return x.where("__starts").select(
         *data_cols,

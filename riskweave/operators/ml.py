@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from riskweave.config import Settings
 from riskweave.operators.compare import FEATURE_COLS, prediction_frame, prepare_features
-from riskweave.session import ensure_checkpoint_dir
+from riskweave.session import ensure_checkpoint_dir, stored
 
 LABEL = "label"
 WEIGHT = "class_weight"
@@ -135,6 +135,7 @@ def pipelines(n_rows: int) -> dict[str, Pipeline]:
         regParam=1.0 / (LR_C * max(n_rows, 1)),
         elasticNetParam=0.0,
         standardization=False,
+        tol=1e-10,
     )
     gbt = GBTClassifier(
         featuresCol="raw_features",
@@ -279,6 +280,35 @@ def classification_report(scored: DataFrame) -> DataFrame:
     return per.unionByName(acc).unionByName(summary)
 
 
+def lr_gradient(model: PipelineModel, weighted: DataFrame) -> DataFrame:
+    """ML5: the gradient of the weighted, regularised mean loss at the fitted coefficients, one row
+    per coefficient and the intercept. It is zero where the fit is optimal. One aggregate over the
+    rows, computed here from probabilities and scaled features, not taken from the optimizer."""
+    last = model.stages[-1]
+    names = [*FEATURE_COLS, "intercept"]
+    scored = model.transform(weighted).select(
+        F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"),
+        (vector_to_array("probability")[1] - F.col(LABEL)).alias("miss"), F.col(WEIGHT).alias("w"),
+    )
+    sums = scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("w").alias("total"),
+        *(F.sum(F.col("w") * F.col("miss") * F.col("x")[i]).alias(f"g{i}") for i in range(len(names))),
+    )
+    strength = last.getRegParam()
+    coefficients = [*last.coefficients.toArray().tolist(), 0.0]
+    rows = [
+        F.struct(F.lit(n).alias("term"), (F.col(f"g{i}") / F.col("total") + F.lit(strength * float(b))).alias("gradient"))
+        for i, (n, b) in enumerate(zip(names, coefficients, strict=True))
+    ]
+    return sums.select("n_rows", F.inline(F.array(*rows)))
+
+
+def fit_logistic(training: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    """The logistic pipeline on all rows, and the weighted rows it was fitted on (stored once)."""
+    weighted = stored(with_class_weights(training), "weighted-training")
+    return pipelines(weighted.count())["Logistic Regression"].fit(weighted), weighted
+
+
 def training_auc(result: TrainResult, training: DataFrame) -> float:
     """ML11: in-sample AUC of the refit model."""
     return float(_evaluator().evaluate(result.model.transform(training)))

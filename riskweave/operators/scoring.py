@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskweave.config import Settings
 from riskweave.functions import bands as B
 from riskweave.functions.exprs import band, round_half_up
+from riskweave.operators.ranking import Ordered, ordered
 
 SCORE_COLUMNS = [
     "account_id",
@@ -134,6 +135,18 @@ def risk_scores(features: DataFrame, s: Settings, stamp: bool = True) -> DataFra
     return out.select(*s.keys(), *SCORE_COLUMNS)
 
 
+def in_order(scores: DataFrame) -> Ordered:
+    """ORD1 with places: rank, quantiles and pages over all accounts."""
+    return ordered(scores, F.desc("risk_score"), F.asc("account_id"))
+
+
 def ranked(scores: DataFrame) -> DataFrame:
     """ORD1: read-time order, highest risk first, account_id as the tie-break."""
     return scores.orderBy(F.col("risk_score").desc(), F.col("account_id"))
+
+
+#: the feature columns that the rule scores read
+RULE_INPUTS = [
+    "usage_trend_pct", "active_user_ratio", "wau", "distinct_features_used", "days_since_last_event", "days_to_renewal",
+    "seat_contracted_ratio", "had_payment_failure_30d", "had_downgrade_90d", "p1_p2_tickets_30d", "open_tickets_count", "avg_ticket_resolution_days",
+]

@@ -7,7 +7,7 @@ partial row per task, not its raw rows. The account joins then co-partition on a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.config import Settings
@@ -56,8 +56,43 @@ def support_signals(accounts: DataFrame, tickets: DataFrame, s: Settings) -> Dat
 def active_users_30d(events: DataFrame, s: Settings) -> DataFrame:
     """AGG2: distinct users with an event in the trailing window (pushed-down filter)."""
     ev = events.where(F.col("event_ts") >= s.first_day_back(s.recent_days))
-    ev = _bounded(s.tag_runs(ev, "event_ts", s.recent_days), "event_ts", s)
-    return ev.groupBy(*s.keys("account_id")).agg(F.countDistinct("user_id").alias("active_users_30d"))
+    if s.run_col:
+        return active_users_by_run(ev, s)
+    return _bounded(ev, "event_ts", s).groupBy("account_id").agg(F.countDistinct("user_id").alias("active_users_30d"))
+
+
+def active_users_by_run(events: DataFrame, s: Settings) -> DataFrame:
+    """AGG2 for many runs by a sweep over the runs, without a row per event and run.
+
+    The runs stand in a list, bounded ones first. The runs that see an event day in their trailing
+    window are one interval of the bounded runs and one of the others. Of a user's intervals only
+    the part that no earlier interval covers is kept, so the pieces are disjoint; each adds one at
+    its first run and takes it away behind its last. An account's running sum over the runs is its
+    number of active users; runs without any have no row."""
+    runs = [*s.bounded_dates, *(d for d in s.run_dates if d not in s.bounded_dates)]
+    n_bounded = len(s.bounded_dates)
+    days = events.select("account_id", "user_id", F.col("event_ts").cast("date").alias("day")).distinct()
+
+    def before(dates, limit) -> Column:
+        """How many of the dates are before the limit."""
+        return sum((F.when(F.lit(d) < limit, 1).otherwise(0) for d in dates), F.lit(0))
+
+    last_seen = F.date_add("day", s.recent_days + 1)
+    bounded = F.struct(before(runs[:n_bounded], F.col("day")).alias("lo"), (before(runs[:n_bounded], last_seen) - 1).alias("hi"))
+    free = F.struct(F.lit(n_bounded).alias("lo"), (before(runs[n_bounded:], last_seen) + n_bounded - 1).alias("hi"))
+    spans = days.select("account_id", "user_id", F.inline(F.filter(F.array(bounded, free), lambda x: x.lo <= x.hi))).distinct()
+    earlier = Window.partitionBy("account_id", "user_id").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    piece = spans.withColumn("covered", F.max("hi").over(earlier)).withColumn("lo", F.greatest("lo", F.col("covered") + 1)).where("lo <= hi")
+    steps = piece.select("account_id", F.inline(F.array(F.struct(F.col("lo").alias("run"), F.lit(1).alias("step")), F.struct((F.col("hi") + 1).alias("run"), F.lit(-1).alias("step")))))
+    # every run of an account that has a piece, so the running sum has a row for it
+    every = steps.select("account_id").distinct().select("account_id", F.explode(F.sequence(F.lit(0), F.lit(len(runs) - 1))).alias("run"), F.lit(0).alias("step"))
+    change = steps.union(every).groupBy("account_id", "run").agg(F.sum("step").alias("step"))
+    users = F.sum("step").over(Window.partitionBy("account_id").orderBy("run"))
+    date_of = F.array(*(F.lit(d) for d in runs))[F.col("run")]
+    return (
+        change.withColumn("active_users_30d", users).where((F.col("active_users_30d") > 0) & (F.col("run") < len(runs)))
+        .select(date_of.alias(s.run_col), "account_id", "active_users_30d")
+    )
 
 
 def billing_aggregate(billing: DataFrame, s: Settings) -> DataFrame:

@@ -118,14 +118,6 @@ stg_support_tickets AS (
 )"""
 
 
-def _band_sql(col: str, arms: str) -> str:
-    """Points by the first arm that holds ("condition points; ...", on x), between 0 and 100."""
-    whens = " ".join(
-        "WHEN {} THEN {}".format(*arm.strip().rsplit(" ", 1)).replace("x ", f"{col} ") for arm in arms.split(";")
-    )
-    return f"greatest(0, least(100, CASE {whens} ELSE 0 END))"
-
-
 def model_ctes(as_of: dt.date, sfx: str = "", bound: bool = False, acc: str = "stg_accounts") -> str:
     """Activity -> signals -> features -> scores for one as_of, CTE names suffixed."""
     a = _d(as_of)
@@ -219,19 +211,25 @@ features{sfx} AS (
   LEFT JOIN billing{sfx} b USING (account_id)
   WHERE x.week_start = {mon}
 ),
-subscores{sfx} AS (
+{score_ctes(sfx)}"""
+
+
+# FIXED VALUES: the bands of the rule model
+def score_ctes(sfx: str = "") -> str:
+    """Features -> subscores -> components -> scores."""
+    return f"""subscores{sfx} AS (
   SELECT *,
-         {_band_sql('usage_trend_pct', 'x IS NULL 50; x <= -0.50 100; x <= -0.25 75; x <= -0.10 50; x <= 0.05 25')} AS usage_trend_score,
-         {_band_sql('active_user_ratio', 'is_zero_usage_week 100; x < 0.10 90; x < 0.25 65; x < 0.50 35; x < 0.75 15')} AS active_user_score,
-         {_band_sql('distinct_features_used', 'x = 0 100; x = 1 70; x <= 3 40; x <= 6 20')} AS feature_breadth_score,
-         {_band_sql('days_since_last_event', 'x IS NULL 100; x >= 28 90; x >= 14 60; x >= 7 30')} AS recency_score,
-         {_band_sql('days_to_renewal', 'x < 0 0; x <= 14 90; x <= 30 70; x <= 60 45; x <= 90 25')} AS renewal_urgency_score,
-         {_band_sql('seat_contracted_ratio', 'x < 0.25 90; x < 0.50 60; x < 0.75 30')} AS seat_utilization_score,
+         CASE WHEN usage_trend_pct IS NULL THEN 50 WHEN usage_trend_pct <= -0.50 THEN 100 WHEN usage_trend_pct <= -0.25 THEN 75 WHEN usage_trend_pct <= -0.10 THEN 50 WHEN usage_trend_pct <= 0.05 THEN 25 ELSE 0 END AS usage_trend_score,
+         CASE WHEN is_zero_usage_week THEN 100 WHEN active_user_ratio < 0.10 THEN 90 WHEN active_user_ratio < 0.25 THEN 65 WHEN active_user_ratio < 0.50 THEN 35 WHEN active_user_ratio < 0.75 THEN 15 ELSE 0 END AS active_user_score,
+         CASE WHEN distinct_features_used = 0 THEN 100 WHEN distinct_features_used = 1 THEN 70 WHEN distinct_features_used <= 3 THEN 40 WHEN distinct_features_used <= 6 THEN 20 ELSE 0 END AS feature_breadth_score,
+         CASE WHEN days_since_last_event IS NULL THEN 100 WHEN days_since_last_event >= 28 THEN 90 WHEN days_since_last_event >= 14 THEN 60 WHEN days_since_last_event >= 7 THEN 30 ELSE 0 END AS recency_score,
+         CASE WHEN days_to_renewal < 0 THEN 0 WHEN days_to_renewal <= 14 THEN 90 WHEN days_to_renewal <= 30 THEN 70 WHEN days_to_renewal <= 60 THEN 45 WHEN days_to_renewal <= 90 THEN 25 ELSE 0 END AS renewal_urgency_score,
+         CASE WHEN seat_contracted_ratio < 0.25 THEN 90 WHEN seat_contracted_ratio < 0.50 THEN 60 WHEN seat_contracted_ratio < 0.75 THEN 30 ELSE 0 END AS seat_utilization_score,
          CASE WHEN had_payment_failure_30d THEN 80 ELSE 0 END AS payment_failure_score,
          CASE WHEN had_downgrade_90d THEN 60 ELSE 0 END AS downgrade_score,
-         {_band_sql('p1_p2_tickets_30d', 'x >= 3 90; x = 2 65; x = 1 35')} AS critical_ticket_score,
-         {_band_sql('open_tickets_count', 'x >= 5 70; x >= 3 45; x >= 1 20')} AS open_ticket_score,
-         {_band_sql('avg_ticket_resolution_days', 'x IS NULL 0; x > 14 70; x > 7 40')} AS resolution_time_score
+         CASE WHEN p1_p2_tickets_30d >= 3 THEN 90 WHEN p1_p2_tickets_30d = 2 THEN 65 WHEN p1_p2_tickets_30d = 1 THEN 35 ELSE 0 END AS critical_ticket_score,
+         CASE WHEN open_tickets_count >= 5 THEN 70 WHEN open_tickets_count >= 3 THEN 45 WHEN open_tickets_count >= 1 THEN 20 ELSE 0 END AS open_ticket_score,
+         CASE WHEN avg_ticket_resolution_days IS NULL THEN 0 WHEN avg_ticket_resolution_days > 14 THEN 70 WHEN avg_ticket_resolution_days > 7 THEN 40 ELSE 0 END AS resolution_time_score
   FROM features{sfx}
 ),
 components{sfx} AS (
@@ -590,6 +588,12 @@ def with_ml(body: str) -> str:
     return f"WITH {raw_ctes()},{model_ctes(T)},{ml_ctes()}\n{body}"
 
 
+def _cancelled(account: str, day: str) -> str:
+    """Cancellations of the account within 90 days of the day."""
+    return f"""SELECT 1 FROM stg_billing_events b WHERE b.account_id = {account} AND b.event_type = 'cancellation'
+    AND CAST(b.event_ts AS DATE) BETWEEN {day} AND {day} + 90"""
+
+
 ML = {
     "prepared_features": with_ml("SELECT * FROM prepared"),
     "propensity": with_ml(
@@ -619,9 +623,9 @@ ML = {
   FROM activity f"""
     ),
     "label_balance": with_ml(
-        """SELECT sum(weak_label) AS n_positive, count(*) FILTER (WHERE weak_label = 0) AS n_negative,
-         count(*) AS n_rows, avg(CAST(weak_label AS DOUBLE)) AS positive_rate
-  FROM propensity_all"""
+        f"""SELECT sum(label) AS n_positive, count(*) FILTER (WHERE label = 0) AS n_negative,
+         count(*) AS n_rows, avg(CAST(label AS DOUBLE)) AS positive_rate
+  FROM (SELECT CAST(EXISTS ({_cancelled('f.account_id', 'f.week_start')}) AS INTEGER) AS label FROM activity f)"""
     ),
     "tier_disagreements": with_ml(
         """SELECT account_id, tier_rule, tier_ml,
@@ -849,15 +853,14 @@ prepared_runs AS (
          {prep_cols}
   FROM snapshots
 )
-SELECT *, CAST(propensity > 0.45 AS INTEGER) AS weak_label
-FROM (SELECT *, {_propensity_expr()} AS propensity FROM prepared_runs)"""
+SELECT *, {_propensity_expr()} AS propensity FROM prepared_runs"""
     )
 
 
 def _labelled() -> str:
     """The training snapshots with the cancellation label, as the last CTE of a query."""
     sql = training_sql()
-    head, tail = sql.rsplit("SELECT *, CAST(propensity > 0.45", 1)
+    head, tail = sql.rsplit(f"SELECT *, {_propensity_expr()}", 1)
     return head.rstrip() + f""",
 trained AS (
   SELECT f.account_id, f.feature_week,
@@ -917,5 +920,81 @@ FROM trained JOIN folds USING (account_id) GROUP BY fold""",
 }
 
 
+# --- order statistics, ranking measures, runs ---------------------------------------------
+
+RULE_INPUTS = (
+    "usage_trend_pct active_user_ratio wau distinct_features_used days_since_last_event days_to_renewal "
+    "seat_contracted_ratio had_payment_failure_30d had_downgrade_90d p1_p2_tickets_30d open_tickets_count "
+    "avg_ticket_resolution_days"
+).split()
+IN_ORDER = "SELECT *, row_number() OVER (ORDER BY risk_score DESC, account_id) AS rank FROM scores"
+LABELLED_SCORES = f"SELECT risk_score AS score, EXISTS ({_cancelled('s.account_id', 's.scored_week')}) AS y FROM scores s"
+YEAR_DAYS = [T - dt.timedelta(days=7 * k) for k in range(52)]
+
+
+def _permutation_sql() -> str:
+    swapped = ", ".join(f"CASE WHEN d.perm = '{c}' THEN d.{c} ELSE b.{c} END AS {c}" for c in RULE_INPUTS)
+    names = ", ".join(f"('{c}')" for c in RULE_INPUTS)
+    inner = f"""features_p AS (
+  SELECT '' AS perm, account_id, feature_week, {", ".join(RULE_INPUTS)}, wau = 0 AS is_zero_usage_week FROM features
+  UNION ALL
+  SELECT *, wau = 0 FROM (
+    SELECT d.perm, b.account_id, b.feature_week, {swapped}
+    FROM (SELECT *, row_number() OVER (ORDER BY account_id) AS place FROM features) b
+    JOIN (SELECT f.*, perm, row_number() OVER (PARTITION BY perm ORDER BY md5(account_id || '|' || perm || '|42'), account_id) AS place
+          FROM features f, (VALUES {names}) AS c(perm)) d USING (place))
+),
+{score_ctes("_p").split("\nscores_p AS (")[0].rstrip().rstrip(",")},
+judged AS (
+  SELECT perm, round(usage_score * 0.45 + commercial_score * 0.30 + support_score * 0.25, 2) AS score,
+         EXISTS ({_cancelled('c.account_id', 'c.feature_week')}) AS y FROM components_p c
+),
+seen AS (SELECT perm, score, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg FROM judged GROUP BY 1, 2),
+below AS (
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY perm ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS under
+  FROM seen),
+aucs AS (SELECT perm, sum(pos * (2 * under + neg))::DOUBLE / (2.0 * sum(pos) * sum(neg)) AS auc FROM below GROUP BY perm),
+drops AS (SELECT perm AS feature, auc, (SELECT auc FROM aucs WHERE perm = '') - auc AS auc_drop FROM aucs WHERE perm <> '')
+SELECT feature, auc, auc_drop, row_number() OVER (ORDER BY round(auc_drop, 12) DESC, feature) AS rank FROM drops"""
+    return f"WITH {raw_ctes()},{model_ctes(T)},\n{inner}"
+
+
+def _active_users_by_run_sql() -> str:
+    runs = ", ".join(f"({_d(d)}, {str(d != T).lower()})" for d in YEAR_DAYS)
+    return with_raw(f"""SELECT run_as_of, account_id, count(DISTINCT user_id) AS active_users_30d
+  FROM (VALUES {runs}) AS r(run_as_of, bounded)
+  JOIN stg_product_events e ON e.event_ts >= CAST(run_as_of - 30 AS TIMESTAMP) AND (NOT bounded OR e.event_ts < CAST(run_as_of + 1 AS TIMESTAMP))
+  GROUP BY ALL""")
+
+
+PLACES = {
+    "scores_global_rank": with_model(f"SELECT rank, account_id, risk_tier, risk_score FROM ({IN_ORDER})"),
+    "scores_page": with_model(f"SELECT rank, account_id, risk_score FROM ({IN_ORDER}) WHERE rank BETWEEN 11 AND 20"),
+    "scores_quantiles": with_model(f"""SELECT per_mille, rank, account_id, risk_score
+  FROM ({IN_ORDER}) JOIN (SELECT unnest(range(0, 1001, 100))::INTEGER AS per_mille)
+  ON rank = greatest(1, (per_mille * (SELECT count(*) FROM scores) + 999) // 1000)"""),
+    "alerts_global_rank": with_history("""SELECT row_number() OVER (ORDER BY alert_priority, risk_score DESC, account_id) AS rank,
+  account_id, alert_priority, risk_score FROM alerts"""),
+    "ml_mart_global_rank": with_ml("""SELECT row_number() OVER (ORDER BY risk_score_ml DESC, account_id) AS rank,
+  account_id, risk_tier_ml, risk_score_ml FROM rule_ml"""),
+    "rule_auc": with_model(f"""SELECT sum(pos) AS n_positive, sum(neg) AS n_negative,
+         sum(pos * (2 * under + neg))::DOUBLE / (2.0 * sum(pos) * sum(neg)) AS auc
+  FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS under
+        FROM (SELECT score, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg
+              FROM ({LABELLED_SCORES}) GROUP BY score))"""),
+    "rule_pr_curve": with_model(f"""SELECT *, row_number() OVER (ORDER BY f1 DESC, threshold DESC) = 1 AS best FROM (
+  SELECT threshold, n_flagged, true_positives, true_positives / n_flagged AS precision, true_positives / p AS recall,
+         true_positives * 2.0 / (n_flagged + p) AS f1
+  FROM (SELECT DISTINCT score AS threshold, count(*) OVER (ORDER BY score DESC) AS n_flagged,
+               count(*) FILTER (WHERE y) OVER (ORDER BY score DESC) AS true_positives, count(*) FILTER (WHERE y) OVER () AS p
+        FROM ({LABELLED_SCORES})))"""),
+    "rule_permutation_importance": _permutation_sql(),
+    "active_users_by_run": _active_users_by_run_sql(),
+    "lr_optimality": _labelled() + f"""SELECT term, (SELECT count(*) FROM trained) AS n_rows, 0.0::DOUBLE AS gradient
+FROM (VALUES {", ".join(f"('{c}')" for c in (*PREP_FEATURES, "intercept"))}) AS t(term)""",
+    "model_round_trip": _labelled() + "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM trained",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**CORE, **HISTORY, **ML, **REPORTS, **SINKS, **DQ, **ML_PARTS, "training_snapshots": training_sql()}
+    return {**CORE, **HISTORY, **ML, **REPORTS, **SINKS, **DQ, **ML_PARTS, **PLACES, "training_snapshots": training_sql()}

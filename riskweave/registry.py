@@ -6,17 +6,18 @@ are reproducible; everything else is the library output unchanged.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskweave.config import Settings
 from riskweave.operators import activity as act
 from riskweave.operators import scoring
 from riskweave.plans.weekly import build
-from riskweave.session import scratch_path
+from riskweave.session import scratch_path, stored
 from riskweave.sources import fixtures as fx
 from riskweave.sources import seeds
 from riskweave.sources.staging import stage_all
@@ -269,19 +270,13 @@ def dq_tables(spark, sf_dir, need: set[str] | None = None) -> dict[str, DataFram
 
     def get(name: str) -> DataFrame:
         if name not in made:
-            made[name] = _stored(plans[name](), name)
+            made[name] = stored(plans[name](), name)
         return made[name]
 
     need = {*plans, *made} if need is None else need
     return {name: get(name) for name in sorted(need)}
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _dq(tests: tuple[str, ...]):
     return lambda spark, sf_dir: dq.run_suite(dq_tables(spark, sf_dir, dq.needed_tables(tests)), tests=tests)
 
@@ -308,7 +303,9 @@ HISTORY: dict[str, Query] = {
 
 from riskweave.operators import compare as cmp  # noqa: E402
 from riskweave.operators import features as feat  # noqa: E402
+from riskweave.operators import metrics as me  # noqa: E402
 from riskweave.operators import ml  # noqa: E402
+from riskweave.operators import ranking as rk  # noqa: E402
 
 
 def _preds(spark, sf_dir):
@@ -367,11 +364,11 @@ TRAINING_DAYS = [fx.AS_OF - _dt.timedelta(days=7 * k) for k in range(12)]
 def training_snapshots(spark, sf_dir) -> DataFrame:
     """Point-in-time training rows: the feature row of every account on each of twelve
     weekly runs, each run seeing only what existed on its day (one multi-run plan),
-    prepared for modelling and weakly labelled by the propensity."""
+    prepared for modelling, with the propensity."""
     sr = bf.run_settings(FIXTURE_SETTINGS, TRAINING_DAYS)
     feats = build(fx.raw_tables(spark, sf_dir), sr, stamp=False).features
     prepared = cmp.prepare_features(feats, keep=(bf.RUN, "account_id", "feature_week"))
-    return cmp.with_propensity(prepared)
+    return cmp.with_propensity(prepared).drop("weak_label")
 
 
 def q_training_snapshots(spark, sf_dir):
@@ -386,8 +383,7 @@ def training_frame(spark, sf_dir) -> DataFrame:
 
 
 def q_label_balance(spark, sf_dir):
-    p = cmp.with_propensity(cmp.prepare_features(weekly_snapshots(spark, sf_dir)))
-    return ml.label_balance(p.withColumn(ml.LABEL, F.col("weak_label")))
+    return ml.label_balance(q_cancel_label(spark, sf_dir))
 
 
 def trained(spark, sf_dir) -> "ml.TrainResult":
@@ -422,39 +418,132 @@ def q_rule_classification_report(spark, sf_dir):
     return ml.classification_report(labelled.withColumn("prediction", (F.col("risk_tier") == "HIGH").cast("double")))
 
 
+@contextmanager
+def _own_database(spark, layer: str):
+    """A database of this run alone, dropped by its own name; its tables are external, so frames
+    that were read from them stay valid."""
+    name = f"{layer}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def q_predictions_table(spark, sf_dir):
-    """Predictions written to the prediction table, counted, read back, and set beside the rules."""
+    """Predictions written to the prediction table, replaced once, counted, read back, and set
+    beside the rules."""
     b, p = _preds(spark, sf_dir)
-    name = "ml_output.ml_predictions"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    n = tb.replace_predictions(p, name, path=scratch_path(spark, "ml_predictions"))
-    stored = cmp.rule_vs_ml(b.scores, seeds.read_predictions(spark, name))
-    return stored.withColumn("n_predictions", F.lit(n).cast("long"))
+    with _own_database(spark, tb.LAYER_SCHEMAS["ml"]) as database:
+        name, path = f"{database}.ml_predictions", scratch_path(spark, "ml_predictions")
+        tb.replace_predictions(p.where("false"), name, path=path)
+        n = tb.replace_predictions(p, name, path=path)
+        both = cmp.rule_vs_ml(b.scores, seeds.read_predictions(spark, name))
+    return both.withColumn("n_predictions", F.lit(n).cast("long"))
 
 
 def q_ml_mart_ranked(spark, sf_dir):
-    return _rank(q_rule_vs_ml(spark, sf_dir), "risk_tier_ml", F.col("risk_score_ml").desc()).select(
+    return rk.ranked_within(q_rule_vs_ml(spark, sf_dir), "risk_tier_ml", F.desc("risk_score_ml"), "account_id").select(
         "risk_tier_ml", "rank", "account_id", "risk_score_ml"
     )
 
 
-def _rank(df: DataFrame, within: str, *order) -> DataFrame:
-    """The read-time order as a column, counted within a group (no window over all rows)."""
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(within).orderBy(*order, "account_id")))
-
-
 def q_risk_scores_ranked(spark, sf_dir):
-    return _rank(_built(spark, sf_dir).scores, "risk_tier", F.col("risk_score").desc()).select(
+    return rk.ranked_within(_built(spark, sf_dir).scores, "risk_tier", F.desc("risk_score"), "account_id").select(
         "risk_tier", "rank", "account_id", "risk_score"
     )
 
 
 def q_alerts_ranked(spark, sf_dir):
-    return _rank(_alerts(spark, sf_dir), "alert_priority", F.col("risk_score").desc()).select(
+    return rk.ranked_within(_alerts(spark, sf_dir), "alert_priority", F.desc("risk_score"), "account_id").select(
         "alert_priority", "rank", "account_id", "risk_score"
     )
 
 
+def _scores_in_order(spark, sf_dir):
+    return scoring.in_order(_built(spark, sf_dir).scores.select("account_id", "risk_tier", "risk_score"))
+
+
+def q_scores_global_rank(spark, sf_dir):
+    return _scores_in_order(spark, sf_dir).ranked().select("rank", "account_id", "risk_tier", "risk_score")
+
+
+def q_alerts_global_rank(spark, sf_dir):
+    alerts = _alerts(spark, sf_dir).select("account_id", "alert_priority", "risk_score")
+    return al.in_order(alerts).ranked().select("rank", "account_id", "alert_priority", "risk_score")
+
+
+def q_ml_mart_global_rank(spark, sf_dir):
+    mart = q_rule_vs_ml(spark, sf_dir).select("account_id", "risk_tier_ml", "risk_score_ml")
+    return cmp.in_order(mart).ranked().select("rank", "account_id", "risk_tier_ml", "risk_score_ml")
+
+
+def q_scores_quantiles(spark, sf_dir):
+    """The account at every tenth of the order, highest risk first."""
+    at = _scores_in_order(spark, sf_dir).quantiles([0, *range(100, 1001, 100)])
+    return at.select("per_mille", "rank", "account_id", "risk_score")
+
+
+def q_scores_page(spark, sf_dir):
+    """The second page of ten."""
+    return _scores_in_order(spark, sf_dir).page(2, 10).select("rank", "account_id", "risk_score")
+
+
+def _rule_labelled(spark, sf_dir, scores):
+    """Rows with account_id and scored_week, labelled by a cancellation in the next 90 days."""
+    rows = scores.withColumnRenamed("scored_week", "feature_week")
+    return ml.cancel_labels(rows, _staged(spark, sf_dir)["billing_events"])
+
+
+def q_rule_auc(spark, sf_dir):
+    return me.auc(_rule_labelled(spark, sf_dir, _built(spark, sf_dir).scores), "risk_score", ml.LABEL)
+
+
+def q_rule_pr_curve(spark, sf_dir):
+    return me.threshold_curve(_rule_labelled(spark, sf_dir, _built(spark, sf_dir).scores), "risk_score", ml.LABEL)
+
+
+def q_rule_permutation_importance(spark, sf_dir):
+    labelled = ml.cancel_labels(_built(spark, sf_dir).features, _staged(spark, sf_dir)["billing_events"])
+    inputs = labelled.select("account_id", *scoring.RULE_INPUTS, ml.LABEL)
+
+    def rescore(rows):
+        rows = rows.withColumn("is_zero_usage_week", F.col("wau") == 0)
+        return scoring.components(scoring.subscores(rows)).withColumn("score", scoring.risk_score_col(FIXTURE_SETTINGS))
+
+    return me.importance(inputs, "account_id", scoring.RULE_INPUTS, None, ml.LABEL, rescore=rescore)
+
+
+def q_lr_optimality(spark, sf_dir):
+    """The gradient of the logistic loss at the fitted coefficients, to four decimals."""
+    model, weighted = ml.fit_logistic(training_frame(spark, sf_dir))
+    rounded = F.round("gradient", 4)
+    return ml.lr_gradient(model, weighted).select("term", "n_rows", F.when(rounded == 0, 0.0).otherwise(rounded).alias("gradient"))
+
+
+def q_model_round_trip(spark, sf_dir):
+    """Rows whose probability changes when the fitted model is stored and loaded."""
+    model, weighted = ml.fit_logistic(training_frame(spark, sf_dir))
+    path = scratch_path(spark, "ml_model")
+    tb.save_model(model, path, {"model_name": "Logistic Regression", "n_training": 0})
+    key = ["run_as_of", "account_id"]
+    before = ml.probability(model, weighted).select(*key, F.col("__prob").alias("before"))
+    after = ml.probability(tb.load_model(spark, path)[0], weighted).select(*key, F.col("__prob").alias("after"))
+    return before.join(after, key).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") != F.col("after")).alias("n_different"))
+
+
+# FIXED fixture parameter: a year of weekly runs ending at the fixture as_of
+YEAR_DAYS = [fx.AS_OF - _dt.timedelta(days=7 * k) for k in range(52)]
+
+
+def q_active_users_by_run(spark, sf_dir):
+    """Distinct users of the trailing 30 days for 52 weekly runs."""
+    sr = bf.run_settings(FIXTURE_SETTINGS, YEAR_DAYS)
+    from riskweave.operators.signals import active_users_30d
+
+    return active_users_30d(_staged(spark, sf_dir)["product_events"], sr)
+
+
 def q_classification_report(spark, sf_dir):
     res = trained(spark, sf_dir)
     return ml.classification_report(res.model.transform(training_frame(spark, sf_dir)))
@@ -478,6 +567,17 @@ MODELS: dict[str, Query] = {
     "ml_mart_ranked": q_ml_mart_ranked,
     "risk_scores_ranked": q_risk_scores_ranked,
     "alerts_ranked": q_alerts_ranked,
+    "scores_global_rank": q_scores_global_rank,
+    "alerts_global_rank": q_alerts_global_rank,
+    "ml_mart_global_rank": q_ml_mart_global_rank,
+    "scores_quantiles": q_scores_quantiles,
+    "scores_page": q_scores_page,
+    "active_users_by_run": q_active_users_by_run,
+    "rule_auc": q_rule_auc,
+    "rule_pr_curve": q_rule_pr_curve,
+    "rule_permutation_importance": q_rule_permutation_importance,
+    "lr_optimality": q_lr_optimality,
+    "model_round_trip": q_model_round_trip,
     "ml_train_score": q_ml_train_score,
     "ml_importance": q_ml_importance,
     "classification_report": q_classification_report,
@@ -613,20 +713,23 @@ def q_seed_accounts(spark, sf_dir):
 
 def q_catalog_layers(spark, sf_dir):
     """Raw tables written to the seed layer's schema, read as named sources, the support signals
-    rebuilt as a table of their layer and the staged accounts as a view; rows of each."""
-    for name, df in fx.raw_tables(spark, sf_dir).items():
-        table = tb.qualify(name, tb.LAYER_SCHEMAS["seeds"])
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        tb.write_table(df, table, path=scratch_path(spark, name))
-    raw = seeds.RawSources(tb.LAYER_SCHEMAS["seeds"]).load(spark)
-    b = build(raw, FIXTURE_SETTINGS, stamp=False)
-    tb.as_view(b.staged["accounts"], "stg_accounts_view")
-    for name, df in (("int_account_support_signals", b.support), ("int_churn_features", b.features)):
-        table = tb.qualify(name, tb.LAYER_SCHEMAS["intermediate"])
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        tb.write_table(df, table, path=scratch_path(spark, name))
-    feats = seeds.load_current_features(spark, ["account_id", "feature_week", "open_tickets_count"])
-    return feats.join(spark.table("stg_accounts_view").select("account_id", "plan_name"), "account_id")
+    rebuilt as a table of their layer and the staged accounts as a view; rows of each. The layers
+    stand in databases of this run."""
+    with _own_database(spark, tb.LAYER_SCHEMAS["seeds"]) as raw_layer, _own_database(spark, tb.LAYER_SCHEMAS["intermediate"]) as layer:
+        for name, df in fx.raw_tables(spark, sf_dir).items():
+            tb.write_table(df, tb.qualify(name, raw_layer), path=scratch_path(spark, name))
+        raw = seeds.RawSources(raw_layer).load(spark)
+        b = build(raw, FIXTURE_SETTINGS, stamp=False)
+        view = f"stg_accounts_{uuid.uuid4().hex[:12]}"
+        tb.as_view(b.staged["accounts"], view)
+        for name, df in (("int_account_support_signals", b.support), ("int_churn_features", b.features)):
+            tb.write_table(df, tb.qualify(name, layer), path=scratch_path(spark, name))
+        feats = seeds.load_current_features(
+            spark, ["account_id", "feature_week", "open_tickets_count"], (f"{layer}_absent.int_churn_features", f"{layer}.int_churn_features")
+        )
+        out = feats.join(spark.table(view).select("account_id", "plan_name"), "account_id")
+        spark.catalog.dropTempView(view)
+    return out
 
 
 def q_json_records(spark, sf_dir):

@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,4 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-__all__ = ["local_session", "shared_dir", "scratch_path", "ensure_checkpoint_dir"]
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: cuts the lineage, fixes what a
+    plan leaves to chance (row numbers, samples), and survives lost executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+__all__ = ["local_session", "shared_dir", "scratch_path", "ensure_checkpoint_dir", "stored"]

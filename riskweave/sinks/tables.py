@@ -1,9 +1,8 @@
 """Table sinks (SNK1-8): views, full rebuilds, keyed incremental upsert with schema sync,
 namespace routing, prediction tables and model persistence.
 
-The upsert never reads and overwrites the same files in one plan: the merged
-partitions are materialised first (reliable checkpoint in the shared folder) and then
-written with dynamic partition overwrite, so only the touched week partitions change.
+Nothing reads and overwrites the same files: a rebuild writes a new location and switches the
+table to it, an upsert publishes a new version (sinks/versions.py).
 """
 
 from __future__ import annotations
@@ -14,9 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskweave.session import ensure_checkpoint_dir
+from riskweave.sinks import versions
 
 
 # --- namespaces (SNK7) -------------------------------------------------------------------
@@ -56,19 +55,37 @@ def write_table(
     partition_by: Sequence[str] = (),
     path: str | None = None,
 ) -> int | None:
-    """Full rebuild of a catalog table (CREATE SCHEMA IF NOT EXISTS + overwrite)."""
+    """Full rebuild of a catalog table (CREATE SCHEMA IF NOT EXISTS + overwrite).
+
+    With a path the rows go to a new folder under it, and a table of the same columns is switched
+    to that folder in one catalog step, so readers never find it absent or half written. The
+    folders of earlier rebuilds stay until they are removed with the table's folder."""
     spark = df.sparkSession
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
-    w = df.write.mode("overwrite").format("parquet")
+    if not path:
+        w = df.write.mode("overwrite").format("parquet")
+        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
+        return None
+    folder = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    w = df.write.format("parquet")
+    (w.partitionBy(*partition_by) if partition_by else w).save(folder)
+    if spark.catalog.tableExists(name) and not partition_by and _columns(spark.table(name)) == _columns(df):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+        return None
+    # a new table, other columns or partitions: the definition itself changes
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=folder, source="parquet")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
+        spark.catalog.recoverPartitions(name)
     return None
 
 
+def _columns(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema]
+
+
 def replace_predictions(df: DataFrame, name: str = "ml_output.ml_predictions", path: str | None = None) -> int:
     """SNK6: replace the prediction table and report its row count (read back)."""
     write_table(df, name, path=path)
@@ -85,12 +102,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def read_synced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a partitioned table in its current schema: columns added since older files
-    were written come back NULL, columns dropped since are not read (schema sync)."""
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-
-
 def upsert(
     batch: DataFrame,
     path: str,
@@ -98,35 +109,16 @@ def upsert(
     partition_col: str,
     touched: Sequence | None = None,
 ) -> DataFrame:
-    """Merge `batch` into the table at `path` on `keys` (dbt-style incremental).
+    """Merge `batch` into the versioned table at `path` on `keys` (dbt-style incremental).
 
     Rows of the batch replace target rows with the same key; target rows of the batch's
-    partitions without a match stay (stale rows are never deleted); other partitions
-    are not rewritten. The batch's schema becomes the table's schema.
+    partitions without a match stay (stale rows are never deleted); other partitions are neither
+    read nor written. The batch's columns become the table's; a shared column's type may widen.
     touched: the partition values the batch may hold; any other is an error.
-    The batch is stored once; its partition values (a few: the weeks of a run) then
-    select the target's partitions by a literal filter, so nothing is joined on them.
-    Returns the table read back in its synced schema.
+    Returns the table at the new version.
     """
-    spark = batch.sparkSession
-    ensure_checkpoint_dir(spark)
-    batch = batch.checkpoint(eager=True)
-    parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
-    if touched is not None and (outside := set(parts) - set(touched)):
-        raise ValueError(f"{partition_col} outside the touched partitions: {sorted(map(str, outside))}")
-    if not path_exists(spark, path):
-        batch.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return read_synced(spark, path, batch.schema)
-    old = read_synced(spark, path, batch.schema).where(F.col(partition_col).isin(parts))
-    keep = old.join(batch.select(*keys), list(keys), "left_anti")
-    merged = keep.unionByName(batch).checkpoint(eager=True)
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
-    return read_synced(spark, path, batch.schema)
+    made = versions.upsert(batch, path, keys, partition_col, touched)
+    return versions.read(batch.sparkSession, path, made.number)
 
 
 # --- model persistence (SNK8) ----------------------------------------------------------------
@@ -135,7 +127,7 @@ def upsert(
 def save_model(model, path: str, meta: dict) -> None:
     """PipelineModel plus a one-row metadata table next to it."""
     model.write().overwrite().save(f"{path}/model")
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.builder.getOrCreate()
     row = {k: (v if not isinstance(v, (list, tuple)) else list(v)) for k, v in meta.items()}
     spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from riskweave.functions.exprs import week_start
 from riskweave.operators.activity import weekly_usage
+from riskweave.sinks import versions
 from riskweave.sinks.tables import upsert
 from riskweave.sources import schemas
 
@@ -70,7 +71,7 @@ def run_available(
 ) -> DataFrame:
     q = start(spark, events_dir, store, target, checkpoint, max_files_per_trigger)
     q.awaitTermination()
-    return spark.read.parquet(target).select(
+    return versions.read(spark, target).select(
         "account_id", "week_start", "wau", "session_count", "event_count",
         "distinct_features_used", "last_event_ts",
     )

@@ -44,11 +44,12 @@ def test_run_weekly_job_two_weeks(spark):
     prev = fx.AS_OF - dt.timedelta(days=7)
     bf_settings = Settings(as_of=prev, bound_future=True)
     from riskweave.plans.weekly import run_weekly
+    from riskweave.sinks import versions
     from riskweave.sinks.tables import read_snapshot
 
     run_weekly(raw, bf_settings, root)
     paths = run_weekly(raw, Settings(as_of=fx.AS_OF), root)
-    act = spark.read.parquet(paths["int_account_activity_weekly"])
+    act = versions.read(spark, paths["int_account_activity_weekly"])
     assert act.select("week_start").distinct().count() == 13  # 12 spine weeks + the oldest kept
     assert act.groupBy("account_id", "week_start").count().where("count > 1").count() == 0
     snp = read_snapshot(spark, paths["snp_churn_risk_scores"])
