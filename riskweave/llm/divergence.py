@@ -48,12 +48,12 @@ SCALE = 1_000_000_000
 TOP = 200
 STEP_BYTES = 4_000_000
 # distinct terms that a task holds before it writes them
-HELD_TERMS = 500_000
+HELD_TERMS = 1_000_000
 BLOCK_ROWS = 200_000
 PAIR_ROWS = 64
 
 _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
-COUNTS = "lang string, source string, digest long, n long, docs long, term string"
+COUNTS = "lang string, source string, digest long, n long, docs long, term string, new boolean"
 KEY = ["digest", "tag"]
 
 
@@ -73,7 +73,7 @@ def term_steps(raw: bytes, step: int = STEP_BYTES) -> Iterator[list[bytes]]:
 
 def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """Occurrences n and documents docs of each term, as the tasks counted them (a term may have
-    several rows), stored."""
+    several rows; `new` marks each term once per task or more), stored."""
     bounded_batches(docs.sparkSession)
     digest = digest_of
 
@@ -81,13 +81,17 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
         def rows() -> Iterator[pa.RecordBatch]:
+            told: set[bytes] = set()
             for (own_lang, own_source), (n, docs_) in held.items():
+                every = list(n)
                 for at in range(0, len(n), 50_000):
-                    terms = list(n)[at : at + 50_000]
+                    terms = every[at : at + 50_000]
+                    new = [t not in told for t in terms]
+                    told.update(terms)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([own_lang] * len(terms)), pa.array([own_source] * len(terms)), pa.array(map(digest, terms), pa.int64()),
-                         pa.array(map(n.__getitem__, terms), pa.int64()), pa.array(map(docs_.__getitem__, terms), pa.int64()), pa.array(terms, pa.binary()).cast(pa.string())],
-                        ["lang", "source", "digest", "n", "docs", "term"],
+                         pa.array(map(n.__getitem__, terms), pa.int64()), pa.array(map(docs_.__getitem__, terms), pa.int64()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(new, pa.bool_())],
+                        ["lang", "source", "digest", "n", "docs", "term", "new"],
                     )
             held.clear()
 
@@ -112,7 +116,7 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 def keyed(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The counts by (digest, tag), one key per term, and the terms: digest, tag, term. tag is the
     term where its digest has several, else empty."""
-    ends = stored(counted.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most")), "terms")
+    ends = stored(counted.where("new").groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most")), "terms")
     several = F.col("least") != F.col("most")
     shared = stored(ends.where(several).select("digest", F.lit(True).alias("several")), "shared-digests")
     rows = counted.join(shared, "digest", "left").withColumn("tag", F.when(F.col("several"), F.col("term")).otherwise(""))
