@@ -768,8 +768,19 @@ WHERE NOT EXISTS (SELECT 1 FROM activity_r2 b WHERE b.account_id = a.account_id
     + f"""SELECT {ACTIVITY_COLS} FROM activity_r2
 UNION ALL
 SELECT {ACTIVITY_COLS.replace("usage_trend_pct", "CAST(NULL AS DOUBLE) AS usage_trend_pct")} FROM activity_r1 a
+WHERE NOT EXISTS (SELECT 1 FROM activity_r2 b WHERE b.account_id = a.account_id AND b.week_start = a.week_start)""",
+    "schema_widening": _two_runs("stg_accounts")
+    + f"""SELECT {ACTIVITY_COLS} FROM activity_r2
+UNION ALL
+SELECT {ACTIVITY_COLS} FROM activity_r1 a
 WHERE NOT EXISTS (SELECT 1 FROM activity_r2 b WHERE b.account_id = a.account_id AND b.week_start = a.week_start)""",
     "activity_stream": CORE["weekly_usage"],
+    "activity_stream_windowed": with_raw("""SELECT account_id, CAST(date_trunc('week', event_ts) AS DATE) AS week_start,
+         count(*) AS event_count, max(event_ts) AS last_event_ts FROM stg_product_events GROUP BY ALL"""),
+    "weekly_usage_sketch": with_raw("""SELECT plan_name, CAST(date_trunc('month', week_start) AS DATE) AS month, count(*) AS n_account_weeks,
+         sum(n)::BIGINT AS event_count, max(last) AS last_event_ts, true AS users_near, true AS sessions_near
+  FROM (SELECT account_id, CAST(date_trunc('week', event_ts) AS DATE) AS week_start, count(*) AS n, max(event_ts) AS last
+        FROM stg_product_events GROUP BY ALL) JOIN stg_accounts USING (account_id) GROUP BY ALL"""),
 }
 
 

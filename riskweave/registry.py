@@ -645,6 +645,8 @@ REPORTS: dict[str, Query] = {
 from dataclasses import replace as _replace  # noqa: E402
 
 from riskweave.sinks import tables as tb  # noqa: E402
+from riskweave.functions.exprs import week_start  # noqa: E402
+from riskweave.operators import sketches as sk  # noqa: E402
 from riskweave.streaming import activity_stream as stream  # noqa: E402
 
 ACTIVITY_KEYS = ["account_id", "week_start"]
@@ -685,6 +687,15 @@ def q_schema_sync(spark, sf_dir):
     return tb.upsert(new, path, ACTIVITY_KEYS, "week_start")
 
 
+def q_schema_widening(spark, sf_dir):
+    """The earlier run's counts are int, the later run's long: the table widens, its rows stay."""
+    path = scratch_path(spark, "int_account_activity_weekly")
+    counts = ["wau", "session_count", "event_count", "distinct_features_used", "days_to_renewal"]
+    old = _previous_activity(spark, sf_dir)
+    tb.upsert(old.withColumns({c: F.col(c).cast("int") for c in counts}), path, ACTIVITY_KEYS, "week_start")
+    return tb.upsert(_built(spark, sf_dir).activity, path, ACTIVITY_KEYS, "week_start")
+
+
 def _snapshots(spark, sf_dir, days, path):
     scores = _runs(spark, sf_dir)
     for day in days:
@@ -748,15 +759,56 @@ def q_activity_stream(spark, sf_dir):
     )
 
 
+# FIXED fixture parameter: the days at which the next quarter of the events arrives
+ARRIVALS = [fx.AS_OF - _dt.timedelta(days=d) for d in (270, 180, 90)]
+
+
+def q_activity_stream_windowed(spark, sf_dir):
+    """Weekly event counts from event-time windows with a watermark, the events arriving in four
+    parts in the order of time."""
+    events = _staged(spark, sf_dir)["product_events"]
+    src, target, checkpoint = (scratch_path(spark, n) for n in ("events_in", "weekly_usage", "stream_ckpt"))
+    bounds = [None, *(F.lit(d).cast("timestamp_ntz") for d in ARRIVALS), None]
+    for lo, hi in zip(bounds, bounds[1:], strict=False):
+        part = events if lo is None else events.where(F.col("event_ts") >= lo)
+        (part if hi is None else part.where(F.col("event_ts") < hi)).write.mode("append").parquet(src)
+        out = stream.run_windowed(spark, src, target, checkpoint)
+    return out.usage.select("account_id", "week_start", "event_count", "last_event_ts")
+
+
+def q_weekly_usage_sketch(spark, sf_dir):
+    """Months of plans from stored weekly sketches: exact event counts, and whether the estimated
+    users and sessions are within the sketches' error of the exact numbers."""
+    st = _staged(spark, sf_dir)
+    weekly = stored(sk.weekly_sketches(st["product_events"]), "weekly-sketches")
+    plans = st["accounts"].select("account_id", "plan_name")
+    month = F.trunc("week_start", "month").alias("month")
+    found = sk.estimated(sk.merged(weekly.join(plans, "account_id"), "plan_name", month))
+    weeks = act.weekly_usage(st["product_events"]).select("account_id", "week_start").join(plans, "account_id")
+    distinct = st["product_events"].select("account_id", "user_id", "session_id", week_start("event_ts").alias("week_start")).join(plans, "account_id")
+    exact = distinct.groupBy("plan_name", month).agg(
+        F.count_distinct("account_id", "user_id").alias("exact_users"), F.count_distinct("account_id", "session_id").alias("exact_sessions")
+    )
+    near = lambda c: F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.col(f"exact_{c}") * sk.relative_error() + 1
+    n_weeks = weeks.groupBy("plan_name", month).agg(F.count(F.lit(1)).alias("n_account_weeks"))
+    return (
+        found.join(exact, ["plan_name", "month"]).join(n_weeks, ["plan_name", "month"])
+        .select("plan_name", "month", "n_account_weeks", "event_count", "last_event_ts", near("users").alias("users_near"), near("sessions").alias("sessions_near"))
+    )
+
+
 SINKS: dict[str, Query] = {
     "upsert_activity": q_upsert_activity,
     "schema_sync": q_schema_sync,
+    "schema_widening": q_schema_widening,
     "snapshot_table": q_snapshot_table,
     "snapshot_rerun": q_snapshot_rerun,
     "seed_accounts": q_seed_accounts,
     "catalog_layers": q_catalog_layers,
     "json_records": q_json_records,
     "activity_stream": q_activity_stream,
+    "activity_stream_windowed": q_activity_stream_windowed,
+    "weekly_usage_sketch": q_weekly_usage_sketch,
 }
 
 

@@ -162,10 +162,11 @@ def read(spark: SparkSession, path: str, number: int | None = None, parts: Seque
     v = version(spark, path, number)
     if v is None:
         raise FileNotFoundError(f"no version at {path}")
-    return _read(spark, path, v, parts)
+    return read_version(spark, path, v, parts)
 
 
-def _read(spark: SparkSession, path: str, v: Version, parts: Sequence[str] | None = None) -> DataFrame:
+def read_version(spark: SparkSession, path: str, v: Version, parts: Sequence[str] | None = None) -> DataFrame:
+    """The rows that a manifest names, in its schema."""
     schema = _struct(v.schema)
     folders: dict[str, list[str]] = {}
     for part in v.parts if parts is None else parts:
@@ -240,7 +241,7 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], partition_col: str,
             schema_now = reconcile(_struct(base.schema), schema)
             old = [p for p in parts if p in base.parts]
             if old:
-                before = _as(_read(spark, path, replace(base, schema=schema_now.json()), old), schema_now)
+                before = _as(read_version(spark, path, replace(base, schema=schema_now.json()), old), schema_now)
                 kept, kept_parts = write_run(before.join(new.select(*keys), list(keys), "left_anti"), path, partition_col)
                 made = replace(made, parts={p: [run, kept] if p in kept_parts else [run] for p in parts}, runs={run: schema.json(), kept: schema.json()})
         try:
@@ -280,4 +281,4 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2, min_age_hours: float =
     return gone
 
 
-__all__ = ["Conflict", "SchemaError", "Version", "version", "read", "write_run", "commit", "upsert", "replace_all", "vacuum", "reconcile", "widens"]
+__all__ = ["Conflict", "SchemaError", "Version", "version", "read", "read_version", "write_run", "commit", "upsert", "replace_all", "vacuum", "reconcile", "widens"]
