@@ -6,8 +6,9 @@ blocks of rows. Every block meets every shard once: for each term of a query, we
 postings is scattered into a dense score array over the shard, the k best of the array are taken
 by partition selection, and the shards' selections of a query are merged to its k best.
 
-Scores are exact int64 (components up to about 2**25 in size). Vectors that are null or hold null
-or non-finite components, and rows without an id, take no part; an empty vector scores 0 with
+Scores are exact int64: a shard and a block whose largest possible sum of products could leave int64
+are an error (ScoreRange), never a wrapped score, and so is a component whose integer weight leaves
+it. Vectors that are null or hold null or non-finite components, and rows without an id, take no part; an empty vector scores 0 with
 all; vectors of different lengths meet in their common dimensions. Repeated rows are rows of
 their own: each is a query if its id is chosen, and a candidate of the others. Ties go to the
 smaller id. A query with fewer than k candidates has as many rows; an empty table gives none.
@@ -30,6 +31,10 @@ from pyspark.sql.window import Window
 
 from riskweave.llm.common import bounded_batches, stored
 
+class ScoreRange(ArithmeticError):
+    """A score that int64 cannot hold."""
+
+
 SHARD_ROWS = 1024
 BLOCK_ROWS = 128
 
@@ -41,7 +46,9 @@ def clean(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame
     return vectors.where(F.col(vec_id).isNotNull() & v.isNotNull() & usable).select(
         F.monotonically_increasing_id().alias("row"),
         F.col(vec_id).cast("long").alias("id"),
-        F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("weights"),
+        # an integer beyond 2**62 would saturate in the cast
+        F.transform(v, lambda x: F.when(F.abs(x.cast("double") * scale) < float(1 << 62), F.floor(x.cast("double") * scale).cast("long")).otherwise(
+            F.raise_error(F.lit("a component's integer weight leaves int64")).cast("long"))).alias("weights"),
     )
 
 
@@ -108,17 +115,34 @@ def accumulate(ptr: np.ndarray, at: np.ndarray, weight: np.ndarray, queries: tup
     return scores
 
 
+def check_range(weight: np.ndarray, queries: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+    """Refuse weights whose sums of products may leave int64: the largest weights of both sides,
+    times the most terms of a query."""
+    q_ptr, _, q_weight = queries
+    if len(weight) and len(q_weight):
+        largest = lambda x: max(abs(int(x.min())), abs(int(x.max())))
+        if largest(weight) * largest(q_weight) * int(np.diff(q_ptr).max()) >= 1 << 62:
+            # the bound is loose: sum the sizes of the products exactly before giving up
+            by_query = np.add.reduceat(np.abs(q_weight.astype(object)), q_ptr[:-1][np.diff(q_ptr) > 0])
+            if int(by_query.max()) * largest(weight) >= 1 << 63:
+                raise ScoreRange("inner products of these vectors may leave int64")
+
+
 def select_best(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, candidate) numbers of the k best of each row, ties to the smaller number; `own`
-    marks the pairs that do not count."""
+    marks the pairs that do not count. The k-th best score of a row is found by partition; all
+    above it are taken, and of its equals the smallest numbers."""
+    least = np.iinfo(np.int64).min
+    scores = np.where(own, least, scores)
     n = scores.shape[1]
-    rank = scores * n + np.arange(n - 1, -1, -1)
-    rank[own] = np.iinfo(np.int64).min
-    best = np.argpartition(rank, n - k, axis=1)[:, n - k :] if k < n else np.broadcast_to(np.arange(n), scores.shape)
-    q = np.repeat(np.arange(len(scores)), best.shape[1])
-    c = best.ravel()
-    keep = ~own[q, c]
-    return q[keep], c[keep]
+    if k >= n:
+        q, c = np.nonzero(~own)
+        return q, c
+    bound = np.partition(scores, n - k, axis=1)[:, n - k]
+    above, equal = scores > bound[:, None], (scores == bound[:, None]) & ~own
+    room = k - above.sum(axis=1)
+    q, c = np.nonzero(above | (equal & (np.cumsum(equal, axis=1) <= room[:, None])))
+    return q, c
 
 
 def top_k(
@@ -141,7 +165,9 @@ def top_k(
                 get = lambda c, t=np.int64: np.frombuffer(batch.column(c)[i].as_py(), t)  # noqa: B023, E731
                 number, ids = get("rows"), get("ids")
                 q_number, q_ids = get("q_rows"), get("q_ids")
-                scores = accumulate(get("ptr"), get("at", np.int32), get("weight"), (get("q_ptr"), get("q_at", np.int32), get("q_weight")), len(ids))
+                queries = (get("q_ptr"), get("q_at", np.int32), get("q_weight"))
+                check_range(get("weight"), queries)
+                scores = accumulate(get("ptr"), get("at", np.int32), get("weight"), queries, len(ids))
                 q, c = select_best(scores, q_number[:, None] == number[None, :], k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q_number[q]), pa.array(q_ids[q]), pa.array(ids[c]), pa.array(scores[q, c])], ["row", "query_id", "vec_id", "score"]
@@ -152,4 +178,4 @@ def top_k(
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-__all__ = ["SHARD_ROWS", "BLOCK_ROWS", "accumulate", "select_best", "top_k"]
+__all__ = ["SHARD_ROWS", "BLOCK_ROWS", "accumulate", "ScoreRange", "check_range", "select_best", "top_k"]

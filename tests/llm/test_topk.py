@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.llm import topk
@@ -54,3 +55,28 @@ def test_selection_breaks_ties_by_number():
     scores = np.array([[3, 5, 5, 5, 1], [0, 0, 0, 0, 0]])
     q, c = topk.select_best(scores, np.eye(2, 5, dtype=bool), 2)
     assert sorted(zip(q.tolist(), c.tolist(), strict=True)) == [(0, 1), (0, 2), (1, 0), (1, 2)]
+
+
+def test_large_scores_keep_their_order(spark):
+    """Scores near 2**54: more than a double or a packed rank can tell apart."""
+    r = np.random.default_rng(3)
+    rows = [(0, [65536.0] * 64), (1000, [65536.0] * 64), (1001, [65536.0] * 63 + [65535.0])]
+    rows += [(k, f32(r.normal(size=64))) for k in range(1, 900)]
+    assert run(spark, rows) == brute(rows)
+    assert (0, 1, 1000, 64 * (65536 * 256) ** 2) in run(spark, rows)
+
+
+def test_scores_beyond_int64_are_an_error(spark):
+    for big in (1e30, 2.0**26):
+        with pytest.raises(Exception, match="leave"):
+            run(spark, [(0, [big] * 64), (1, [big] * 64)])
+
+
+def test_selection_at_the_edge_of_ties():
+    r = np.random.default_rng(5)
+    for k in (1, 3, 5, 40):
+        scores, own = r.integers(-2, 3, (30, 40)) * (1 << 60), r.random((30, 40)) < 0.2
+        q, c = topk.select_best(scores, own, k)
+        for row in range(30):
+            want = sorted((-int(scores[row, x]), x) for x in range(40) if not own[row, x])[:k]
+            assert sorted(c[q == row].tolist()) == sorted(x for _, x in want)
