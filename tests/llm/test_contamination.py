@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from riskweave.llm import contamination as C
 from riskweave.llm.common import as_bytes
-from tests.llm.data import awkward_docs, empty_docs, prose
+from riskweave.llm.queries import op1_decontamination
+from tests.llm.data import awkward_docs, empty_docs, on_disk, prose
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -70,10 +71,9 @@ def test_matches_brute_force(planted):
     assert got(docs, items) == want
 
 
-def test_in_rounds_and_without_vocabulary(planted, monkeypatch):
+def test_in_rounds(planted, monkeypatch):
     docs, items = planted
     monkeypatch.setattr(C, "MAX_WINDOWS", 60)
-    monkeypatch.setattr(C, "MAX_VOCABULARY", 5)
     assert got(docs, items) == brute(docs.collect(), items.collect())
 
 
@@ -143,3 +143,36 @@ def test_proximity_in_adjacent_copies(spark):
         want = [int(any(set(item.split(" ")) <= set(d.split(" ")[i : i + 4 + slop]) for i in range(len(d.split(" "))))) for d in docs]
         assert 10 < sum(want) < len(want)
         assert [r.n_near_items for r in sorted(out, key=lambda r: r.doc_id)] == want
+
+
+def complements(n):
+    """Two complementary Thue-Morse words: equal under every polynomial hash modulo a power of two."""
+    a = "a"
+    while len(a) < n:
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_of_one_pattern_are_parted(spark):
+    a, b = complements(1024)
+    frame = spark.createDataFrame([(1, a), (2, b), (3, a.upper())], "doc_id long, text string")
+    out = C.report(frame, spark.createDataFrame([(1, b)], "item_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.n_hit, r.contaminated) for r in out] == [(0, False), (1, True), (0, False)]
+
+
+def test_words_of_one_hash_are_compared(planted, monkeypatch):
+    """With hashes of three bits everything collides and nothing changes."""
+    monkeypatch.setattr(C, "hashes", lambda raw, starts, ends: ((ends - starts) % 8).astype(np.uint64))
+    vocabulary = C.Vocabulary([b"one", b"two", b"three", b"x" * 11])
+    raw, at = as_bytes(pa.array(["One two x three six " + "x" * 11 + " TWO"]))
+    starts, ends, _ = C.word_bounds(raw, at)
+    names = {n: w for w, n in vocabulary.number.items()} | {-1: b""}
+    assert [names[n] for n in vocabulary.lookup(raw, starts, ends).tolist()] == [b"one", b"two", b"", b"three", b"", b"x" * 11, b"two"]
+
+
+def test_query_on_disk(spark, planted, tmp_path):
+    docs, items = planted
+    on_disk(docs, tmp_path)
+    on_disk(items, tmp_path, "benchmark")
+    out = sorted((tuple(r)[:6] for r in op1_decontamination(spark, str(tmp_path)).collect()), key=str)
+    assert out == brute(docs.collect(), items.collect())
