@@ -5,6 +5,7 @@ import zipfile
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from riskweave.llm import warc
 from riskweave.llm.queries import op2_warc
@@ -109,3 +110,14 @@ def test_broken_files():
     for raw, what in ((b"", "end record"), (b"no zip" * 50, "end record")):
         with pytest.raises(ValueError, match=what):
             warc.directory(pa.PythonFile(io.BytesIO(raw), mode="r"))
+
+
+def test_ranges_are_read_by_several_tasks(spark):
+    """Adaptive execution must not join partitions by the size of the range rows."""
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    folder = scratch_path(spark, "warc-test")
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(64)], PAGES)
+    manifest = warc.write_archives(warc.record_roles(pages), folder, archive_bytes=1)
+    out = warc.read_records(spark, manifest, folder, payload=False).withColumn("task", F.spark_partition_id())
+    counts = [r["count"] for r in out.groupBy("task").count().collect()]
+    assert len(counts) > 4 and sum(counts) == 64
