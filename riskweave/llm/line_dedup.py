@@ -1,15 +1,18 @@
 """Line dedup by site-relative frequency (native).
 
 A line is boilerplate on a host when the pages that hold it, divided by the pages of the host,
-exceed `ratio`, and at least `min_pages` pages hold it. Pages are counted by content: copies of
-one text on a host are one page, so a group of copies never makes its own lines boilerplate.
+exceed `ratio`, and at least `min_pages` pages hold it. Every row with a text is a page, copies
+too. RATIO: lines of prose are all but unique to their page, so a line that one page in twenty of
+a host shares is a template, whatever the size of the host; min_pages keeps small hosts whole,
+where one page is more than that share.
 
 Lines are split at line feeds and compared without leading and trailing spaces; blank lines
 always stay. Kept lines are joined in order, so a text without boilerplate is returned as it was.
 
-Defined cases: null text stays null (0 lines, no page content of its own); a null host is a host
-of its own; a host below `min_pages` pages loses nothing; repeated rows are treated alike; extra
-columns pass through; an empty table gives an empty table.
+Defined cases: null text stays null (0 lines, no page); a null host is a host of its own; a host
+below `min_pages` pages loses nothing; a line twice on a page is on one page; a share of exactly
+`ratio` stays; repeated rows are pages of their own and treated alike; extra columns pass through;
+an empty table gives an empty table; a very long text is one row's array of lines.
 
 Scale: (host, line) counts are aggregates with map-side combine, so a hot host or line is summed
 before the shuffle; texts are never shuffled unless the table of dropped lines outgrows the
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.common import fresh_name, stored
 
-RATIO = 0.1
+RATIO = 0.05
 MIN_PAGES = 5
 
 
@@ -40,14 +43,13 @@ def boilerplate(
     docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """Dropped lines: host, line key, pages that hold it, pages of the host."""
-    page = F.xxhash64(F.col(text))
-    base = docs.where(F.col(text).isNotNull()).select(F.col(host).alias("host"), page.alias("page"), F.col(text).alias("text"))
-    total = base.groupBy("host").agg(F.count_distinct("page").alias("host_pages"))
+    base = docs.where(F.col(text).isNotNull()).select(F.col(host).alias("host"), F.col(text).alias("text"))
+    total = base.groupBy("host").agg(F.count("*").alias("host_pages"))
     filled = F.filter(_lines(F.col("text")), lambda x: F.trim(x) != "")
     held = (
-        base.select("host", "page", F.explode(F.array_distinct(F.transform(filled, _key))).alias("line"))
+        base.select("host", F.explode(F.array_distinct(F.transform(filled, _key))).alias("line"))
         .groupBy("host", "line")
-        .agg(F.count_distinct("page").alias("pages"))
+        .agg(F.count("*").alias("pages"))
         .where(F.col("pages") >= min_pages)
     )
     t = total.withColumnRenamed("host", "total_host")

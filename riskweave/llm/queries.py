@@ -148,14 +148,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": """
         WITH lines AS (
-          SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM documents),
+          SELECT source, page, unnest(string_split(text, chr(10))) AS line
+          FROM (SELECT source, text, row_number() OVER () AS page FROM documents)),
         held AS (
-          SELECT source, trim(line) AS line, count(DISTINCT text) AS pages FROM lines
+          SELECT source, trim(line) AS line, count(DISTINCT page) AS pages FROM lines
           WHERE trim(line) <> '' GROUP BY 1, 2),
-        total AS (SELECT source, count(DISTINCT text) AS host_pages FROM documents GROUP BY 1),
+        total AS (SELECT source, count(text) AS host_pages FROM documents GROUP BY 1),
         dropped AS (
           SELECT h.source, list(line) AS dropped FROM held h JOIN total t ON h.source IS NOT DISTINCT FROM t.source
-          WHERE pages >= 5 AND pages > 0.1::DOUBLE * host_pages GROUP BY 1),
+          WHERE pages >= 5 AND pages > 0.05::DOUBLE * host_pages GROUP BY 1),
         joined AS (
           SELECT d.doc_id, d.text, string_split(d.text, chr(10)) AS all_lines, coalesce(x.dropped, []) AS dropped
           FROM documents d LEFT JOIN dropped x ON d.source IS NOT DISTINCT FROM x.source),
