@@ -97,3 +97,22 @@ def unpacked(column: pa.Array) -> Iterator[bytes]:
     """The texts of a packed() column, one at a time."""
     press = zstandard.ZstdDecompressor()
     return (press.decompress(x.as_py()) for x in column)
+
+
+def unpacked_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """blocks() of a packed() column; only the texts of one step are unpacked at a time."""
+    held: list[bytes] = []
+    size = first = 0
+
+    def step() -> tuple[int, int, np.ndarray, np.ndarray]:
+        return first, first + len(held), np.frombuffer(b"".join(held), np.uint8), np.cumsum([0, *map(len, held)])
+
+    for text in unpacked(column):
+        if held and size + len(text) > limit:
+            yield step()
+            first, size = first + len(held), 0
+            held.clear()
+        held.append(text)
+        size += len(text)
+    if held:
+        yield step()

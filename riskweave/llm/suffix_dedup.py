@@ -34,8 +34,8 @@ Byte positions are those of the UTF-8 text; kept bytes need not be valid UTF-8.
 Scale: blocks (about one for 85 bytes of text) are counted by aggregates with map-side combine;
 a group that meets in a task has at most GROUP_LIMIT blocks of under 2 * length bytes. Grams and
 blocks travel as 64-bit hashes (a block as gram and block hash, 128 bits together); bytes of a
-block travel only if its gram occurs with different surroundings. Texts are stored once with their row
-numbers and shuffled twice, compressed, to fetch these bytes and to cut the documents.
+block travel only if its gram occurs with different surroundings. Texts are compressed once, stored with
+their row numbers, and shuffled twice as they are, to fetch these bytes and to cut the documents.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import as_bytes, blocks, bounded_batches, numbered, packed, stored, unpacked
+from riskweave.llm.common import as_bytes, bounded_batches, numbered, packed, stored, unpacked, unpacked_blocks
 from riskweave.llm.hashing import mixed, prefix_hashes, substring_hashes
 
 LENGTH = 200
@@ -56,7 +56,10 @@ GRAM = 32
 GROUP_LIMIT = 1000
 # how many values of x a part of a hot block spans, level by level
 RANGES = (48, 12, 3, 1)
-CHUNK = 4_000_000
+# text bytes whose grams are held at once: about fifteen arrays of eight bytes a position
+CHUNK = 1_000_000
+STEP_BYTES = 500_000
+BATCH_BYTES = 8 << 20
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -190,12 +193,12 @@ _STARTS = pa.list_(pa.struct([("a", pa.int16()), ("b", pa.int16())]))
 
 
 def occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """(doc, text) -> the blocks of all documents."""
+    """(doc, packed text) -> the blocks of all documents."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number = batch.column(0).to_numpy()
-            for lo, _, raw, offsets in blocks(batch.column(1)):
+            for lo, _, raw, offsets in unpacked_blocks(batch.column(1), STEP_BYTES):
                 gram, block, first, left, span = anchored_blocks(raw, offsets, length)
                 doc = np.searchsorted(offsets, first, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
@@ -218,8 +221,7 @@ def block_bytes(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 cuts = [text[f : f + s + length] for f, s in zip(first.tolist(), span.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([a.field(c) for c in ("gram", "block", "n", "left_", "span")] + [pa.array(cuts, pa.binary())], ["gram", "block", "n", "left_", "span", "bytes"])
 
-    texts = docs.select("doc", packed(F.col("text")).alias("text"))
-    return texts.join(asked, "doc").select("text", "asked").mapInArrow(cut, BLOCK)
+    return docs.select("doc", "text").join(asked, "doc").select("text", "asked").mapInArrow(cut, BLOCK)
 
 
 def _runs(marks: np.ndarray, left: np.ndarray, span: np.ndarray) -> pa.Array:
@@ -346,7 +348,7 @@ def resolved(groups: DataFrame, length: int, limit: int, level: int = 0) -> Data
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = GROUP_LIMIT) -> DataFrame:
-    """(doc, text) -> doc, starts: runs of start positions (a, b) of repeated strings."""
+    """(doc, packed text) -> doc, starts: runs of start positions (a, b) of repeated strings."""
     found = stored(occurrences(docs, length), "blocks")
     grams = (
         found.groupBy("gram").agg(F.count("*").alias("n"), F.min("block").alias("least"), F.max("block").alias("most"))
@@ -382,9 +384,9 @@ CUT = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string,
 
 def cut_documents(docs: DataFrame, length: int = LENGTH, limit: int = GROUP_LIMIT, kept: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with `kept` the kept bytes.
-    The texts are stored once with the numbers that all joins use."""
-    bounded_batches(docs.sparkSession)
-    docs = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), "doc", "numbered-texts")
+    The texts are stored once, compressed, with the numbers that all joins use."""
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
+    docs = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), packed(F.col(text)).alias("text")), "doc", "numbered-texts")
     spans = stored(repeated_spans(docs.select("doc", "text"), length, limit), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,8 +402,7 @@ def cut_documents(docs: DataFrame, length: int = LENGTH, limit: int = GROUP_LIMI
             c = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in c[:3]), pa.array(c[3], pa.string()), pa.array(c[4], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    texts = docs.select("doc", "doc_id", packed(F.col("text")).alias("text"))
-    out = texts.join(spans, "doc", "left").select("doc_id", "text", "starts").mapInArrow(cut, CUT.replace("doc long", "doc_id long", 1))
+    out = docs.join(spans, "doc", "left").select("doc_id", "text", "starts").mapInArrow(cut, CUT.replace("doc long", "doc_id long", 1))
     return out if kept else out.drop("kept")
 
 
