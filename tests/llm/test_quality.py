@@ -73,3 +73,63 @@ def test_training_sample_is_bounded(spark):
     finally:
         Q.fit = fit
     assert seen == [20]
+
+
+def plain_fit(x, y, trees, depth, bins, rate):
+    """Boosting by trying every bin edge of every feature in every node, row by row."""
+    n, m = x.shape
+    edges = [sorted({float(np.quantile(x[:, j], q)) for q in np.linspace(0, 1, bins + 1)[1:-1]}) for j in range(m)]
+    prior = min(max(float(np.mean(y)), 1e-3), 1 - 1e-3)
+    start = np.log(prior / (1 - prior))
+    margin, grown = [start] * n, []
+    for _ in range(trees):
+        p = [1 / (1 + np.exp(-v)) for v in margin]
+        grad, hess = [a - b for a, b in zip(y, p, strict=True)], [b * (1 - b) for b in p]
+        members, splits = {0: list(range(n))}, {}
+        for node in range(2**depth - 1):
+            own = members.get(node, [])
+
+            def part(rows, grad=grad, hess=hess):
+                return sum(grad[i] for i in rows) ** 2 / (sum(hess[i] for i in rows) + Q.RIDGE)
+
+            best = (0.0, 0, np.inf)
+            for j in range(m):
+                for e in edges[j]:
+                    low, high = [i for i in own if x[i, j] <= e], [i for i in own if x[i, j] > e]
+                    if min(len(low), len(high)) >= Q.MIN_LEAF and (gain := part(low) + part(high) - part(own)) > best[0] + 1e-9:
+                        best = (gain, j, e)
+            splits[node] = best[1:]
+            members[2 * node + 1] = [i for i in own if x[i, best[1]] <= best[2]]
+            members[2 * node + 2] = [i for i in own if x[i, best[1]] > best[2]]
+        leaves = {}
+        for node in range(2**depth - 1, 2 ** (depth + 1) - 1):
+            own = members[node]
+            leaves[node] = rate * sum(grad[i] for i in own) / (sum(hess[i] for i in own) + Q.RIDGE)
+            for i in own:
+                margin[i] += leaves[node]
+        grown.append((splits, leaves))
+    return start, grown, margin
+
+
+def test_fit_finds_the_best_splits():
+    r = np.random.default_rng(4)
+    x = np.stack([r.normal(size=220), r.integers(0, 3, 220).astype(float), np.ones(220), r.exponential(size=220)], axis=1)
+    y = ((x[:, 0] > 0.2) ^ (x[:, 1] == 1) ^ (r.random(220) < 0.1)).astype(float)
+    forest = Q.fit(x, y, trees=4, depth=3, bins=12, rate=0.3)
+    start, grown, margin = plain_fit(x, y, 4, 3, 12, 0.3)
+    assert forest.start == start
+    for t, (splits, leaves) in enumerate(grown):
+        for node, (feature, edge) in splits.items():
+            assert forest.threshold[t, node] == edge and (edge == np.inf or forest.feature[t, node] == feature)
+        assert np.allclose(forest.leaf[t], [leaves[k] for k in sorted(leaves)], rtol=0, atol=1e-12)
+    assert np.allclose(forest.scores(x), 1 / (1 + np.exp(-np.array(margin))), rtol=0, atol=1e-12)
+
+
+def test_fit_of_ties_and_constants():
+    """Equal gains go to the first feature and edge; nothing to split gives the prior."""
+    x = np.repeat(np.arange(8.0), 10)[:, None].repeat(2, axis=1)
+    y = (x[:, 0] > 3).astype(float)
+    forest = Q.fit(x, y, trees=1, depth=1)
+    assert forest.feature[0, 0] == 0 and np.array_equal(forest.scores(x) > 0.5, y == 1)
+    flat = Q.fit(np.ones((60, 3)), np.arange(60) % 3 == 0, trees=5)
+    assert np.allclose(flat.scores(np.ones((2, 3))), 1 / 3)

@@ -84,7 +84,7 @@ def test_stars_of_paths_and_rings(spark):
     assert stars(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def check(spark, docs):
+def plain_rows(docs):
     rows = docs.collect()
     prints = [plain_fingerprint(r.text) for r in rows]
     root = plain_components(prints)
@@ -92,7 +92,11 @@ def check(spark, docs):
     for r, c in zip(rows, root, strict=True):
         if r.doc_id is not None:
             least[c] = min(least.get(c, r.doc_id), r.doc_id)
-    want = sorted(((r.doc_id, f"{p:016x}", least.get(c)) for r, p, c in zip(rows, prints, root, strict=True)), key=str)
+    return sorted(((r.doc_id, f"{p:016x}", least.get(c)) for r, p, c in zip(rows, prints, root, strict=True)), key=str), root, least
+
+
+def check(spark, docs):
+    want, root, least = plain_rows(docs)
     assert sorted((tuple(r) for r in S.near_duplicates(docs).collect()), key=str) == want
     kept = S.keep_one(docs)
     assert kept.columns == docs.columns
@@ -111,5 +115,7 @@ def test_given_documents(spark):
 
 
 def test_query(spark, tmp_path):
-    on_disk(awkward_docs(spark), tmp_path)
-    assert op7_simhash(spark, str(tmp_path)).columns == ["doc_id", "fingerprint", "component_id"]
+    docs = on_disk(awkward_docs(spark), tmp_path)
+    out = op7_simhash(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted((tuple(r) for r in out.collect()), key=str) == plain_rows(docs)[0]

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 
 from riskweave.llm import suffix_dedup as S
-from tests.llm.data import awkward_docs, empty_docs
+from riskweave.llm.queries import op6_suffix_dedup
+from tests.llm.data import awkward_docs, empty_docs, on_disk
 
 
 def brute(rows, length):
@@ -107,3 +108,10 @@ def test_runs_that_touch_are_one():
     assert begin.tolist() == [0] and end.tolist() == [500]
     begin, end = S.removed_spans(np.array([0, 201]), np.array([0, 201]), 200)
     assert begin.tolist() == [0, 201] and end.tolist() == [200, 401]
+
+
+def test_query_on_disk(spark, tmp_path):
+    docs = on_disk(awkward_docs(spark), tmp_path)
+    out = op6_suffix_dedup(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted((tuple(r) for r in out.collect()), key=str) == brute(docs.collect(), 200)

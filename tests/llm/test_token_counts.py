@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskweave.llm import token_counts as T
+from riskweave.llm.queries import op4_token_counts
 from riskweave.session import scratch_path
-from tests.llm.data import awkward_docs, empty_docs
+from tests.llm.data import awkward_docs, empty_docs, on_disk
 
 NAME = "byte_bpe_50k.json"
 
@@ -70,3 +71,12 @@ def test_awkward_tables(spark):
     assert sorted(out.columns) == sorted(docs.columns) and out.count() == docs.count()
     assert out.where(F.col("text").isNull() & (F.col("n_tokens") != 0)).count() == 0
     assert T.count_tokens(empty_docs(spark), scratch_path(spark, "test-cache"), NAME).count() == 0
+
+
+def test_query_on_disk(spark, tmp_path):
+    docs = on_disk(awkward_docs(spark), tmp_path)
+    texts = [(r.doc_id, r.text or "") for r in docs.collect()]
+    want = [(i, len(t.encode()), n, n > 512) for (i, t), n in zip(texts, whole([t for _, t in texts]), strict=True)]
+    out = op4_token_counts(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
