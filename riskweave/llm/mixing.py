@@ -13,11 +13,16 @@ Defined cases: null source, language or topic count as 'unknown'; null or empty
 tokens and pass with the weight of their cell, or 1 where a cell holds no tokens at all; an
 empty table gives an empty table; extra columns pass through.
 
+Where the targets contradict each other (a source of one language whose shares differ), no weights
+meet all of them; raking then ends after ROUNDS rounds with the topics met and the others as near
+as they came. margin_errors() tells what is left, per value of each dimension. Null doc_ids share
+one draw. A very long text is one row; ties do not occur, as a draw is compared with a probability.
+
 Scale: documents are read for one aggregate with map-side combine and once for the draw; they
 are never shuffled unless the cell table outgrows the broadcast threshold. The iteration runs on
-one row per source that holds its (language, topic) cells, whose number is bounded by the two
-small dimensions (checked against MAX_SMALL); the source step needs no shuffle, and the other
-two go through one language x topic sum of that size.
+the table of cells: a round sums it by source, by language and by topic, with map-side combine and
+the other two factors joined to it, and stores the three tables of factors, so no number of values
+passes the driver, which sees the largest change of a factor alone.
 """
 
 from __future__ import annotations
@@ -30,9 +35,7 @@ from riskweave.llm.common import fresh_name, stored
 ALPHA = 0.8
 SEED = "mix-1"
 ROUNDS = 50
-TOLERANCE = 1e-12
-# values of language times values of topic that the small step may hold
-MAX_SMALL = 10_000
+TOLERANCE = 1e-11
 WORD = r"[^\x20\x09-\x0D]+"
 UNKNOWN = "unknown"
 
@@ -58,66 +61,53 @@ def cells(docs: DataFrame, source: Column, lang: Column, topic: Column, tokens:
     )
 
 
-def rake(cell: DataFrame, alpha: float = ALPHA, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """cells -> source, lang, topic, tokens, weight (weighted tokens / tokens)."""
-    rows = stored(
-        cell.groupBy("source").agg(
-            F.sort_array(F.collect_list(F.struct("lang", "topic", F.col("tokens").cast("double").alias("tokens")))).alias("cells"),
-            F.sum("tokens").cast("double").alias("total"),
-        ),
-        "cells",
-    )
-    small = (
-        rows.select(F.explode("cells").alias("c")).groupBy("c.lang", "c.topic").agg(F.sum("c.tokens").alias("tokens"))
-    )
-    if small.limit(MAX_SMALL + 1).count() > MAX_SMALL:
-        raise ValueError(f"more than {MAX_SMALL} (language, topic) pairs: rake a coarser topic")
-    start = {(r.lang, r.topic): r.tokens for r in small.collect()}
-    if not start:
-        return cell.withColumn("weight", F.lit(1.0))
-    whole = sum(start.values())
-
-    def tempered(axis: int) -> dict[str, float]:
-        sums: dict[str, float] = {}
-        for k in sorted(start):
-            sums[k[axis]] = sums.get(k[axis], 0.0) + start[k]
-        norm = sum(v**alpha for v in sums.values())
-        return {k: whole * v**alpha / norm for k, v in sums.items()}
+AXES = ("source", "lang", "topic")
 
-    want = (tempered(0), tempered(1))
-    norm = rows.agg(F.sum(F.pow("total", F.lit(alpha)))).first()[0]
-    target = F.lit(whole) * F.pow("total", F.lit(alpha)) / F.lit(norm)
-    b, c = ({k: 1.0 for k in w} for w in want)
 
-    def literal(m: dict[str, float]) -> Column:
-        return F.map_from_arrays(F.array(*map(F.lit, m)), F.array(*map(F.lit, m.values())))
+def targets(cell: DataFrame, alpha: float = ALPHA) -> dict[str, DataFrame]:
+    """Per dimension: value, want (tokens that its weighted cells shall have)."""
+    out = {}
+    for axis in AXES:
+        own = cell.groupBy(axis).agg(F.sum("tokens").cast("double").alias("total"))
+        sums = own.agg(F.sum("total").alias("whole"), F.sum(F.pow("total", F.lit(alpha))).alias("norm")).first()
+        want = F.lit(sums.whole) * F.pow("total", F.lit(alpha)) / F.lit(sums.norm)
+        out[axis] = stored(own.select(axis, want.alias(f"want_{axis}")), f"targets-{axis}")
+    return out
 
-    def source_factor() -> Column:
-        lm, tm = literal(b), literal(c)
-        return target / F.aggregate("cells", F.lit(0.0), lambda s, x: s + x.tokens * lm[x.lang] * tm[x.topic])
 
+def rake(cell: DataFrame, alpha: float = ALPHA, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """cells -> source, lang, topic, tokens, weight (weighted tokens / tokens)."""
+    cell = stored(cell, "cells")
+    if cell.isEmpty():
+        return cell.withColumn("weight", F.lit(1.0))
+    want = targets(cell, alpha)
+    factor = {axis: want[axis].select(axis, F.lit(1.0).alias(f"f_{axis}")) for axis in AXES}
     for _ in range(rounds):
-        m = (
-            rows.withColumn("a", source_factor())
-            .select("a", F.explode("cells").alias("c"))
-            .groupBy("c.lang", "c.topic")
-            .agg(F.sum(F.col("a") * F.col("c.tokens")).alias("s"))
-            .collect()
-        )
-        at = {(r.lang, r.topic): r.s for r in m}
-        off = 0.0
-        for axis, own, other in ((0, b, c), (1, c, b)):
-            for k in own:
-                got = own[k] * sum(v * other[p[1 - axis]] for p, v in at.items() if p[axis] == k)
-                off = max(off, abs(got / want[axis][k] - 1))
-                own[k] *= want[axis][k] / got
-        if off < tolerance:
+        for axis in AXES:
+            met, share = cell, F.col("tokens").cast("double")
+            for x in AXES:
+                if x != axis:
+                    met, share = met.join(factor[x].select(x, f"f_{x}"), x), share * F.col(f"f_{x}")
+            new = met.groupBy(axis).agg(F.sum(share).alias("got")).join(want[axis], axis).join(factor[axis].select(axis, F.col(f"f_{axis}").alias("old")), axis)
+            new = new.select(axis, (F.col(f"want_{axis}") / F.col("got")).alias(f"f_{axis}"), "old")
+            factor[axis] = stored(new.withColumn("off", F.abs(F.col(f"f_{axis}") / F.col("old") - 1)).drop("old"), f"factors-{axis}")
+        changes = [factor[x].select("off") for x in AXES]
+        if changes[0].union(changes[1]).union(changes[2]).agg(F.max("off")).first()[0] < tolerance:
             break
-    lm, tm = literal(b), literal(c)
-    return (
-        rows.select("source", source_factor().alias("a"), F.explode("cells").alias("c"))
-        .select("source", "c.lang", "c.topic", "c.tokens", (F.col("a") * lm[F.col("c.lang")] * tm[F.col("c.topic")]).alias("weight"))
-    )
+    weight = F.lit(1.0)
+    for x in AXES:
+        cell, weight = cell.join(factor[x].select(x, f"f_{x}"), x), weight * F.col(f"f_{x}")
+    return cell.select(*AXES, "tokens", weight.alias("weight"))
+
+
+def margin_errors(fitted: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """dimension, value, want, got, error (got / want - 1) of raked cells."""
+    out = None
+    for axis, want in targets(fitted, alpha).items():
+        got = fitted.groupBy(axis).agg(F.sum(F.col("tokens") * F.col("weight")).alias("got")).join(want, axis)
+        one = got.select(F.lit(axis).alias("dimension"), F.col(axis).alias("value"), F.col(f"want_{axis}").alias("want"), "got")
+        out = one if out is None else out.union(one)
+    return out.withColumn("error", F.col("got") / F.col("want") - 1)
 
 
 def draw(doc_id: Column, seed: str = SEED) -> Column:
@@ -152,4 +142,4 @@ def mix(
     return kept.select(*[c for c in docs.columns if c not in added], *[v.alias(k) for k, v in added.items()])
 
 
-__all__ = ["ALPHA", "SEED", "n_tokens", "topic_by_length", "cells", "rake", "draw", "mix"]
+__all__ = ["ALPHA", "SEED", "n_tokens", "topic_by_length", "cells", "targets", "rake", "margin_errors", "draw", "mix"]

@@ -56,3 +56,24 @@ def test_awkward_rows(spark):
     assert {r.n_tokens for r in detailed.where("text is null or trim(text) = ''").collect()} <= {0}
     assert mixing.mix(empty_docs(spark)).count() == 0
     assert mixing.mix(docs.where("text is null"), details=True).select("weight").distinct().first()[0] == 1.0
+
+
+def test_many_languages(spark):
+    """No bound on the number of values: 20,000 languages of three sources."""
+    frame = spark.range(60_000).select(
+        F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.concat(F.lit("l"), F.col("id") % 20_000).alias("lang"),
+        F.when(F.col("id") % 7 < 3, "x").otherwise("y").alias("topic"), (F.col("id") % 11 + 1).alias("tokens"),
+    )
+    fitted = mixing.rake(frame, alpha=0.5, rounds=30, tolerance=1e-6)
+    assert fitted.count() == 60_000
+    assert mixing.margin_errors(fitted, alpha=0.5).agg(F.max(F.abs("error"))).first()[0] < 1e-4
+
+
+def test_margins_that_contradict_each_other(spark):
+    """Every source has one language, and alpha 0 asks for equal sources and equal languages: three
+    sources, two languages. What is left is told, and the topics are met."""
+    frame = spark.createDataFrame([("a", "en", "x", 10), ("b", "en", "x", 20), ("c", "de", "x", 5), ("c", "de", "y", 5)], "source string, lang string, topic string, tokens long")
+    fitted = mixing.rake(frame, alpha=0.0, rounds=12)
+    errors = {(r.dimension, r.value): r.error for r in mixing.margin_errors(fitted, alpha=0.0).collect()}
+    assert max(map(abs, errors.values())) > 0.05
+    assert all(abs(v) < 1e-9 for (d, _), v in errors.items() if d == "topic")
