@@ -2,8 +2,8 @@
 
 Each test returns its violating rows (the dbt convention: a test fails when its query
 returns rows). The suite runner folds every test into one (table, test, column,
-failures, passed) frame; not_null and accepted_values tests of one table share a
-single aggregation pass.
+failures, passed) frame; a table's not_null tests and its key test share one pass,
+and accepted_values tests group only the rows that violate them.
 """
 
 from __future__ import annotations
@@ -185,19 +185,23 @@ def _row(table: str, test: str, column: str, failures: Column) -> list[Column]:
     ]
 
 
-def _single_pass(table: str, df: DataFrame, cs: list[Check]) -> DataFrame | None:
-    """not_null + accepted_values of one table in one aggregation, unpivoted to rows."""
-    if not cs:
+def _one_pass(table: str, df: DataFrame, key: Check | None, nulls: list[Check]) -> DataFrame | None:
+    """The not_null tests of one table and its key test in one pass, unpivoted to rows. With a key
+    test rows are counted per key, and the nulls of a key's rows travel in the same shuffle."""
+    if key is None and not nulls:
         return None
-    aggs = []
-    for i, c in enumerate(cs):
-        col = F.col(c.columns[0])
-        if c.test == "not_null":
-            aggs.append(F.count_if(col.isNull()).alias(f"f{i}"))
-        else:  # accepted_values: number of distinct unaccepted values
-            bad = F.when(~col.isin(list(c.values)), col)
-            aggs.append(F.count_distinct(bad).alias(f"f{i}"))
-    wide = df.agg(*aggs)
+    missing = [F.count_if(F.col(c.columns[0]).isNull()).alias(f"f{i}") for i, c in enumerate(nulls)]
+    if key is None:
+        wide = df.agg(*missing)
+    else:
+        names = [f"__k{i}" for i in range(len(key.columns))]
+        counted = df.groupBy(*(F.col(c).alias(n) for c, n in zip(key.columns, names, strict=True))).agg(F.count(F.lit(1)).alias("n_records"), *missing)
+        repeated = F.col("n_records") > 1
+        if key.test == "unique":
+            repeated = repeated & F.col(names[0]).isNotNull()
+        sums = [F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"f{i}") for i in range(len(nulls))]
+        wide = counted.agg(F.count_if(repeated).alias(f"f{len(nulls)}"), *sums)
+    tests = [*nulls, *([key] if key else [])]
     entries = F.array(
         *[
             F.struct(
@@ -205,7 +209,7 @@ def _single_pass(table: str, df: DataFrame, cs: list[Check]) -> DataFrame | None
                 F.lit(c.column).alias("column_name"),
                 F.col(f"f{i}").cast("bigint").alias("failures"),
             )
-            for i, c in enumerate(cs)
+            for i, c in enumerate(tests)
         ]
     )
     return wide.select(F.inline(entries)).select(
@@ -232,14 +236,16 @@ def run_suite(
             by_table.setdefault(c.table, []).append(c)
     for table, cs in by_table.items():
         df = tables[table]
-        sp = _single_pass(table, df, [c for c in cs if c.test in ("not_null", "accepted_values")])
-        if sp is not None:
-            parts.append(sp)
+        keys = [c for c in cs if c.test in ("unique", "unique_combination")]
+        first = _one_pass(table, df, keys[0] if keys else None, [c for c in cs if c.test == "not_null"])
+        if first is not None:
+            parts.append(first)
         for c in cs:
-            if c.test == "unique":
-                v = unique(df, c.columns[0])
-            elif c.test == "unique_combination":
-                v = unique_combination(df, c.columns)
+            if c in keys[1:]:
+                v = unique(df, c.columns[0]) if c.test == "unique" else unique_combination(df, c.columns)
+            elif c.test == "accepted_values":
+                # only unaccepted rows are grouped, so no row is copied per tested column
+                v = accepted_values(df, c.columns[0], c.values)
             elif c.test == "relationships":
                 ptable, pfield = c.parent
                 n = orphan_count(df, c.columns[0], tables[ptable], pfield)
