@@ -116,7 +116,8 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 def keyed(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The counts by (digest, tag), one key per term, and the terms: digest, tag, term. tag is the
     term where its digest has several, else empty."""
-    ends = stored(counted.where("new").groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most")), "terms")
+    # a task names a term once, so there is little to combine before the shuffle
+    ends = stored(counted.where("new").repartition("digest").groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most")), "terms")
     several = F.col("least") != F.col("most")
     shared = stored(ends.where(several).select("digest", F.lit(True).alias("several")), "shared-digests")
     rows = counted.join(shared, "digest", "left").withColumn("tag", F.when(F.col("several"), F.col("term")).otherwise(""))
@@ -139,17 +140,19 @@ def weights(docs: DataFrame, lang: str, source: str, text: str, min_docs: int) -
     language's share q; the groups (source, language) with v kept terms of the language and k of
     the source; and the terms."""
     rows, terms = keyed(term_counts(docs, lang, source, text))
-    counts = stored(rows.groupBy("lang", "source", *KEY).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "group-counts")
-    kept = stored(
-        counts.groupBy("lang", *KEY).agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs"), "kept-terms"
-    )
-    present = stored(counts.drop("docs").join(kept, ["lang", *KEY]), "present-terms")
-    zero = F.lit(0).cast("long")
+    # one shuffle by term and language: the sums of sources, of the language and the choice of terms
+    of_term = Window.partitionBy(*KEY, "lang")
+    counts = rows.repartition(*KEY, "lang").groupBy(*KEY, "lang", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = counts.select(
+        *KEY, "lang", "source", "n", F.sum("n").over(of_term).alias("n_lang"), F.sum("docs").over(of_term).alias("docs"),
+        (F.row_number().over(of_term.orderBy("source")) == 1).alias("first"),
+    )
+    present = stored(counts.where(F.col("docs") >= min_docs).drop("docs"), "present-terms")
     own = present.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("k"))
-    of_lang = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n_lang").alias("total_lang"))
+    of_lang = present.groupBy("lang").agg(F.count_if("first").alias("v"), F.sum("n").alias("total_lang"))
     named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(x) for c, x in ((lang, "lang"), (source, "source"))]
     groups = docs.select(*named).distinct().join(own, ["lang", "source"], "left").join(of_lang, "lang", "left").fillna(0, ["total", "k", "v", "total_lang"])
-    groups = stored(groups.withColumn("zero", zero).withColumn("p0", _share("zero", "total")).drop("zero"), "groups")
+    groups = stored(groups.withColumn("p0", _share("0L", "total")), "groups")
     full = present.join(groups, ["lang", "source"]).withColumn("p", _share("n", "total")).withColumn("q", _share("n_lang", "total_lang"))
     return stored(full.select("lang", "source", *KEY, "p", "p0", "q"), "shares"), groups, terms
 
@@ -159,6 +162,10 @@ def common_terms(shares: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     f(p_a, p_b) - f(p_a, p0_b) - f(p0_a, p_b)."""
     parts = max(1, -(-shares.count() // block_rows))
 
+    def summed(rows: pa.Table) -> pa.Table:
+        sums = rows.group_by("key", use_threads=False).aggregate([("common", "sum"), ("change", "sum")])
+        return sums.select(["key", "common_sum", "change_sum"]).rename_columns(["key", "common", "change"])
+
     def meet(block: pa.Table) -> pa.Table:
         block = block.sort_by([("digest", "ascending"), ("tag", "ascending")]).combine_chunks()
         digest, tag = block["digest"].to_numpy(), block["tag"].to_numpy()
@@ -167,24 +174,20 @@ def common_terms(shares: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         source, sources = names.indices.to_numpy().astype(np.int64), len(names.dictionary)
         p, p0 = block["p"].to_numpy(), block["p0"].to_numpy()
         f = lambda x, y: (x - y) ** 2 // y
-        keys, sums = [], []
+        met = pa.table([pa.array([], pa.int64())] * 3, names=["key", "common", "change"])
         # rows of one term lie together: neighbours at distance 1, 2, ... until no term has so many
         for step in range(1, sources):
             i = np.flatnonzero(term[step:] == term[:-step])
             if not len(i):
                 break
-            for a, b in ((i, i + step), (i + step, i)):
-                key, where = np.unique(source[a] * sources + source[b], return_inverse=True)
-                total = np.zeros((2, len(key)), np.int64)
-                np.add.at(total[0], where, 1)
-                np.add.at(total[1], where, f(p[a], p[b]) - f(p[a], p0[b]) - f(p0[a], p[b]))
-                keys.append(key)
-                sums.append(total)
-        key = np.concatenate([np.empty(0, np.int64), *keys])
-        total = np.concatenate([np.empty((2, 0), np.int64), *sums], axis=1)
+            a, b = np.concatenate([i, i + step]), np.concatenate([i + step, i])
+            change = f(p[a], p[b]) - f(p[a], p0[b]) - f(p0[a], p[b])
+            here = pa.table([source[a] * sources + source[b], np.ones(len(a), np.int64), change], names=met.column_names)
+            met = summed(pa.concat_tables([met, summed(here)]))
+        key = met["key"].to_numpy()
         take = lambda k: names.dictionary.take(pa.array(k))
         lang = pa.array([block["lang"][0].as_py()] * len(key), pa.string())
-        return pa.table([lang, take(key // sources), take(key % sources), pa.array(total[0]), pa.array(total[1])], names=["lang", "source", "other", "common", "change"])
+        return pa.table([lang, take(key // sources), take(key % sources), met["common"], met["change"]], names=["lang", "source", "other", "common", "change"])
 
     blocks = shares.select("lang", "source", *KEY, "p", "p0", F.pmod("digest", F.lit(parts)).alias("block")).groupBy("lang", "block")
     met = blocks.applyInArrow(meet, "lang string, source string, other string, common long, change long")
