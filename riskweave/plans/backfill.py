@@ -37,19 +37,32 @@ def run_settings(s: Settings, as_ofs: Sequence[dt.date]) -> Settings:
     return Settings.runs(as_ofs, bounded=bounded, run_col=RUN, base=s)
 
 
+def accounts_by_run(accounts: DataFrame, changed: DataFrame, as_ofs: Sequence[dt.date]) -> DataFrame:
+    """Account states of every run from one scan of the accounts, keyed by (run_as_of, account_id).
+
+    changed: (run_as_of, account_id, any account columns), one row per run and account that
+    differed from today, with the values of that run; other accounts and columns keep today's."""
+    values = [c for c in changed.columns if c not in (RUN, "account_id")]
+    runs = accounts.withColumn(RUN, F.explode(F.array(*[F.lit(d) for d in sorted(as_ofs)])))
+    then = changed.select(RUN, "account_id", F.struct(*values).alias("then"))
+    state = {c: F.when(F.col("then").isNotNull(), F.col("then")[c]).otherwise(F.col(c)) for c in values}
+    columns = [state[c].alias(c) if c in state else c for c in runs.columns]
+    return runs.join(then, [RUN, "account_id"], "left").select(*columns)
+
+
 def scores_by_run(
     raw: dict[str, DataFrame],
     s: Settings,
     as_ofs: Sequence[dt.date],
-    accounts_for: AccountsFor | None = None,
+    accounts_for: AccountsFor | DataFrame | None = None,
 ) -> DataFrame:
     """Scores of every run in one plan, keyed by (run_as_of, account_id).
 
-    accounts_for(day): staged account state as of `day` (e.g. deactivations); default
-    is the same accounts for every run."""
+    accounts_for: staged account states of all runs (accounts_by_run), or a function that
+    gives those as of a day; default is the same accounts for every run."""
     sr = run_settings(s, as_ofs)
-    accounts = None
-    if accounts_for is not None:
+    accounts = accounts_for if isinstance(accounts_for, DataFrame) else None
+    if accounts is None and accounts_for is not None:
         accounts = reduce(
             DataFrame.unionByName,
             [accounts_for(d).withColumn(RUN, F.lit(d)) for d in sorted(as_ofs)],
@@ -86,7 +99,7 @@ def history_fold(
     raw,
     s: Settings,
     as_ofs: Sequence[dt.date],
-    accounts_for: AccountsFor | None = None,
+    accounts_for: AccountsFor | DataFrame | None = None,
     cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """SCD2 history built run by run with scd2_apply, as the weekly job does.

@@ -167,10 +167,10 @@ def _accounts_for(spark, sf_dir):
     """Account state per history run: the flip account is inactive on the third run."""
     from riskweave.sources.staging import stg_accounts
 
-    flip_day = HISTORY_DAYS[2]
-    return lambda day: stg_accounts(
-        fx.accounts(spark, sf_dir, inactive_ids=(FLIP_ACCOUNT,) if day == flip_day else ())
-    )
+    accounts = stg_accounts(fx.accounts(spark, sf_dir))
+    flipped = accounts.where(F.col("account_id") == FLIP_ACCOUNT)
+    changed = flipped.select(F.lit(HISTORY_DAYS[2]).alias(bf.RUN), "account_id", F.lit(False).alias("is_active"))
+    return bf.accounts_by_run(accounts, changed, HISTORY_DAYS)
 
 
 def _history(spark, sf_dir):

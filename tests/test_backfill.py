@@ -84,3 +84,16 @@ def test_wall_clock_default_runs(spark):
     out = b.scores.select("scored_week", "scored_at").distinct().collect()
     assert len(out) == 1 and out[0].scored_at is not None
     assert b.scores.where(F.col("risk_tier").isNull()).count() == 0
+
+
+def test_account_states_of_runs_come_from_one_scan(spark):
+    now = spark.createDataFrame([("1", True, 5.0), ("2", True, None), ("3", False, 7.0)], "account_id string, is_active boolean, mrr double")
+    runs = [dt.date(2024, 1, 8), dt.date(2024, 1, 1)]
+    rows = [(runs[1], "1", False, None), (runs[0], "3", True, 8.0), (dt.date(2020, 1, 1), "2", False, 0.0), (runs[0], "9", True, 1.0)]
+    changed = spark.createDataFrame(rows, "run_as_of date, account_id string, is_active boolean, mrr double")
+    got = bf.accounts_by_run(now, changed, runs)
+    assert got.columns == ["account_id", "is_active", "mrr", "run_as_of"]
+    assert sorted(map(tuple, got.select("run_as_of", "account_id", "is_active", "mrr").collect()), key=str) == [
+        (runs[1], "1", False, None), (runs[1], "2", True, None), (runs[1], "3", False, 7.0),
+        (runs[0], "1", True, 5.0), (runs[0], "2", True, None), (runs[0], "3", True, 8.0),
+    ]
