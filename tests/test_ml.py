@@ -79,3 +79,9 @@ def test_in_sample_auc_and_read_time_orders(spark, trained):
     assert [r.account_id for r in ordered(df).collect()] == ["d", "a", "b", "c"]
     mart = df.withColumnRenamed("risk_score", "risk_score_ml")
     assert [r.account_id for r in ordered_ml(mart).collect()] == ["c", "d", "a", "b"]
+
+
+def test_training_snapshots_keep_the_weak_label_and_training_leaves_it_out(spark):
+    snaps = registry.training_snapshots(spark, SF)
+    assert snaps.where((F.col("weak_label") == 1) != (F.col("propensity") > 0.45)).count() == 0
+    assert "weak_label" not in registry.training_frame(spark, SF).columns
