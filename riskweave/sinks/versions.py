@@ -186,10 +186,11 @@ def read_version(spark: SparkSession, path: str, v: Version, parts: Sequence[str
 
 def write_run(df: DataFrame, path: str, partition_col: str, check=None) -> tuple[str, list[str]]:
     """Rows as a run that no version names yet: its id and its partition folders. check(folder)
-    may refuse the staged rows."""
+    may refuse the staged rows. Rows are first dealt by their partition, so a folder holds one file,
+    or several where adaptive execution splits a large partition, and not one of every task."""
     spark, run = df.sparkSession, uuid.uuid4().hex
     staged = f"{path}/_staged/{run}"
-    df.write.option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(staged)
+    df.hint("rebalance", partition_col).write.option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(staged)
     if check:
         check(staged)
     parts = [x for x in _children(spark, staged) if x.startswith(f"{partition_col}=")]

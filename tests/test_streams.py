@@ -146,3 +146,12 @@ def test_sketches_merge_within_their_error(spark):
     steps = sk.merged(sk.merged(weekly, "account_id"))
     assert sk.estimated(steps).first() == whole
     assert sk.estimated(sk.merged(sk.weekly_sketches(df.limit(0)), "account_id")).count() == 0
+
+
+def test_jobs_of_a_batch_follow_the_session_that_began_the_stream(spark, monkeypatch):
+    src, keys, target, ckpt = (scratch_path(spark, n) for n in ("t_src", "t_keys", "t_usage", "t_ckpt"))
+    events(spark, 30).write.parquet(src)
+    seen, apply = [], ks.apply
+    monkeypatch.setattr(ks, "apply", lambda s, *a: seen.append(s.conf.get(st.ADAPTIVE)) or apply(s, *a))
+    st.run_available(spark, src, keys, target, ckpt)
+    assert seen and set(seen) == {spark.conf.get(st.ADAPTIVE)} == {"true"}

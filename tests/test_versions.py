@@ -176,3 +176,12 @@ def test_queries_leave_the_callers_tables(spark):
         assert {r.name for r in spark.catalog.listDatabases()} == before
     finally:
         spark.sql("DROP TABLE ml_output.ml_predictions")
+
+
+def test_a_run_has_one_file_of_a_small_partition(spark):
+    """However many tasks hold its rows."""
+    df = spark.range(0, 400, 1, 16).select("id", (F.col("id") % 5).alias("p"))
+    path = scratch_path(spark, "t_files")
+    run, parts = vs.write_run(df, path, "p")
+    files = spark.read.parquet(f"{path}/data/{vs.RUN}={run}").inputFiles()
+    assert len(parts) == 5 and len(files) == 5
