@@ -26,8 +26,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), counts=True)
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    out = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), counts=True, by_text=True)
+    return out.select("doc_id", "n_lines", "n_dropped", "n_dropped_by_text", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,23 +148,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": """
         WITH lines AS (
-          SELECT source, page, unnest(string_split(text, chr(10))) AS line
+          SELECT source, text, page, unnest(string_split(text, chr(10))) AS line
           FROM (SELECT source, text, row_number() OVER () AS page FROM documents)),
         held AS (
-          SELECT source, trim(line) AS line, count(DISTINCT page) AS pages FROM lines
+          SELECT source, trim(line) AS line, count(DISTINCT page) AS pages, count(DISTINCT text) AS texts FROM lines
           WHERE trim(line) <> '' GROUP BY 1, 2),
-        total AS (SELECT source, count(text) AS host_pages FROM documents GROUP BY 1),
+        total AS (SELECT source, count(text) AS host_pages, count(DISTINCT text) AS host_texts FROM documents GROUP BY 1),
         dropped AS (
-          SELECT h.source, list(line) AS dropped FROM held h JOIN total t ON h.source IS NOT DISTINCT FROM t.source
-          WHERE pages >= 5 AND pages > 0.05::DOUBLE * host_pages GROUP BY 1),
+          SELECT h.source, list(line) FILTER (WHERE pages >= 5 AND pages > 0.05::DOUBLE * host_pages) AS dropped,
+            list(line) FILTER (WHERE texts >= 5 AND texts > 0.05::DOUBLE * host_texts) AS once
+          FROM held h JOIN total t ON h.source IS NOT DISTINCT FROM t.source GROUP BY 1),
         joined AS (
-          SELECT d.doc_id, d.text, string_split(d.text, chr(10)) AS all_lines, coalesce(x.dropped, []) AS dropped
+          SELECT d.doc_id, d.text, string_split(d.text, chr(10)) AS all_lines, coalesce(x.dropped, []) AS dropped,
+            coalesce(x.once, []) AS once
           FROM documents d LEFT JOIN dropped x ON d.source IS NOT DISTINCT FROM x.source),
         kept AS (
-          SELECT doc_id, text, all_lines, list_filter(all_lines, lambda l: trim(l) = '' OR NOT list_contains(dropped, trim(l))) AS kept
+          SELECT doc_id, text, all_lines, list_filter(all_lines, lambda l: trim(l) = '' OR NOT list_contains(dropped, trim(l))) AS kept,
+            list_filter(all_lines, lambda l: trim(l) <> '' AND list_contains(once, trim(l))) AS again
           FROM joined)
         SELECT doc_id, coalesce(len(all_lines), 0)::BIGINT AS n_lines,
           coalesce(len(all_lines) - len(kept), 0)::BIGINT AS n_dropped,
+          coalesce(len(again), 0)::BIGINT AS n_dropped_by_text,
           CASE WHEN text IS NULL THEN NULL ELSE sha256(coalesce(array_to_string(kept, chr(10)), '')) END AS kept_sha256
         FROM kept""",
     "op5_mixing": _mixing_sql(),

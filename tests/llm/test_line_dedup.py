@@ -46,3 +46,14 @@ def test_awkward_rows(spark):
     want, _ = brute(docs.collect(), 0.2, 2)
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(want, key=str)
     assert drop_boilerplate(empty_docs(spark)).count() == 0
+
+
+def test_lines_by_different_texts_are_counted_beside(spark):
+    """A copied page's own line is boilerplate by pages, not by texts; a footer is by both."""
+    rows = [(i, "copied page\nfooter", "a") for i in range(20)]
+    rows += [(100 + i, f"own {i}\nfooter", "a") for i in range(20)] + [(200, None, "a"), (201, "own 1\nfooter", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in drop_boilerplate(docs, counts=True, by_text=True).collect()}
+    assert (out[0].text, out[0].n_dropped, out[0].n_dropped_by_text) == ("", 2, 1)
+    assert (out[100].text, out[100].n_dropped, out[100].n_dropped_by_text) == ("own 0", 1, 1)
+    assert (out[200].text, out[200].n_dropped_by_text) == (None, 0) and out[201].n_dropped_by_text == 0
