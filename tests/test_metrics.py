@@ -162,3 +162,19 @@ def test_history_keeps_deleted_keys_when_told(spark):
             hist = scd2_apply(hist, now, x, invalidate_hard_deletes=hard)
         key = ["account_id", "risk_score", "dbt_valid_from", "dbt_valid_to"]
         assert sorted(map(str, out.select(key).collect())) == sorted(map(str, hist.select(key).collect()))
+
+
+def test_weekly_usage_shuffles_events_once(spark):
+    from riskweave.functions.exprs import week_start
+    from riskweave.operators.activity import weekly_usage
+
+    rows = [(f"a{i % 3}" if i % 11 else None, None if i % 5 == 0 else f"u{i % 4}", None if i % 3 else f"s{i}", None if i % 2 else "f", i % 20) for i in range(300)]
+    ev = spark.createDataFrame(rows + rows[:40], "account_id string, user_id string, session_id string, feature_name string, d int")
+    ev = ev.withColumn("event_ts", F.when(F.col("d") != 7, F.date_add(F.lit("2001-10-22").cast("date"), F.col("d")).cast("timestamp_ntz")))
+    got = weekly_usage(ev)
+    want = ev.groupBy("account_id", week_start("event_ts").alias("week_start")).agg(
+        F.count_distinct("user_id").alias("wau"), F.count_distinct("session_id").alias("session_count"), F.count(F.lit(1)).alias("event_count"),
+        F.count_distinct("feature_name").alias("distinct_features_used"), F.max("event_ts").alias("last_event_ts"))
+    assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    plan = weekly_usage(ev)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Expand" not in plan
