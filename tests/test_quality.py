@@ -70,3 +70,14 @@ def test_event_id_uniqueness_is_measured_on_fixture(spark):
     )).fetchone()[0]
     ev = _staged(spark, sf)["product_events"]
     assert dq.unique(ev, "event_id").count() == want
+
+
+def test_nulls_are_counted_without_a_shuffle_of_keys(spark):
+    df = spark.createDataFrame([("a", None), ("a", "x"), (None, None), (None, "y")], "k string, v string")
+    declared = {"t": dq.TableTests(not_null=["k", "v"], unique=["k"])}
+    got = {(r.test_name, r.column_name): r.failures for r in dq.run_suite({"t": df}, declared).collect()}
+    assert got == {("not_null", "k"): 2, ("not_null", "v"): 2, ("unique", "k"): 1}
+    plan = dq.run_suite({"t": df}, declared)._jdf.queryExecution().executedPlan().toString()
+    # the keys' aggregate carries their count alone
+    keyed = [x for x in plan.splitlines() if "Aggregate(keys=[k#" in x or "Aggregate(keys=[unique_field" in x]
+    assert keyed and not any("count_if" in x or "isnull" in x for x in keyed)
