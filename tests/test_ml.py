@@ -85,3 +85,9 @@ def test_training_snapshots_keep_the_weak_label_and_training_leaves_it_out(spark
     snaps = registry.training_snapshots(spark, SF)
     assert snaps.where((F.col("weak_label") == 1) != (F.col("propensity") > 0.45)).count() == 0
     assert "weak_label" not in registry.training_frame(spark, SF).columns
+
+
+def test_training_rows_are_built_once(spark):
+    """Every reader of a model's rows reads the stored ones, not the tables under them."""
+    files = registry.training_rows(spark, SF).inputFiles()
+    assert files and all("training-rows" in f for f in files)
