@@ -6,8 +6,8 @@ p = 1 + floor(SCALE * (count + 1) / (N + V)); two shares p and q differ by f = f
 Reported are, for each source, the sums of f over all kept terms against every other source of the
 language, and the terms it uses more than the language does, by f, to rank `top`.
 
-Late terms. A task counts the terms of its documents by language and source and writes them with a
-64-bit digest. From then on counts are shuffled, joined and ranked by digest alone. Per digest the
+Late terms. A task counts the terms of its documents by language and source, a block of texts at a
+time by one sort, and writes them with a 64-bit digest. From then on counts are shuffled, joined and ranked by digest alone. Per digest the
 smallest and largest term are compared: where they differ, the digest is that of several terms,
 and its rows take the term itself as a second key, so shares are those of terms whatever the
 digests do. Terms are joined back for the rows that are reported, and for those that tie with them.
@@ -31,7 +31,6 @@ execution splits a hot source's terms.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,20 +40,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskweave.llm.common import as_bytes, bounded_batches, stored
+from riskweave.llm.common import BLOCK_BYTES, blocks, bounded_batches, stored
 
 MIN_DOCS = 3
 SCALE = 1_000_000_000
 TOP = 200
 STEP_BYTES = 4_000_000
-# distinct terms that a task holds before it writes them
+# terms of groups, and bytes of terms, that a task holds before it writes them
 HELD_TERMS = 1_000_000
+HELD_BYTES = 64 << 20
+# texts that a task is given at a time
+BATCH_BYTES = 8 << 20
 BLOCK_ROWS = 200_000
 PAIR_ROWS = 64
 
 _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 COUNTS = "lang string, source string, digest long, n long, docs long, term string, new boolean"
 KEY = ["digest", "tag"]
+# group, term, n, docs: a row per group and term
+Counts = tuple[np.ndarray, pa.DictionaryArray, np.ndarray, np.ndarray]
 
 
 def digest_of(term: bytes) -> int:
@@ -71,42 +75,101 @@ def term_steps(raw: bytes, step: int = STEP_BYTES) -> Iterator[list[bytes]]:
         at = end
 
 
+def block_terms(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The terms of a block of UTF-8 texts in their order, and the number of the text that each is from."""
+    folded = np.frombuffer(raw.tobytes().translate(_FOLD), np.uint8)
+    kept = folded != 32
+    inside = np.concatenate([[False], kept, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    # a term at the end of a text and one at the start of the next are two
+    meet = np.unique(offsets)
+    meet = meet[inside[meet] & inside[meet + 1]]
+    if len(meet):
+        starts, ends = np.sort(np.append(starts, meet)), np.sort(np.append(ends, meet))
+    at = np.append(0, np.cumsum(ends - starts)).astype(np.int32)
+    terms = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(folded[kept])])
+    return terms, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
+
+
+def block_counts(terms: pa.Array, text: np.ndarray, group: np.ndarray) -> Counts:
+    """Occurrences and texts of each group's terms, by one sort; text numbers the texts in group."""
+    coded = terms.dictionary_encode()
+    names, own = np.unique(group, return_inverse=True)
+    width, shift = len(coded.dictionary), len(group).bit_length()
+    key = ((own[text] * width + coded.indices.to_numpy()) << shift) | text
+    key.sort()
+    of_text = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    of_term = key[of_text] >> shift
+    first = np.flatnonzero(np.append(True, of_term[1:] != of_term[:-1])[: len(of_term)])
+    n, docs = (np.diff(x).astype(np.int32) for x in (np.append(of_text[first], len(key)), np.append(first, len(of_term))))
+    own, code = np.divmod(of_term[first], max(width, 1))
+    return names[own], pa.DictionaryArray.from_arrays(pa.array(code, pa.int32()), coded.dictionary), n, docs
+
+
+def merged(parts: list[Counts]) -> Counts:
+    """The sums of several counts, a row per group and term."""
+    terms = pa.chunked_array([x[1] for x in parts]).unify_dictionaries().combine_chunks()
+    width = max(len(terms.dictionary), 1)
+    key = np.concatenate([x[0] for x in parts]) * np.int64(width) + terms.indices.to_numpy()
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    column = lambda k: np.concatenate([x[k] for x in parts])[order]
+    n, docs = (np.add.reduceat(column(k), first, dtype=np.int64) if len(first) else np.empty(0, np.int64) for k in (2, 3))
+    group, code = np.divmod(key[first], width)
+    return group.astype(np.int32), pa.DictionaryArray.from_arrays(pa.array(code, pa.int32()), terms.dictionary), n, docs
+
+
 def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """Occurrences n and documents docs of each term, as the tasks counted them (a term may have
     several rows; `new` marks each term once per task or more), stored."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     digest = digest_of
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        numbers: dict[tuple[str, str], int] = {}
+        held: list[Counts] = []
+
+        def over(limit: int) -> bool:
+            return sum(len(x[0]) for x in held) > limit * HELD_TERMS or sum(x[1].dictionary.nbytes for x in held) > limit * HELD_BYTES
 
         def rows() -> Iterator[pa.RecordBatch]:
-            told: set[bytes] = set()
-            for (own_lang, own_source), (n, docs_) in held.items():
-                every = list(n)
-                for at in range(0, len(n), 50_000):
-                    terms = every[at : at + 50_000]
-                    new = [t not in told for t in terms]
-                    told.update(terms)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([own_lang] * len(terms)), pa.array([own_source] * len(terms)), pa.array(map(digest, terms), pa.int64()),
-                         pa.array(map(n.__getitem__, terms), pa.int64()), pa.array(map(docs_.__getitem__, terms), pa.int64()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(new, pa.bool_())],
-                        ["lang", "source", "digest", "n", "docs", "term", "new"],
-                    )
+            if not held:
+                return
+            group, terms, n, docs_ = merged(held) if len(held) > 1 else held[0]
             held.clear()
+            langs, sources = (pa.array(x, pa.string()) for x in zip(*numbers, strict=True))
+            code, texts = terms.indices.to_numpy(), terms.dictionary.cast(pa.string())
+            digests = np.fromiter(map(digest, terms.dictionary.to_pylist()), np.int64, len(texts))
+            new = np.zeros(len(code), bool)
+            new[np.unique(code, return_index=True)[1]] = True
+            for k in range(0, len(code), 50_000):
+                part = slice(k, k + 50_000)
+                yield pa.RecordBatch.from_arrays(
+                    [langs.take(pa.array(group[part])), sources.take(pa.array(group[part])), pa.array(digests[code[part]]), pa.array(n[part], pa.int64()), pa.array(docs_[part], pa.int64()),
+                     texts.take(pa.array(code[part])), pa.array(new[part])],
+                    ["lang", "source", "digest", "n", "docs", "term", "new"],
+                )
 
         for batch in batches:
-            raw, at = as_bytes(batch.column(2))
-            groups = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for k, group in enumerate(groups):
-                n, docs_ = held.setdefault(group, (Counter(), Counter()))
-                once: set[bytes] = set()
-                for terms in term_steps(raw[at[k] : at[k + 1]].tobytes()):
-                    n.update(terms)
-                    once.update(terms)
-                docs_.update(once)
-                if sum(len(x) for x, _ in held.values()) > HELD_TERMS:
-                    yield from rows()
+            named = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            group = np.array([numbers.setdefault(x, len(numbers)) for x in named], np.int32)
+            for row, end, raw, offsets in blocks(batch.column(2), min(BLOCK_BYTES, STEP_BYTES)):
+                if len(raw) > STEP_BYTES:  # one long text
+                    steps = (pa.array(x, pa.binary()) for x in term_steps(raw.tobytes()))
+                    *counts, _ = merged([block_counts(x, np.zeros(len(x), np.int64), group[row:end]) for x in steps])
+                    held.append((*counts, np.ones_like(counts[2])))
+                else:
+                    held.append(block_counts(*block_terms(raw, offsets), group[row:end]))
+                # merged at twice the limit and written if more than the limit remain: a row is merged a few times at most
+                if over(2):
+                    held[:] = [merged(held)]
+                    if over(1):
+                        yield from rows()
+            if len(numbers) > HELD_TERMS:
+                yield from rows()
+                numbers.clear()
         yield from rows()
 
     named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(x) for c, x in ((lang, "lang"), (source, "source"), (text, "text"))]
@@ -145,7 +208,7 @@ def weights(docs: DataFrame, lang: str, source: str, text: str, min_docs: int) -
     counts = rows.repartition(*KEY, "lang").groupBy(*KEY, "lang", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counts = counts.select(
         *KEY, "lang", "source", "n", F.sum("n").over(of_term).alias("n_lang"), F.sum("docs").over(of_term).alias("docs"),
-        (F.row_number().over(of_term.orderBy("source")) == 1).alias("first"),
+        (F.col("source") == F.min("source").over(of_term)).alias("first"),
     )
     present = stored(counts.where(F.col("docs") >= min_docs).drop("docs"), "present-terms")
     own = present.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("k"))
@@ -234,4 +297,4 @@ def audit(
     return columns(pairs, "pair").union(columns(marked_terms(shares, terms, top), "term"))
 
 
-__all__ = ["digest_of", "term_steps", "term_counts", "keyed", "weights", "common_terms", "source_pairs", "marked_terms", "audit"]
+__all__ = ["digest_of", "term_steps", "block_terms", "block_counts", "merged", "term_counts", "keyed", "weights", "common_terms", "source_pairs", "marked_terms", "audit"]

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskweave.llm import divergence as D
@@ -75,6 +77,54 @@ def test_counts_in_small_steps(spark, monkeypatch):
     assert sorted(map(tuple, D.audit(docs).collect())) == plain(docs.collect())
 
 
+def test_blocks_count_like_plain_counters():
+    r = random.Random(3)
+    words = ["The", "über", "中文", "x1y", "a", "é", "", "don't", "  "]
+    texts = ["", "end", "start", " ", "Ü", *("".join(r.choice(words) + r.choice(" .-") for _ in range(r.randint(0, 30))) for _ in range(200)), "last"]
+    group = np.array([r.randint(5, 9) for _ in texts])
+    data = [t.encode() for t in texts]
+    terms, text = D.block_terms(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    assert list(zip(text.tolist(), terms.to_pylist(), strict=True)) == [(k, t) for k, d in enumerate(data) for s in D.term_steps(d) for t in s]
+    want_n, want_docs = Counter(), Counter()
+    for k, d in enumerate(data):
+        found = [(int(group[k]), t) for s in D.term_steps(d) for t in s]
+        want_n.update(found)
+        want_docs.update(set(found))
+
+    def told(counts):
+        rows = list(zip(counts[0].tolist(), counts[1].to_pylist(), *(x.tolist() for x in counts[2:]), strict=True))
+        assert len(rows) == len({x[:2] for x in rows})
+        return {x[:2]: x[2:] for x in rows}
+
+    assert told(D.block_counts(terms, text, group)) == {x: (n, want_docs[x]) for x, n in want_n.items()}
+    halves = [D.block_counts(terms.filter(pa.array(at)), text[at], group) for at in (text < 90, text >= 90)]
+    nothing = D.block_counts(terms[:0], text[:0], group)
+    assert told(nothing) == told(D.merged([nothing, nothing])) == {}
+    assert told(D.merged([*halves, nothing])) == {x: (n, want_docs[x]) for x, n in want_n.items()}
+
+
+def test_a_task_digests_a_term_once(spark, tmp_path, monkeypatch):
+    # before, a task did all its work on a term anew for every source and language
+    def digest(term, path=str(tmp_path / "digested"), real=D.digest_of):
+        with open(path, "ab") as f:
+            f.write(term + b"\n")
+        return real(term)
+
+    monkeypatch.setattr(D, "digest_of", digest)
+    counted = D.term_counts(docs_of(spark, awkward_docs(spark)).coalesce(1))
+    digested = (tmp_path / "digested").read_bytes().split()
+    assert len(digested) == len(set(digested)) == counted.where("new").count() == counted.select("term").distinct().count()
+
+
+@pytest.mark.parametrize("held", [3, 1_000_000])
+def test_long_texts_are_one_document(spark, monkeypatch, held):
+    monkeypatch.setattr(D, "HELD_TERMS", held)
+    monkeypatch.setattr(D, "STEP_BYTES", 40)
+    monkeypatch.setattr(D.term_steps, "__defaults__", (40,))
+    docs = docs_of(spark, awkward_docs(spark), seed=4)
+    assert sorted(map(tuple, D.audit(docs).collect())) == plain(docs.collect())
+
+
 def test_large_counts_stay_exact(spark):
     rows = spark.createDataFrame([(10**13, 3 * 10**13, 7), (0, 0, 1), (2 * 10**12, 2 * 10**12, 2)], "n long, total long, v long")
     got = [r.p for r in rows.select(D._share("n", "total").alias("p")).collect()]
