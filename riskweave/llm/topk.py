@@ -14,9 +14,12 @@ their own: each is a query if its id is chosen, and a candidate of the others. T
 smaller id. A query with fewer than k candidates has as many rows; an empty table gives none.
 
 Scale: rows are dealt to shards and blocks by a hash of the row number, so repeated vectors do not
-meet in one of them; a task holds one shard, one block and their score array of fixed size. Work
-is queries x candidates by definition of an exhaustive search; only blocks x shards x k rows are
-shuffled to the merge, which is cut to k per query before the shuffle as well.
+meet in one of them. Shards and blocks are shuffled once, to partitions that meet each other in a
+task per pair of partitions: a task holds the HELD_SHARDS shards of one side, streams the blocks of
+the other, and has one score array of fixed size. Nothing is copied per shard and nothing is
+broadcast, whatever size the planner takes the packed rows for. Work is queries x candidates by
+definition of an exhaustive search; only blocks x shards x k rows are shuffled to the merge, which
+is cut to k per query before the shuffle as well.
 """
 
 from __future__ import annotations
@@ -37,6 +40,9 @@ class ScoreRange(ArithmeticError):
 
 SHARD_ROWS = 1024
 BLOCK_ROWS = 128
+# shards that a task holds, and the most blocks that it streams past them
+HELD_SHARDS = 8
+STREAMED_BLOCKS = 256
 
 
 def clean(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -89,6 +95,17 @@ def packed(rows: DataFrame, size: int, by_term: bool) -> tuple[DataFrame, int]:
     return dealt.groupBy("part").applyInArrow(pack_postings if by_term else pack_rows, PACKED), parts
 
 
+def met(blocks: DataFrame, n_blocks: int, shards: DataFrame, n_shards: int) -> DataFrame:
+    """Every block beside every shard, the block's columns with q_ before their names. The hint keeps
+    either side from being broadcast: the planner knows neither the size of packed rows nor their number."""
+    few = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    right = -(-n_shards // HELD_SHARDS)
+    left = min(n_blocks, max(-(-few // right), -(-n_blocks // STREAMED_BLOCKS)))
+    columns = ("rows", "ids", "ptr", "at", "weight")
+    queries = blocks.select(*(F.col(c).alias(f"q_{c}") for c in columns)).repartition(left)
+    return queries.hint("shuffle_replicate_nl").crossJoin(shards.select(*columns).repartition(right))
+
+
 def accumulate(ptr: np.ndarray, at: np.ndarray, weight: np.ndarray, queries: tuple[np.ndarray, np.ndarray, np.ndarray], n: int) -> np.ndarray:
     """Score arrays of a block over a shard, term by term: the term's postings, times its weight
     in each query that has it, are scattered into these queries' arrays. A term that most vectors
@@ -153,11 +170,7 @@ def top_k(
     bounded_batches(vectors.sparkSession)
     rows = stored(clean(vectors, vec_id, vector, scale), "vectors")
     shards, n_shards = packed(rows, SHARD_ROWS, True)
-    blocks, _ = packed(rows.where(query), BLOCK_ROWS, False)
-    blocks = blocks.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("part"),
-        *(F.col(c).alias(f"q_{c}") for c in ("rows", "ids", "ptr", "at", "weight")),
-    )
+    blocks, n_blocks = packed(rows.where(query), BLOCK_ROWS, False)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +186,7 @@ def top_k(
                     [pa.array(q_number[q]), pa.array(q_ids[q]), pa.array(ids[c]), pa.array(scores[q, c])], ["row", "query_id", "vec_id", "score"]
                 )
 
-    found = blocks.join(shards, "part").mapInArrow(search, "row long, query_id long, vec_id long, score long")
+    found = met(blocks, n_blocks, shards, n_shards).mapInArrow(search, "row long, query_id long, vec_id long, score long")
     best = Window.partitionBy("row").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -80,3 +80,18 @@ def test_selection_at_the_edge_of_ties():
         for row in range(30):
             want = sorted((-int(scores[row, x]), x) for x in range(40) if not own[row, x])[:k]
             assert sorted(c[q == row].tolist()) == sorted(x for _, x in want)
+
+
+def test_no_side_of_the_search_is_broadcast(spark, monkeypatch):
+    """Packed rows look small to the planner: their copies, one per shard, once went through the driver."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 20)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(topk, "HELD_SHARDS", 3)
+    monkeypatch.setattr(topk, "STREAMED_BLOCKS", 2)
+    r = np.random.default_rng(11)
+    rows = [(i, f32(r.normal(size=6))) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = topk.top_k(frame, F.col("id") % 50 == 0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan and "CartesianProduct" in plan
+    assert sorted(tuple(r) for r in out.collect()) == brute(rows)
