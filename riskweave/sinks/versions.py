@@ -25,7 +25,8 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RUN = "__run"
+LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 _ORDER = ["tinyint", "smallint", "int", "bigint"]
 
 
@@ -120,7 +122,7 @@ def _publish(spark: SparkSession, path: str, v: Version) -> bool:
     return _rename_new(spark, draft, f"{path}/_versions/{v.number:020d}.json")
 
 
-def _struct(text: str) -> T.StructType:
+def struct(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
 
@@ -156,6 +158,27 @@ def _as(df: DataFrame, schema: T.StructType) -> DataFrame:
 # --- reading ------------------------------------------------------------------------------
 
 
+def run_folder(path: str, run: str) -> str:
+    return f"{path}/data/{RUN}={run}"
+
+
+@contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by a few tasks, not by a task for each folder."""
+    before = spark.conf.get(LISTERS)
+    spark.conf.set(LISTERS, min(int(before), 2 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTERS, before)
+
+
+def read_run(spark: SparkSession, path: str, run: str, schema: T.StructType) -> DataFrame:
+    """All rows of one run, named by a version or not."""
+    with _listing(spark):
+        return spark.read.schema(schema).parquet(run_folder(path, run))
+
+
 def read(spark: SparkSession, path: str, number: int | None = None, parts: Sequence[str] | None = None) -> DataFrame:
     """The table at a version (the newest by default), or only some of its partition folders.
     Runs of one schema are one scan, so filters on the partition column prune folders."""
@@ -167,15 +190,16 @@ def read(spark: SparkSession, path: str, number: int | None = None, parts: Seque
 
 def read_version(spark: SparkSession, path: str, v: Version, parts: Sequence[str] | None = None) -> DataFrame:
     """The rows that a manifest names, in its schema."""
-    schema = _struct(v.schema)
+    schema = struct(v.schema)
     folders: dict[str, list[str]] = {}
     for part in v.parts if parts is None else parts:
         for run in v.parts.get(part, []):
-            folders.setdefault(v.runs[run], []).append(f"{path}/data/{RUN}={run}/{part}")
-    scans = [
-        spark.read.schema(_struct(own).add(RUN, "string")).option("basePath", f"{path}/data").parquet(*found)
-        for own, found in sorted(folders.items())
-    ]
+            folders.setdefault(v.runs[run], []).append(f"{run_folder(path, run)}/{part}")
+    with _listing(spark):
+        scans = [
+            spark.read.schema(struct(own).add(RUN, "string")).option("basePath", f"{path}/data").parquet(*found)
+            for own, found in sorted(folders.items())
+        ]
     if not scans:
         return spark.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, (_as(s, schema) for s in scans))
@@ -194,7 +218,7 @@ def write_run(df: DataFrame, path: str, partition_col: str, check=None) -> tuple
     if check:
         check(staged)
     parts = [x for x in _children(spark, staged) if x.startswith(f"{partition_col}=")]
-    if not _rename_new(spark, staged, f"{path}/data/{RUN}={run}"):
+    if not _rename_new(spark, staged, run_folder(path, run)):
         raise FileExistsError(staged)
     return run, parts
 
@@ -230,16 +254,16 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], partition_col: str,
             raise ValueError(f"{partition_col} outside the touched partitions: {sorted(map(str, outside))}")
 
     if base := version(spark, path):
-        reconcile(_struct(base.schema), schema)
+        reconcile(struct(base.schema), schema)
     elif any(x.startswith(f"{partition_col}=") for x in _children(spark, path)):
         raise ValueError(f"{path} holds partitions without a version")
     run, parts = write_run(batch, path, partition_col, check)
-    new = spark.read.schema(schema).parquet(f"{path}/data/{RUN}={run}")
+    new = read_run(spark, path, run, schema)
     for _ in range(attempts):
         made = Version(0, 0, schema.json(), partition_col, {p: [run] for p in parts}, {run: schema.json()}, note or {})
         base = version(spark, path)
         if base is not None:
-            schema_now = reconcile(_struct(base.schema), schema)
+            schema_now = reconcile(struct(base.schema), schema)
             old = [p for p in parts if p in base.parts]
             if old:
                 before = _as(read_version(spark, path, replace(base, schema=schema_now.json()), old), schema_now)
@@ -282,4 +306,4 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2, min_age_hours: float =
     return gone
 
 
-__all__ = ["Conflict", "SchemaError", "Version", "version", "read", "read_version", "write_run", "commit", "upsert", "replace_all", "vacuum", "reconcile", "widens"]
+__all__ = ["Conflict", "SchemaError", "Version", "version", "read", "read_version", "read_run", "run_folder", "write_run", "commit", "upsert", "replace_all", "vacuum", "reconcile", "widens"]

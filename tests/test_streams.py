@@ -88,6 +88,35 @@ def test_crash_between_store_and_table(spark, monkeypatch):
     assert vs.version(spark, keys).number == 1
 
 
+def test_rows_list_the_keys_of_an_account_and_week(spark, monkeypatch):
+    """A store that is read whole with every batch: a row per key made its joins sort and copy them all."""
+    path = scratch_path(spark, "t_keys")
+    batches = [events(spark, 300, seed=k, days=14).repartition(1) for k in range(3)]
+    v, _ = ks.apply(spark, path, batches[0], 0, 2, 2)
+    held = vs.read_version(spark, path, v)
+    assert held.count() == held.select("account_id", "week_start").distinct().count()
+    # rows that count as large are carried on unmerged and still counted exactly
+    monkeypatch.setattr(ks, "LARGE", 35)
+    for epoch in (1, 2):
+        v, slots = ks.apply(spark, path, batches[epoch], epoch, 2, 2)
+    held = vs.read_version(spark, path, v, slots)
+    assert held.count() > held.select("account_id", "week_start").distinct().count()
+    everything = batches[0].union(batches[1]).union(batches[2])
+    assert rows(ks.usage(held)) == rows(weekly_usage(everything))
+    assert rows(ks.touched_usage(spark, path, v, slots, ks.batch_rows(spark, path, v))) == rows(weekly_usage(everything))
+
+
+def test_a_batch_of_one_file_is_gathered_by_many_tasks(spark):
+    """What one task reads is dealt to others before keys are gathered, and nothing is sorted for the join."""
+    path = scratch_path(spark, "t_keys")
+    batch = events(spark, 60, days=14).coalesce(1)
+    plan = ks.keys_of(batch)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(account_id" in plan and "Aggregate" not in plan[plan.index("Exchange hashpartitioning(account_id") :]
+    v, slots = ks.apply(spark, path, batch, 0)
+    joined = ks.touched_usage(spark, path, v, slots, ks.batch_rows(spark, path, v))
+    assert "ShuffledHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_batch_in_store(spark):
     path = scratch_path(spark, "t_keys")
     v, slots = ks.apply(spark, path, events(spark, 0), 0)

@@ -185,3 +185,20 @@ def test_a_run_has_one_file_of_a_small_partition(spark):
     run, parts = vs.write_run(df, path, "p")
     files = spark.read.parquet(f"{path}/data/{vs.RUN}={run}").inputFiles()
     assert len(parts) == 5 and len(files) == 5
+
+
+def test_many_folders_are_listed_by_few_tasks(spark):
+    """A task for each folder of each run once took longer than reading them."""
+    path = scratch_path(spark, "t_listed")
+    df = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 80).cast("string").alias("p"))
+    v = vs.replace_all(df, path, "p")
+    before, done = spark.conf.get(vs.LISTERS), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listed", "listing")
+    try:
+        out = vs.read_version(spark, path, v)
+        stages = [i for j in done.getJobIdsForGroup("listed") for i in done.getJobInfo(j).stageIds]
+        tasks = [done.getStageInfo(i).numTasks for i in stages]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks and max(tasks) <= 2 * spark.sparkContext.defaultParallelism < 80
+    assert out.count() == 400 and spark.conf.get(vs.LISTERS) == before
