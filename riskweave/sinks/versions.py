@@ -26,7 +26,7 @@ import json
 import time
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RUN = "__run"
+# many small folders take time by their number, so tasks may be smaller than Spark's least partition
+LEAST, LEAST_BYTES = "spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k"
 LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 _ORDER = ["tinyint", "smallint", "int", "bigint"]
 
@@ -163,14 +165,18 @@ def run_folder(path: str, run: str) -> str:
 
 
 @contextmanager
-def _listing(spark: SparkSession) -> Iterator[None]:
-    """Folders are listed by a few tasks, not by a task for each folder."""
-    before = spark.conf.get(LISTERS)
-    spark.conf.set(LISTERS, min(int(before), 2 * spark.sparkContext.defaultParallelism))
+def _with(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(LISTERS, before)
+        spark.conf.set(key, before)
+
+
+def _listing(spark: SparkSession) -> AbstractContextManager[None]:
+    """Folders are listed by a few tasks, not by a task for each folder."""
+    return _with(spark, LISTERS, str(min(int(spark.conf.get(LISTERS)), 2 * spark.sparkContext.defaultParallelism)))
 
 
 def read_run(spark: SparkSession, path: str, run: str, schema: T.StructType) -> DataFrame:
@@ -214,7 +220,8 @@ def write_run(df: DataFrame, path: str, partition_col: str, check=None) -> tuple
     or several where adaptive execution splits a large partition, and not one of every task."""
     spark, run = df.sparkSession, uuid.uuid4().hex
     staged = f"{path}/_staged/{run}"
-    df.hint("rebalance", partition_col).write.option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(staged)
+    with _with(spark, LEAST, LEAST_BYTES):
+        df.hint("rebalance", partition_col).write.option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(staged)
     if check:
         check(staged)
     parts = [x for x in _children(spark, staged) if x.startswith(f"{partition_col}=")]

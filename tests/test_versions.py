@@ -202,3 +202,18 @@ def test_many_folders_are_listed_by_few_tasks(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert tasks and max(tasks) <= 2 * spark.sparkContext.defaultParallelism < 80
     assert out.count() == 400 and spark.conf.get(vs.LISTERS) == before
+
+
+def test_small_folders_are_written_by_several_tasks(spark):
+    path = scratch_path(spark, "t_spread")
+    df = spark.range(40_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("h"), (F.col("id") % 40).cast("string").alias("p"))
+    spark.sparkContext.setJobGroup("spread", "write")
+    before = spark.conf.get(vs.LEAST)
+    try:
+        run, parts = vs.write_run(df, path, "p")
+        jobs = spark.sparkContext.statusTracker()
+        last = max(i for j in jobs.getJobIdsForGroup("spread") for i in jobs.getJobInfo(j).stageIds)
+        assert len(parts) == 40 and jobs.getStageInfo(last).numTasks > 3 and spark.conf.get(vs.LEAST) == before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(vs.read_run(spark, path, run, df.schema).inputFiles()) == 40
