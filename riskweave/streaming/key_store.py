@@ -75,6 +75,9 @@ def apply(spark: SparkSession, path: str, events: DataFrame, epoch: int, buckets
     keys = keys_of(events, buckets)
     run, slots = vs.write_run(keys, path, SLOT)
     base = vs.version(spark, path)
+    # reading would fill the columns that an earlier form of the store lacks with nulls
+    if base and set(vs.struct(base.schema).names) != set(keys.columns):
+        raise vs.SchemaError(f"{path} holds keys in another form: build the store again from the events")
     if base and base.note.get("epoch", -1) >= epoch:
         return replace(base, note={**base.note, "batch": run}), slots
     schema = keys.schema

@@ -106,6 +106,22 @@ def test_rows_list_the_keys_of_an_account_and_week(spark, monkeypatch):
     assert rows(ks.touched_usage(spark, path, v, slots, ks.batch_rows(spark, path, v))) == rows(weekly_usage(everything))
 
 
+def test_a_store_with_a_row_per_key_is_an_error(spark):
+    """Its columns would be dropped and the lists of its weeks read as nulls."""
+    path = scratch_path(spark, "t_keys")
+    old = ks.keys_of(events(spark, 30), 2).select(
+        ks.SLOT, "account_id", "week_start", F.lit("user").alias("kind"), F.explode("user").alias("value"), "n", "last_ts"
+    )
+    run, slots = vs.write_run(old, path, ks.SLOT)
+    schema = old.schema.json()
+    made = vs.Version(0, 0, schema, ks.SLOT, {s: [run] for s in slots}, {run: schema}, {"epoch": 0, "levels": {run: 0}})
+    v = vs.commit(spark, path, None, made)
+    for epoch in (0, 1):
+        with pytest.raises(vs.SchemaError, match="another form"):
+            ks.apply(spark, path, events(spark, 30, seed=2), epoch, 2, 2)
+    assert vs.version(spark, path) == v
+
+
 def test_a_batch_of_one_file_is_gathered_by_many_tasks(spark):
     """What one task reads is dealt to others before keys are gathered, and nothing is sorted for the join."""
     path = scratch_path(spark, "t_keys")
